@@ -28,10 +28,9 @@ DECIMALS = 6
 MAX_CELLS = 16_384
 
 
-def _shape(df: DataFrame, vector: str) -> tuple[int, int]:
-    """Rows and dimensions: a count and one row, as plans need the block count."""
+def _dimensions(df: DataFrame, vector: str) -> int:
     first = df.select(F.size(vector).alias("d")).head()
-    return df.count(), (first["d"] if first else 1)
+    return first["d"] if first else 1
 
 
 def _blocks(rows: int, dim: int, block_bytes: int) -> int:
@@ -124,8 +123,8 @@ def knn(
 ) -> DataFrame:
     """Exact nearest neighbours: ``query_id, id, score, rank``."""
     q, i = _sides(queries, index, query_id, id, vector)
-    n_q, dim = _shape(q, "q_vector")
-    n_i, _ = _shape(i, "i_vector")
+    # Counting reads no vectors, and of an index still to be computed no vector is computed.
+    n_q, n_i, dim = queries.count(), index.count(), _dimensions(i, "i_vector")
     # At least one block per core, so that a small index is still searched in parallel.
     cores = index.sparkSession.sparkContext.defaultParallelism
     q_blocks = _blocks(n_q, dim, block_bytes)
@@ -214,8 +213,7 @@ def knn_cells(
     pairs compared (:func:`recall_report`).
     """
     q, i = _sides(queries, index, query_id, id, vector)
-    first = i.select(F.size("i_vector").alias("d")).head()
-    rows_per_block = max(1, block_bytes // (8 * (first["d"] if first else 1)))
+    rows_per_block = max(1, block_bytes // (8 * _dimensions(i, "i_vector")))
     q = q.withColumn("cell", F.explode(_nearest_cells(cells, probe)(F.col("q_vector"))))
     i = i.withColumn("cell", _nearest_cells(cells, 1)(F.col("i_vector"))[0])
 

@@ -65,7 +65,7 @@ def fits_broadcast(df: DataFrame) -> bool:
     session = df.sparkSession._jsparkSession
     limit = session.sessionState().conf().autoBroadcastJoinThreshold()
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size.toString()) <= limit
+    return int(str(size)) <= limit
 
 
 def dim_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:

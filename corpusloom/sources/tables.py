@@ -42,20 +42,26 @@ def from_frame(spark: SparkSession, frame: pd.DataFrame, schema: StructType | st
     return spark.createDataFrame(frame, schema=schema)
 
 
-def ensure_table(spark: SparkSession, name: str, builder: Callable[[], DataFrame]) -> DataFrame:
+def ensure_table(
+    spark: SparkSession, name: str, builder: Callable[[], DataFrame], path: str | None = None
+) -> DataFrame:
     """The table ``name``, built first when it is missing or empty."""
     _checked(name)
     if not spark.catalog.tableExists(name) or spark.table(name).isEmpty():
-        overwrite_table(builder(), name)
+        overwrite_table(builder(), name, path=path)
     return spark.table(name)
 
 
-def overwrite_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Replace the whole table."""
+def overwrite_table(
+    df: DataFrame, name: str, partition_by: Sequence[str] = (), path: str | None = None
+) -> DataFrame:
+    """Replace the whole table; with ``path`` its files are kept outside the warehouse."""
     _checked(name)
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if path:
+        writer = writer.option("path", path)
     writer.saveAsTable(name)
     return df.sparkSession.table(name)
 
