@@ -1,11 +1,14 @@
 """Run-to-completion incremental jobs with exactly-once sinks.
 
-All transformations are stateless, so state does not grow and any number of
-sources can append to one table, each with its own checkpoint.
+All transformations are stateless, so no state grows with the stream. A file
+sink keeps one log of committed batches, which two queries cannot share: each
+source of a common table therefore has its own subfolder (``source=name``) and
+its own checkpoint, and :func:`read_sources` puts the committed parts together.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +19,40 @@ def table_stream(spark: SparkSession, table: str) -> DataFrame:
     return spark.readStream.table(table)
 
 
+def source_path(root: str, source: str) -> str:
+    """Folder of one source of a table fed by several streams."""
+    if not re.fullmatch(r"[A-Za-z0-9_-]+", source):
+        raise ValueError(f"not a plain source name: {source!r}")
+    return f"{root}/source={source}"
+
+
+def read_sources(spark: SparkSession, root: str) -> DataFrame:
+    """Bag union of all committed batches of all sources under ``root``."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    listed = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    paths = sorted(s.getPath().toString() for s in listed if s.getPath().getName().startswith("source="))
+    # Each folder is read by itself, as only then its log of committed files is used.
+    out = None
+    for path in paths:
+        part = spark.read.option("basePath", path).parquet(path)
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        raise ValueError(f"no sources under {root}")
+    return out
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def _table_location(spark: SparkSession, name: str) -> str | None:
+    if not spark.catalog.tableExists(name):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").select("data_type").head()
+    return rows[0] if rows else None
+
+
 def run_incremental(df: DataFrame, target: str, checkpoint: str, is_path: bool = False) -> dict:
     """Append everything new to ``target`` and stop; returns counts of this run.
 
@@ -23,6 +60,11 @@ def run_incremental(df: DataFrame, target: str, checkpoint: str, is_path: bool =
     checkpoint records what was read, so a repeated run adds only new input
     and a failed one resumes without duplicates.
     """
+    spark = df.sparkSession
+    location = target if is_path else _table_location(spark, target)
+    if location and _exists(spark, f"{location}/_spark_metadata") and not _exists(spark, checkpoint):
+        # The sink would take the new batches for ones already written and skip them.
+        raise ValueError(f"{target} is fed by another checkpoint; give each source its own folder (source_path)")
     writer = (
         df.writeStream.outputMode("append")
         .trigger(availableNow=True)

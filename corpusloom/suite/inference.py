@@ -1,3 +1,206 @@
-from corpusloom.suite import Suite
+"""Prompts, batch inference with a stand-in backend, and structured replies."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from corpusloom.operators import inference, prompts, relational as rel, structured
+from corpusloom.plans.parallelism import spread
+from corpusloom.suite import Suite, table
 
 suite = Suite()
+
+INSTRUCTION = "Classify the text as 0, 1 or 2. Give just the number."
+REPLY_DDL = "sentiment STRING, length BIGINT"
+SENTIMENTS = {"sentiment": ["0", "1", "2"]}
+
+
+def length_backend(texts: list[str]) -> list[str]:
+    """Stand-in model: class and length by the size of the prompt, now and then malformed."""
+    out = []
+    for text in texts:
+        n = len(text)
+        if n % 7 == 0:
+            out.append("I would say neutral")
+        elif n % 7 == 1:
+            out.append('{"sentiment":"1"}')
+        elif n % 7 == 2:
+            out.append(f'{{"sentiment":"0","length":"{n} characters"}}')
+        else:
+            out.append(f'{{"sentiment":"{n % 4}","length":{n}}}')
+    return out
+
+
+def _prompted(spark, sf):
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text", "n_chars"))
+    return docs.withColumn("prompt", prompts.instruct(INSTRUCTION, F.col("text")))
+
+
+_REPLIES = f"""
+p AS (SELECT doc_id, length('{INSTRUCTION}' || text) AS n FROM documents),
+r AS (SELECT doc_id, n, CASE WHEN n % 7 = 0 THEN 'not a JSON object'
+        WHEN n % 7 = 1 THEN 'missing length'
+        WHEN n % 7 = 2 THEN 'wrong type of length'
+        WHEN n % 4 = 3 THEN 'sentiment outside its values' ELSE '' END AS reasons FROM p)
+"""
+
+
+@suite.add(f"WITH {_REPLIES} SELECT doc_id, reasons, reasons = '' AS valid FROM r")
+def checked_replies(spark, sf):
+    answered = inference.infer(
+        _prompted(spark, sf),
+        "prompt",
+        length_backend,
+        response_ddl=REPLY_DDL,
+        enums=SENTIMENTS,
+        required=["sentiment", "length"],
+    )
+    return answered.select("doc_id", F.array_join("reasons", "|").alias("reasons"), "valid")
+
+
+@suite.add(f"""
+WITH {_REPLIES}
+SELECT doc_id, CAST(CASE n % 7 WHEN 0 THEN NULL WHEN 1 THEN 1 WHEN 2 THEN 0 ELSE n % 4 END AS BIGINT) AS sentiment,
+       CAST(CASE WHEN n % 7 < 3 THEN NULL ELSE n END AS BIGINT) AS length
+FROM r
+""")
+def reply_numbers(spark, sf):
+    """Numbers read out of the replies by path; not-a-number becomes null, not an error."""
+    answered = inference.infer(_prompted(spark, sf), "prompt", length_backend)
+    return answered.select(
+        "doc_id",
+        structured.json_number(F.col("reply"), "$.sentiment").alias("sentiment"),
+        structured.json_number(F.col("reply"), "$.length").alias("length"),
+    )
+
+
+@suite.add(f"""
+WITH {_REPLIES} SELECT count(*) FILTER (reasons = '') AS accepted, count(*) FILTER (reasons <> '') AS rejected FROM r
+""")
+def accepted_and_rejected(spark, sf):
+    answered = inference.infer(
+        _prompted(spark, sf),
+        "prompt",
+        length_backend,
+        response_ddl=REPLY_DDL,
+        enums=SENTIMENTS,
+        required=["sentiment", "length"],
+    )
+    accepted, rejected = structured.split_valid(answered)
+    return accepted.select(F.lit(1).alias("a"), F.lit(0).alias("r")).unionByName(
+        rejected.select(F.lit(0).alias("a"), F.lit(1).alias("r"))
+    ).agg(F.sum("a").alias("accepted"), F.sum("r").alias("rejected"))
+
+
+@suite.add(f"SELECT doc_id, md5('{INSTRUCTION}' || text) AS digest FROM documents")
+def instruction_prompts(spark, sf):
+    return _prompted(spark, sf).select("doc_id", F.md5("prompt").alias("digest"))
+
+
+@suite.add("""
+SELECT doc_id, md5('Text ' || doc_id || ' in ' || lang || ':' || chr(10) || text) AS digest FROM documents
+""")
+def template_prompts(spark, sf):
+    docs = spread(table(spark, sf, "documents").select("doc_id", "lang", "text"))
+    prompt = prompts.render_prompt("Text {doc_id} in {lang}:\n{text}", "doc_id", "lang", "text")
+    return docs.select("doc_id", F.md5(prompt).alias("digest"))
+
+
+@suite.add("""
+WITH s AS (SELECT 'Name the region of a nation.' || chr(10) ||
+             string_agg(n_name || ' is in ' || r_name, chr(10) ORDER BY n_nationkey) || chr(10) || 'Take your time.' || chr(10) AS shots
+           FROM nation JOIN region ON n_regionkey = r_regionkey)
+SELECT c_custkey, md5(shots || n_name) AS digest FROM customer JOIN nation ON c_nationkey = n_nationkey, s
+""")
+def few_shot_prompts(spark, sf):
+    nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
+    examples = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.col("n_nationkey").alias("pos"), F.concat("n_name", F.lit(" is in "), "r_name").alias("example")
+    )
+    shots = prompts.few_shot_prompt("Name the region of a nation.", examples, "Take your time.\n")
+    customer = table(spark, sf, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    return customer.select("c_custkey", F.md5(F.concat(shots, F.col("n_name"))).alias("digest"))
+
+
+def _longer_than(n: int):
+    def backend(texts: list[str]) -> list[str]:
+        return ["1" if len(t) >= n else "0" for t in texts]
+
+    return backend
+
+
+def _compared(spark, sf):
+    labels = table(spark, sf, "labels").select("doc_id", F.col("quality").cast("string").alias("quality"))
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text")).join(labels, "doc_id")
+    return inference.compare_models(docs, "text", {"long": _longer_than(500), "short": _longer_than(200)}, "quality")
+
+
+_COMPARED = """
+r AS (SELECT m.model, CAST(quality AS VARCHAR) AS t, CASE WHEN length(text) >= m.n THEN '1' ELSE '0' END AS p
+      FROM documents JOIN labels USING (doc_id), (VALUES ('long', 500), ('short', 200)) m(model, n))
+"""
+
+
+@suite.add(f"""
+WITH {_COMPARED},
+c AS (SELECT model, t AS class FROM r UNION SELECT model, p FROM r)
+SELECT c.model, class,
+       CAST((SELECT count(*) FROM r WHERE r.model = c.model AND t = class) AS BIGINT) AS support,
+       round((SELECT count(*) FILTER (t = p) / nullif(count(*), 0) FROM r WHERE r.model = c.model AND p = class), 6) AS precision,
+       round((SELECT count(*) FILTER (t = p) / nullif(count(*), 0) FROM r WHERE r.model = c.model AND t = class), 6) AS recall,
+       round((SELECT avg(CAST(t = p AS INT)) FROM r WHERE r.model = c.model), 6) AS accuracy
+FROM c
+""")
+def model_scores(spark, sf):
+    report = rel.classification_report(_compared(spark, sf), "truth", "pred", ["model"])
+    return report.select(
+        "model", "class", "support", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "accuracy")]
+    )
+
+
+@suite.add(f"""
+WITH {_COMPARED} SELECT model, count(*) AS replies, round(avg(CAST(p IN ('1') AS INT)), 6) AS compliance FROM r GROUP BY model
+""")
+def model_compliance(spark, sf):
+    rate = rel.compliance_rate(_compared(spark, sf), "pred", ["1"], ["model"])
+    return rate.withColumn("compliance", F.round("compliance", 6))
+
+
+@suite.add("SELECT c_custkey, upper('Write a reply to ' || c_name || ' of ' || c_mktsegment) AS answer FROM customer")
+def generated_answers(spark, sf):
+    customer = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    answered = inference.generate(
+        customer, "Write a reply to {c_name} of {c_mktsegment}", lambda texts: [t.upper() for t in texts]
+    )
+    return answered.select("c_custkey", "answer")
+
+
+@suite.add("""
+SELECT c_custkey, 0 AS line_no, true AS valid, c_name AS first_name, c_custkey AS n FROM customer
+UNION ALL SELECT c_custkey, 1, false, NULL, NULL FROM customer
+UNION ALL SELECT c_custkey, 2, true, c_mktsegment, NULL FROM customer
+""")
+def jsonl_rows(spark, sf):
+    """A reply of three lines per customer, the second without a value; fences and commas are removed."""
+    reply = F.format_string(
+        '```jsonl\n{"first_name": "%s", "n": %d},\n\n{"first_name": "%s", "no value"},\n{"first_name": "%s"}\n```',
+        "c_name",
+        "c_custkey",
+        "c_name",
+        "c_mktsegment",
+    )
+    replies = table(spark, sf, "customer").select("c_custkey", reply.alias("reply"))
+    rows = structured.parse_jsonl(replies, "reply", "first_name STRING, n BIGINT", ["c_custkey"])
+    return rows.select("c_custkey", "line_no", "valid", "parsed.first_name", "parsed.n")
+
+
+@suite.add("""
+SELECT p_partkey, array_to_string(list_distinct_in_order, '|') AS tags FROM (
+  SELECT p_partkey, [p_brand] || list_filter(list_transform(string_split(p_type, ' '), lambda x: trim(x)),
+         lambda x, i: x <> '' AND x <> p_brand
+                      AND list_position(list_transform(string_split(p_type, ' '), lambda y: trim(y)), x) = i) AS list_distinct_in_order
+  FROM part)
+""")
+def multi_values(spark, sf):
+    delimited = F.concat(F.col("p_brand"), F.lit(" , "), F.replace(F.col("p_type"), F.lit(" "), F.lit(",")), F.lit(",,"), F.col("p_brand"))
+    return table(spark, sf, "part").select("p_partkey", F.array_join(structured.split_multi(delimited), "|").alias("tags"))

@@ -1,3 +1,64 @@
-from corpusloom.suite import Suite
+"""Incremental jobs, run to completion and read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from corpusloom.operators import chunking, embedding
+from corpusloom.plans.workspace import fresh_path
+from corpusloom.sources import files
+from corpusloom.sources.tables import with_chunk_id
+from corpusloom.streaming import incremental
+from corpusloom.suite import Suite, table
+from corpusloom.suite.corpus import EMBED_DIM, windows_sql
 
 suite = Suite()
+
+
+@suite.add(
+    f"""SELECT md5(concat_ws('|', doc_id, pos, content)) AS id, doc_id, {EMBED_DIM} AS dimensions
+FROM ({windows_sql('SELECT doc_id, text FROM documents', 'doc_id')})"""
+)
+def streamed_index(spark, sf):
+    """Documents streamed through chunking and embedding into a table; the second run adds nothing."""
+    schema = table(spark, sf, "documents").schema
+    target, checkpoint = fresh_path(spark, "streamed"), fresh_path(spark, "checkpoint")
+
+    def chunk(df):
+        return with_chunk_id(chunking.chunk_windows(df, "text", ["doc_id"]), "doc_id")
+
+    def embed(df):
+        return embedding.embed(df, "content", dim=EMBED_DIM).select("id", "doc_id", "content", "embedding")
+
+    for _ in range(2):
+        stream = files.stream_parquet(spark, sf, schema, "documents.parquet")
+        incremental.run_incremental_corpus(stream, target, checkpoint, chunk, embed, is_path=True)
+    written = spark.read.parquet(target)
+    return written.select("id", "doc_id", F.size("embedding").alias("dimensions"))
+
+
+@suite.add(
+    f"SELECT doc_id, pos, n_tokens, md5(content) AS digest FROM ({windows_sql('SELECT doc_id, text FROM documents', 'doc_id')})"
+)
+def two_sources(spark, sf):
+    """English and other documents as two streams, each with its own checkpoint, into one table."""
+    schema = table(spark, sf, "documents").schema
+    target = fresh_path(spark, "appended")
+    for name, rule in (("english", "lang = 'en'"), ("other", "lang <> 'en'")):
+        stream = files.stream_parquet(spark, sf, schema, "documents.parquet").filter(rule)
+        chunks = chunking.chunk_windows(stream, "text", ["doc_id"])
+        path = incremental.source_path(target, name)
+        incremental.run_incremental(chunks, path, fresh_path(spark, "checkpoint"), is_path=True)
+    written = incremental.read_sources(spark, target)
+    return written.select("doc_id", "pos", "n_tokens", F.md5("content").alias("digest"))
+
+
+@suite.add()
+def streamed_files(spark, sf):
+    """All files of the folder as a stream of binary files."""
+    target, checkpoint = fresh_path(spark, "files"), fresh_path(spark, "checkpoint")
+    found = files.stream_files(spark, sf, "*.parquet").select(
+        F.element_at(F.split("path", "/"), -1).alias("file_name"), "length"
+    )
+    incremental.run_incremental(found, target, checkpoint, is_path=True)
+    return spark.read.parquet(target)
