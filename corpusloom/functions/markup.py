@@ -23,10 +23,8 @@ ENTITIES = [
 ]
 
 
-def article_html(html: Column) -> Column:
-    """Inside of the first ``<article>``; null when there is none."""
-    opened = r"(?is)<article\b[^>]*>(.*?)</article>"
-    return F.when(F.regexp_like(html, F.lit(opened)), F.regexp_extract(html, opened, 1))
+# Marks a heading between matching its tag and writing its ``#`` signs.
+_LEVEL = "\u0002"
 
 
 def unescape(text: Column) -> Column:
@@ -36,15 +34,14 @@ def unescape(text: Column) -> Column:
 
 
 def html_to_text(html: Column) -> Column:
-    """Main text of a page with ``#`` headings; null without an article."""
-    text = article_html(html)
-    for block in ("script", "style"):
-        text = F.regexp_replace(text, rf"(?is)<{block}\b.*?</{block}>", "")
+    """Text of the first ``<article>`` with ``#`` headings; null when there is none."""
+    text = F.regexp_substr(html, F.lit(r"(?is)<article\b[^>]*>.*?</article>"))
+    text = F.regexp_replace(text, r"(?is)<(script|style)\b.*?</\1>", "")
+    text = F.regexp_replace(text, r"(?i)<h([1-6])\b[^>]*>", f"\n{_LEVEL}$1 ")
     for level in range(1, 7):
-        text = F.regexp_replace(text, rf"(?i)<h{level}\b[^>]*>", "\n" + "#" * level + " ")
-    text = F.regexp_replace(text, r"(?i)</h[1-6]>", "\n")
+        text = F.replace(text, F.lit(f"{_LEVEL}{level} "), F.lit("#" * level + " "))
+    text = F.regexp_replace(text, r"(?i)</h[1-6]>|<br\b[^>]*>", "\n")
     text = F.regexp_replace(text, r"(?i)<li\b[^>]*>", "\n- ")
-    text = F.regexp_replace(text, r"(?i)<br\b[^>]*>", "\n")
     text = F.regexp_replace(text, r"(?i)</p>", "\n\n")
     text = F.regexp_replace(text, r"<[^>]*>", "")
     text = F.regexp_replace(text, r"\n[ \t\r]*\n[ \t\r\n]*\n", "\n\n")

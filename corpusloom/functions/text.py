@@ -34,6 +34,26 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(BLANKS))
 
 
+def run_starts(values: Column, same: Callable[[Column, Column], Column] | None = None) -> Column:
+    """0-based places where a new run begins in a sorted array."""
+    differs = (lambda a, b: a != b) if same is None else (lambda a, b: ~same(a, b))
+    places = F.sequence(F.lit(0), F.greatest(F.size(values) - 1, F.lit(0)))
+    return F.filter(
+        places,
+        lambda i: (F.size(values) > 0) & ((i == 0) | differs(F.get(values, i), F.get(values, i - 1))),
+    )
+
+
+def runs(values: Column, body: Callable[[Column, Column], Column], same=None) -> Column:
+    """``body(first place, length)`` for every run of a sorted array."""
+    return let(
+        run_starts(values, same),
+        lambda starts: F.transform(
+            starts, lambda p, j: body(p, F.coalesce(F.get(starts, j + 1), F.size(values)) - p)
+        ),
+    )
+
+
 def tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
 
@@ -126,16 +146,40 @@ def merge_sections(
     return F.aggregate(counted, empty, step, close)
 
 
+# Windows come with their token counts, which the cut knows without matching again.
+COUNTED = "array<struct<content:string,n_tokens:int>>"
+
+
+def _window(toks: Column, start: Column, length: Column) -> Column:
+    return let(
+        F.slice(toks, start + 1, length),
+        lambda w: F.struct(strip(F.array_join(w, "")).alias("content"), F.size(w).alias("n_tokens")),
+    )
+
+
+def contents(counted: Column) -> Column:
+    return F.transform(counted, lambda w: w["content"])
+
+
+def counted_contents(texts: Column) -> Column:
+    return F.transform(texts, lambda c: F.struct(c.alias("content"), token_count(c).alias("n_tokens")))
+
+
 def token_windows(text: Column, size: int = CHUNK_TOKENS, overlap: int = CHUNK_OVERLAP) -> Column:
     """Windows of ``size`` tokens, each starting ``size - overlap`` after the last."""
+    return contents(counted_token_windows(text, size, overlap))
+
+
+def counted_token_windows(text: Column, size: int = CHUNK_TOKENS, overlap: int = CHUNK_OVERLAP) -> Column:
+    """:func:`token_windows` as structs of content and token count."""
     if not 0 <= overlap < size:
         raise ValueError("overlap must be smaller than size")
 
     def cut(toks: Column) -> Column:
         last_start = F.greatest(F.size(toks) - F.lit(overlap + 1), F.lit(0))
         starts = F.sequence(F.lit(0), last_start, F.lit(size - overlap))
-        windows = F.transform(starts, lambda i: strip(F.array_join(F.slice(toks, i + 1, size), "")))
-        return F.when(F.size(toks) == 0, F.array().cast("array<string>")).when(F.size(toks) > 0, windows)
+        windows = F.transform(starts, lambda i: _window(toks, i, F.lit(size)))
+        return F.when(F.size(toks) == 0, F.array().cast(COUNTED)).when(F.size(toks) > 0, windows)
 
     return let(spaced_tokens(text), cut)
 
@@ -148,6 +192,11 @@ def boundary_windows(text: Column, size: int = CHUNK_TOKENS, overlap: int = CHUN
     window ends at its bound. Every window therefore moves on by more than
     ``size / 2 - overlap`` tokens.
     """
+    return contents(counted_boundary_windows(text, size, overlap))
+
+
+def counted_boundary_windows(text: Column, size: int = CHUNK_TOKENS, overlap: int = CHUNK_OVERLAP) -> Column:
+    """:func:`boundary_windows` as structs of content and token count."""
     half = size // 2
     if not 0 <= overlap < half:
         raise ValueError("overlap must be smaller than half the size")
@@ -177,14 +226,14 @@ def boundary_windows(text: Column, size: int = CHUNK_TOKENS, overlap: int = CHUN
             moved = let(
                 end,
                 lambda e: state(
-                    F.concat(acc["out"], F.array(strip(F.array_join(F.slice(toks, start + 1, e - start), "")))),
+                    F.concat(acc["out"], F.array(_window(toks, start, e - start))),
                     F.when(e >= n, n).otherwise(e - overlap),
                 ),
             )
             return F.when(start >= n, acc).otherwise(moved)
 
         rounds = F.sequence(F.lit(0), F.floor(n / F.lit(pace)).cast("int"))
-        return F.aggregate(rounds, state(F.array().cast("array<string>"), F.lit(0)), step, lambda acc: acc["out"])
+        return F.aggregate(rounds, state(F.array().cast(COUNTED), F.lit(0)), step, lambda acc: acc["out"])
 
     return let(spaced_tokens(text), cut)
 

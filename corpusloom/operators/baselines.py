@@ -13,7 +13,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import let, sentences, tokens, words
+from corpusloom.functions.text import let, runs, sentences, tokens, words
 from corpusloom.operators.relational import nearest_term
 from corpusloom.plans.skew import first_per_key
 
@@ -132,38 +132,29 @@ def similarity(a: Column, b: Column) -> Column:
         return F.transform(tokens(F.lower(text)), lambda t: F.struct(t.alias("t"), F.lit(side).alias("side")))
 
     def count_runs(pool: Column) -> Column:
-        starts = F.filter(
-            F.sequence(F.lit(0), F.greatest(F.size(pool) - 1, F.lit(0))),
-            lambda i: (F.size(pool) > 0) & ((i == 0) | (F.get(pool, i) != F.get(pool, i - 1))),
-        )
-        return let(
-            starts,
-            lambda ps: F.transform(
-                ps,
-                lambda p, j: F.struct(
-                    F.get(pool, p)["t"].alias("t"),
-                    F.get(pool, p)["side"].alias("side"),
-                    (F.coalesce(F.get(ps, j + 1), F.size(pool)) - p).cast("double").alias("n"),
-                ),
+        return runs(
+            pool,
+            lambda p, n: F.struct(
+                F.get(pool, p)["t"].alias("t"), F.get(pool, p)["side"].alias("side"), n.cast("double").alias("n")
             ),
         )
 
-    def total(runs: Column, value) -> Column:
-        return F.aggregate(F.transform(runs, value), F.lit(0.0), lambda acc, x: acc + x)
+    def total(counts: Column, value) -> Column:
+        return F.aggregate(F.transform(counts, value), F.lit(0.0), lambda acc, x: acc + x)
 
-    def score(runs: Column) -> Column:
+    def score(counts: Column) -> Column:
         # In sorted order a token's run of side 0 stands right before its run of side 1.
         def pair(r: Column, j: Column, value: Column) -> Column:
-            after = F.get(runs, j + 1)
+            after = F.get(counts, j + 1)
             return F.when((r["side"] == 0) & (after["t"] == r["t"]), value).otherwise(F.lit(0.0))
 
-        shared = total(runs, lambda r, j: pair(r, j, F.lit(1.0)))
-        product = total(runs, lambda r, j: pair(r, j, r["n"] * F.get(runs, j + 1)["n"]))
+        shared = total(counts, lambda r, j: pair(r, j, F.lit(1.0)))
+        product = total(counts, lambda r, j: pair(r, j, r["n"] * F.get(counts, j + 1)["n"]))
 
         def square(side: int) -> Column:
-            return total(runs, lambda r: F.when(r["side"] == side, r["n"] * r["n"]).otherwise(F.lit(0.0)))
+            return total(counts, lambda r: F.when(r["side"] == side, r["n"] * r["n"]).otherwise(F.lit(0.0)))
 
-        jaccard = let(shared, lambda s: F.try_divide(s, F.size(runs) - s))
+        jaccard = let(shared, lambda s: F.try_divide(s, F.size(counts) - s))
         cosine = F.try_divide(product, F.sqrt(square(0) * square(1)))
         return F.struct(
             F.coalesce(jaccard, F.lit(0.0)).alias("jaccard"), F.coalesce(cosine, F.lit(0.0)).alias("cosine")
@@ -173,32 +164,48 @@ def similarity(a: Column, b: Column) -> Column:
     return let(pool, lambda p: let(count_runs(p), score))
 
 
-def summarize(df: DataFrame, id_cols: Sequence[str], col: str, n: int = 2) -> DataFrame:
+def summarize(col: Column, n: int = 2) -> Column:
     """The ``n`` sentences with the highest mean term frequency, in text order.
 
-    Everything after the first exchange is keyed by document, so the terms
-    are shuffled once; a document's terms are bounded by its length.
+    Computed within the row, so no text is shuffled: the words are sorted to
+    count them in runs, and sorted by sentence to average their counts.
     """
-    from pyspark.sql import Window
 
-    ids = list(id_cols)
-    sents = df.select(*ids, F.posexplode(sentences(F.col(col))).alias("pos", "sentence"))
-    terms = sents.select(*ids, "pos", F.explode(words(F.col("sentence"))).alias("word"))
-    counted = terms.groupBy(*ids, "pos", "word").agg(F.count(F.lit(1)).alias("n"))
-    local = counted.repartition(*ids)
-    tf = F.sum("n").over(Window.partitionBy(*ids, "word"))
-    scored = (
-        local.withColumn("tf", tf)
-        .groupBy(*ids, "pos")
-        .agg((F.sum(F.col("n") * F.col("tf")) / F.sum("n")).alias("score"))
-    )
-    chosen = first_per_key(scored, ids, [F.desc(F.round("score", 6)), F.col("pos")], n)
-    return (
-        chosen.join(sents, [*ids, "pos"])
-        .groupBy(*ids)
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "sentence"))).alias("__s"))
-        .select(*ids, F.array_join(F.transform("__s", lambda s: s["sentence"]), " ").alias("summary"))
-    )
+    def frequencies(pairs: Column) -> Column:
+        """(sentence, frequency of the word) for every word, from pairs sorted by word."""
+        return F.flatten(
+            runs(
+                pairs,
+                lambda p, size: F.transform(
+                    F.slice(pairs, p + 1, size), lambda w: F.struct(w["pos"].alias("pos"), size.alias("tf"))
+                ),
+                lambda a, b: a["word"] == b["word"],
+            )
+        )
+
+    def scores(found: Column) -> Column:
+        """Sentences as (minus score, place), to be sorted; from pairs sorted by sentence."""
+
+        def mean(p: Column, size: Column) -> Column:
+            total = F.aggregate(F.slice(found, p + 1, size), F.lit(0.0), lambda acc, w: acc + w["tf"])
+            return F.struct((-F.round(total / size, 6)).alias("score"), F.get(found, p)["pos"].alias("pos"))
+
+        return runs(found, mean, lambda a, b: a["pos"] == b["pos"])
+
+    def pick(all_sentences: Column) -> Column:
+        pairs = F.flatten(
+            F.transform(
+                all_sentences,
+                lambda s, i: F.transform(words(s), lambda w: F.struct(w.alias("word"), i.alias("pos"))),
+            )
+        )
+        ranked = let(
+            F.array_sort(pairs), lambda ps: let(F.array_sort(frequencies(ps)), lambda found: F.array_sort(scores(found)))
+        )
+        places = F.array_sort(F.transform(F.slice(ranked, 1, n), lambda s: s["pos"]))
+        return F.array_join(F.transform(places, lambda i: F.get(all_sentences, i)), " ")
+
+    return let(sentences(col), pick)
 
 
 def translate(df: DataFrame, id_cols: Sequence[str], col: str, glossary: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ def chunk_documents(
     ``boundaries=False``), and chunks of ``min_tokens`` or fewer dropped. A
     narrow plan: one projection and one generate above the scan.
     """
-    window = tx.boundary_windows if boundaries else tx.token_windows
+    window = tx.counted_boundary_windows if boundaries else tx.counted_token_windows
     merged = tx.merge_sections(tx.strip_data_images(F.col(text)), max_tokens, counter)
     chunks = F.flatten(F.transform(merged, lambda s: window(s, max_tokens, overlap)))
     return _explode_chunks(df.filter(F.col(text).isNotNull()), chunks, id_cols, counter, min_tokens)
@@ -47,7 +47,7 @@ def chunk_windows(
     overlap: int = tx.CHUNK_OVERLAP,
 ) -> DataFrame:
     """Plain windows over the whole text, for text without sections."""
-    chunks = tx.token_windows(F.col(text), max_tokens, overlap)
+    chunks = tx.counted_token_windows(F.col(text), max_tokens, overlap)
     return _explode_chunks(df.filter(F.col(text).isNotNull()), chunks, id_cols, tx.token_count, min_tokens)
 
 
@@ -59,12 +59,23 @@ def chunk_sentences(
     overlap: int = tx.SENTENCE_OVERLAP,
 ) -> DataFrame:
     """Chunks of whole sentences; texts that are null give none."""
-    chunks = tx.sentence_windows(F.col(text), size, overlap)
+    chunks = tx.counted_contents(tx.sentence_windows(F.col(text), size, overlap))
     return _explode_chunks(df.filter(F.col(text).isNotNull()), chunks, id_cols, tx.token_count, 0)
 
 
 def _explode_chunks(
     df: DataFrame, chunks: Column, id_cols: Sequence[str], counter: Callable[[Column], Column], min_tokens: int
 ) -> DataFrame:
-    rows = df.select(*id_cols, F.posexplode(chunks).alias("pos", "content"))
-    return rows.withColumn("n_tokens", counter(F.col("content"))).filter(F.col("n_tokens") > min_tokens)
+    # Counting and filtering inside the array handles each chunk once; a filter
+    # on a column made by a projection would be pushed down and count it again.
+    # Windows bring their count in tokens; another counter has to look at the text.
+    numbered = F.transform(
+        chunks,
+        lambda c, i: F.struct(
+            i.alias("pos"),
+            c["content"].alias("content"),
+            (c["n_tokens"] if counter is tx.token_count else counter(c["content"])).alias("n_tokens"),
+        ),
+    )
+    kept = F.filter(numbered, lambda c: c["n_tokens"] > min_tokens)
+    return df.select(*id_cols, F.explode(kept).alias("__c")).select(*id_cols, "__c.*")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import tokens
@@ -17,30 +18,28 @@ MAX_BATCH = 150
 Backend = Callable[[list[str]], Sequence[Sequence[float]]]
 
 
-def token_slots(text: Column, dim: int) -> Column:
-    """Signed slots of the tokens: slot from the leading 32 bits of the md5,
-    sign from its last digit (below 8: plus). Slots are 1-based."""
-
-    def slot(token: Column) -> Column:
-        digest = F.md5(token)
-        bucket = F.conv(F.substr(digest, F.lit(1), F.lit(8)), 16, 10).cast("long") % dim + 1
-        plus = F.substr(digest, F.lit(32), F.lit(1)) < "8"
-        return F.when(plus, bucket).otherwise(-bucket).cast("int")
-
-    return F.transform(tokens(F.lower(text)), slot)
+def _hashed_bag(dim: int):
+    """Arrow UDF from token lists to unit vectors, a whole batch at a time.
 
+    The leading 32 bits of a token's md5 give its slot, the last hex digit
+    its sign (below 8: plus). Each distinct token of a batch is hashed once.
+    """
 
-def _pack_slots(dim: int):
-    """Arrow UDF turning signed slots into unit vectors, a whole batch at a time."""
+    def slot_and_sign(token: str) -> tuple[int, int]:
+        digest = hashlib.md5(token.encode(), usedforsecurity=False).digest()
+        return int.from_bytes(digest[:4], "big") % dim, 1 if digest[-1] % 16 < 8 else -1
 
     @F.arrow_udf("array<float>")
-    def pack(slots: pa.Array) -> pa.Array:
-        n = len(slots)
-        flat = slots.flatten().to_numpy(zero_copy_only=False)
-        lengths = slots.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-        rows = np.repeat(np.arange(n), lengths)
-        cells = rows * dim + np.abs(flat) - 1
-        sums = np.bincount(cells, weights=np.sign(flat), minlength=n * dim).reshape(n, dim)
+    def pack(token_lists: pa.Array) -> pa.Array:
+        n = len(token_lists)
+        sums = np.zeros((n, dim))
+        flat = token_lists.flatten().dictionary_encode()
+        if len(flat):
+            hashed = np.array([slot_and_sign(t) for t in flat.dictionary.to_pylist()], dtype=np.int64)
+            slots, signs = hashed[flat.indices.to_numpy(zero_copy_only=False)].T
+            lengths = token_lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            rows = np.repeat(np.arange(n), lengths)
+            sums = np.bincount(rows * dim + slots, weights=signs, minlength=n * dim).reshape(n, dim)
         size = np.linalg.norm(sums, axis=1, keepdims=True)
         unit = (sums / np.where(size == 0, 1.0, size)).astype(np.float32)
         offsets = pa.array(np.arange(0, (n + 1) * dim, dim, dtype=np.int32))
@@ -65,7 +64,7 @@ def embed(
     marked non-deterministic so that pushed filters do not run it twice.
     """
     if backend is None:
-        return df.withColumn(out, _pack_slots(dim)(token_slots(F.col(col), dim)))
+        return df.withColumn(out, _hashed_bag(dim).asNondeterministic()(tokens(F.lower(F.col(col)))))
 
     @F.arrow_udf("array<float>")
     def call(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -75,7 +75,7 @@ def infer(
     """Add the backend's reply to every row.
 
     Each distinct prompt is asked once, however many rows share it, and the
-    replies are joined back by prompt hash with hot prompts split. With
+    replies are joined back by prompt hash; a hot prompt's partition is split. With
     ``store`` (a path) replies are kept there by prompt hash: prompts already
     answered are not asked again, by a later action, run or retry. With
     ``response_ddl`` the reply is parsed and checked (columns of
@@ -83,9 +83,10 @@ def infer(
     """
     keyed = df.withColumn("__key", F.md5(F.col(prompt_col)))
     asked = (
-        keyed.filter(F.col(prompt_col).isNotNull())
-        .groupBy("__key")
-        .agg(F.first(prompt_col).alias("__prompt"))
+        df.select(F.col(prompt_col).alias("__prompt"))
+        .filter("__prompt is not null")
+        .distinct()
+        .withColumn("__key", F.md5("__prompt"))
     )
     if store is None:
         replies = _answer(asked, backend, batch_size, on_error)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.plans.skew import dim_join, first_per_key, skew_join
+from corpusloom.plans.skew import first_per_key, skew_join
 
 
 def top_groups(fact: DataFrame, dim: DataFrame, on: str, name_col: str, id_col: str, k: int = 10) -> DataFrame:
@@ -126,14 +126,14 @@ def lookup_enrich(
     """Attributes looked up by lower-cased key; null where the name is unknown.
 
     No broadcast hint is given: Spark broadcasts the dimension when its size
-    allows, and else the hot keys of ``df`` are split. With ``payload_ddl``
+    allows, and else skewed partitions of ``df`` are split. With ``payload_ddl``
     the JSON in ``payload_col`` is parsed into the column ``payload``.
     """
     side = dim.withColumn("__key", F.lower(F.col(dim_key))).drop(dim_key)
     if payload_col:
         side = side.withColumn("payload", F.from_json(F.col(payload_col), payload_ddl)).drop(payload_col)
     keyed = df.withColumn("__key", F.lower(F.col(key)))
-    return dim_join(keyed, side, ["__key"], "left").drop("__key")
+    return skew_join(keyed, side, ["__key"], "left").drop("__key")
 
 
 # Layout of the looked-up payload.

@@ -18,12 +18,14 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.vectors import as_matrix, unit_rows
 from corpusloom.operators.embedding import Backend, embed
-from corpusloom.plans.skew import first_per_key, skew_join
+from corpusloom.plans.skew import broadcast_limit, first_per_key, skew_join
 
 # Bytes of one block of vectors in double precision.
 BLOCK_BYTES = 64 * 1024 * 1024
 # Similarities are compared after rounding to this many decimals; ties go to the smaller id.
 DECIMALS = 6
+# Bytes of one hit in a hash table, generously.
+HIT_BYTES = 256
 # Upper bound of the number of cells, whose centroids every task holds.
 MAX_CELLS = 16_384
 
@@ -184,7 +186,8 @@ def _nearest_cells(centroids: DataFrame, probe: int):
         best = np.argsort(gaps, axis=1, kind="stable")[:, :take]
         return pa.array(ids[best].astype(np.int32).tolist(), type=pa.list_(pa.int32()))
 
-    return nearest
+    # Not copied into the filters that Spark infers for the explode of its result.
+    return nearest.asNondeterministic()
 
 
 def assign_cells(index: DataFrame, centroids: DataFrame, vector: str = "embedding") -> DataFrame:
@@ -207,7 +210,8 @@ def knn_cells(
 ) -> DataFrame:
     """Approximate nearest neighbours: exact ranking within the ``probe`` nearest cells.
 
-    ``cells`` are centroids from :func:`train_cells` or another source. A cell
+    ``cells`` are centroids from :func:`train_cells` or another source. An index
+    stored with its ``cell`` column (:func:`assign_cells`) is used as it is. A cell
     holding much of the index is cut into as many blocks as its size asks for,
     and its queries likewise. Always quote recall together with the share of
     pairs compared (:func:`recall_report`).
@@ -215,7 +219,10 @@ def knn_cells(
     q, i = _sides(queries, index, query_id, id, vector)
     rows_per_block = max(1, block_bytes // (8 * _dimensions(i, "i_vector")))
     q = q.withColumn("cell", F.explode(_nearest_cells(cells, probe)(F.col("q_vector"))))
-    i = i.withColumn("cell", _nearest_cells(cells, 1)(F.col("i_vector"))[0])
+    if "cell" in index.columns:
+        i = index.select(F.col(id).alias("id"), F.col(vector).alias("i_vector"), "cell").filter("i_vector is not null")
+    else:
+        i = i.withColumn("cell", _nearest_cells(cells, 1)(F.col("i_vector"))[0])
 
     # One row per cell, at most MAX_CELLS: small by construction.
     def parts(df: DataFrame, name: str) -> DataFrame:
@@ -270,9 +277,13 @@ def retrieve(
 ) -> DataFrame:
     """Nearest neighbours with chosen columns of the documents they stand for.
 
-    A document near to many queries is a hot key; the join splits it.
+    There are at most k hits per query. When that bound keeps them below the
+    broadcast threshold the documents are only scanned; else both sides are
+    shuffled, and a document near to many queries has its partition split.
     """
     hits = knn(queries, index, k, **options)
+    if queries.count() * k * HIT_BYTES <= broadcast_limit(docs):
+        hits = F.broadcast(hits)
     wanted = docs.select(F.col(doc_id).alias("id"), *[c for c in columns if c not in ("id", doc_id)])
     return skew_join(hits, wanted, ["id"], "inner").select("query_id", "rank", "score", *columns)
 

@@ -23,7 +23,28 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> Data
     return counts.filter(F.col("__rows") * share > total).select(*keys)
 
 
-def skew_join(
+def balances_joins(df: DataFrame) -> bool:
+    """Whether the session splits skewed join partitions at run time."""
+    conf = df.sparkSession.conf
+    on = [conf.get(f"spark.sql.adaptive.{name}") for name in ("enabled", "skewJoin.enabled")]
+    return all(value == "true" for value in on)
+
+
+def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Equi-join whose left side may have hot keys (``how``: inner or left).
+
+    Adaptive execution splits a skewed left partition by the map tasks it
+    came from and hands each piece the matching right partition, with no extra
+    pass over the data. Sessions without it get a salted join.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("skew_join supports inner and left joins")
+    if balances_joins(left):
+        return left.join(right, list(on), how)
+    return salted_join(left, right, on, how)
+
+
+def salted_join(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[str],
@@ -31,14 +52,12 @@ def skew_join(
     splits: int = SPLITS,
     share: int = HOT_SHARE,
 ) -> DataFrame:
-    """Equi-join whose left side may have hot keys (``how``: inner or left).
+    """Equi-join that salts the hot keys of its left side.
 
     Left rows of a hot key are divided by the partition they come from, which
     a retried task reproduces; the matching right rows are copied once per
     division. All other keys join as usual.
     """
-    if how not in ("inner", "left"):
-        raise ValueError("skew_join supports inner and left joins")
     on = list(on)
     hot = F.broadcast(hot_keys(left, on, share).withColumn("__hot", F.lit(True)))
     salted_left = (
@@ -60,23 +79,9 @@ def skew_join(
     return salted_left.join(salted_right, [*on, "__salt"], how).drop("__salt")
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's own size estimate lets it broadcast ``df`` unasked."""
-    session = df.sparkSession._jsparkSession
-    limit = session.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
-
-
-def dim_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
-    """Join to a dimension of any size.
-
-    Within Spark's broadcast threshold the plain join is left to the
-    optimizer, which then broadcasts; beyond it hot keys of ``left`` are split.
-    """
-    if fits_broadcast(right):
-        return left.join(right, list(on), how)
-    return skew_join(left, right, on, how)
+def broadcast_limit(df: DataFrame) -> int:
+    """Largest side, in bytes, that Spark would broadcast unasked (-1: none)."""
+    return df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
 def add_list_part(df: DataFrame, keys: Sequence[str], limit: int = LIST_LIMIT) -> DataFrame:

@@ -84,9 +84,13 @@ def run_incremental_corpus(
     chunker: Callable[[DataFrame], DataFrame],
     embedder: Callable[[DataFrame], DataFrame],
     is_path: bool = False,
+    partitions: int | None = None,
 ) -> dict:
     """Chunk and embed new source rows and append them to ``target``.
 
-    ``chunker`` must get raw text: text cut into chunks earlier would be cut again.
+    ``chunker`` must get raw text: text cut into chunks earlier would be cut
+    again. ``partitions`` spreads sources that arrive in few large files.
     """
+    if partitions:
+        source_stream = source_stream.repartition(partitions)
     return run_incremental(embedder(chunker(source_stream)), target, checkpoint, is_path)

@@ -32,7 +32,7 @@ def streamed_index(spark, sf):
 
     for _ in range(2):
         stream = files.stream_parquet(spark, sf, schema, "documents.parquet")
-        incremental.run_incremental_corpus(stream, target, checkpoint, chunk, embed, is_path=True)
+        incremental.run_incremental_corpus(stream, target, checkpoint, chunk, embed, True, spark.sparkContext.defaultParallelism)
     written = spark.read.parquet(target)
     return written.select("id", "doc_id", F.size("embedding").alias("dimensions"))
 
