@@ -72,7 +72,7 @@ def token_count(text: Column) -> Column:
 
 def sentences(text: Column) -> Column:
     """Sentences with their end marks; a line break also ends a sentence."""
-    found = F.regexp_extract_all(text, F.lit(r"[^.!?\n]+[.!?]*"), F.lit(0))
+    found = F.regexp_extract_all(text, F.lit(r"[^.!?\n]+[.!?]*|[.!?]+"), F.lit(0))
     return F.filter(F.transform(found, strip), lambda s: s != "")
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.text import let, runs, sentences, tokens, words
 from corpusloom.operators.relational import nearest_term
-from corpusloom.plans.skew import first_per_key
+from corpusloom.plans.skew import first_per_key, skew_join, word_list
 
 __all__ = [
     "PATTERNS",
@@ -56,9 +56,9 @@ def sentiment(df: DataFrame, id_cols: Sequence[str], col: str, lexicon: DataFram
     All words of a document are scored within its task, so the partial sums
     shuffle one small row per document and never its text.
     """
+    found = df.select(*id_cols, F.explode_outer(words(F.col(col))).alias("word"))
     hits = (
-        df.select(*id_cols, F.explode_outer(words(F.col(col))).alias("word"))
-        .join(lexicon.select("word", "weight"), "word", "left")
+        skew_join(found, word_list(lexicon.select("word", "weight")), ["word"])
         .groupBy(*id_cols)
         .agg(F.coalesce(F.sum("weight"), F.lit(0)).cast("long").alias("score"))
     )
@@ -68,9 +68,9 @@ def sentiment(df: DataFrame, id_cols: Sequence[str], col: str, lexicon: DataFram
 
 def classify(df: DataFrame, id_cols: Sequence[str], col: str, keywords: DataFrame) -> DataFrame:
     """Label with most keyword hits (``label, word`` table), ties by label; null without a hit."""
+    found = df.select(*id_cols, F.explode_outer(words(F.col(col))).alias("word"))
     scored = (
-        df.select(*id_cols, F.explode_outer(words(F.col(col))).alias("word"))
-        .join(keywords.select("label", "word"), "word", "left")
+        skew_join(found, word_list(keywords.select("label", "word")), ["word"])
         .groupBy(*id_cols, "label")
         .agg(F.count("label").alias("hits"))
     )
@@ -160,7 +160,7 @@ def similarity(a: Column, b: Column) -> Column:
             F.coalesce(jaccard, F.lit(0.0)).alias("jaccard"), F.coalesce(cosine, F.lit(0.0)).alias("cosine")
         )
 
-    pool = F.array_sort(F.concat(tagged(a, 0), tagged(b, 1)))
+    pool = F.sort_array(F.concat(tagged(a, 0), tagged(b, 1)))
     return let(pool, lambda p: let(count_runs(p), score))
 
 
@@ -200,9 +200,9 @@ def summarize(col: Column, n: int = 2) -> Column:
             )
         )
         ranked = let(
-            F.array_sort(pairs), lambda ps: let(F.array_sort(frequencies(ps)), lambda found: F.array_sort(scores(found)))
+            F.sort_array(pairs), lambda ps: let(F.sort_array(frequencies(ps)), lambda found: F.sort_array(scores(found)))
         )
-        places = F.array_sort(F.transform(F.slice(ranked, 1, n), lambda s: s["pos"]))
+        places = F.sort_array(F.transform(F.slice(ranked, 1, n), lambda s: s["pos"]))
         return F.array_join(F.transform(places, lambda i: F.get(all_sentences, i)), " ")
 
     return let(sentences(col), pick)
@@ -217,7 +217,7 @@ def translate(df: DataFrame, id_cols: Sequence[str], col: str, glossary: DataFra
     ids = list(id_cols)
     vocabulary = df.select(*ids, F.explode(F.array_distinct(words(F.col(col)))).alias("source"))
     found = (
-        vocabulary.join(glossary.select("source", "target"), "source")
+        skew_join(vocabulary, word_list(glossary.select("source", "target")), ["source"], "inner")
         .groupBy(*ids)
         .agg(F.map_from_entries(F.collect_list(F.struct("source", "target"))).alias("__map"))
     )

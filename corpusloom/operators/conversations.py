@@ -31,7 +31,7 @@ def assemble_messages(
     numbers, so a list stays bounded; ordinary conversations have part 0 only.
     """
     part = F.floor(F.col(turn) / part_turns).cast("int")
-    listed = F.array_sort(
+    listed = F.sort_array(
         F.collect_list(F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("content")))
     )
     grouped = df.groupBy(conv, part.alias("part")).agg(listed.alias("__m"))

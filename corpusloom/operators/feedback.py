@@ -43,7 +43,7 @@ def deduplicate_assessments(df: DataFrame, mode: str = "fixed", list_limit: int
     )
     lists = (
         retrievals.groupBy(*list_keys, "part")
-        .agg(F.array_sort(F.collect_list("retrieval_assessment")).alias("retrieval_assessments"))
+        .agg(F.sort_array(F.collect_list("retrieval_assessment")).alias("retrieval_assessments"))
         .select(F.col("request_id").alias("__r_request"), F.col("__reviewer").alias("__r_reviewer"), "retrieval_assessments")
     )
     merged = texts.join(

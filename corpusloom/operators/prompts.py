@@ -41,7 +41,7 @@ def few_shot_prompt(
     """
     few = F.assert_true(F.count(F.lit(1)) <= MAX_EXAMPLES, F.lit("too many examples for one prompt"))
     listed = F.array_join(
-        F.transform(F.array_sort(F.collect_list(F.struct(order, example))), lambda e: e[example]), sep
+        F.transform(F.sort_array(F.collect_list(F.struct(order, example))), lambda e: e[example]), sep
     )
     # assert_true is null when it holds; concat_ws leaves nulls out.
     return examples.agg(

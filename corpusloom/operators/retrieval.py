@@ -301,9 +301,9 @@ def assemble_context(
 
     A query has at most k hits, so the collected lists are short.
     """
-    lists = [F.array_sort(F.collect_list(F.struct("rank", content))).alias("__hits")]
+    lists = [F.sort_array(F.collect_list(F.struct("rank", content))).alias("__hits")]
     if url:
-        lists.append(F.array_sort(F.collect_set(url)).alias("sources"))
+        lists.append(F.sort_array(F.collect_set(url)).alias("sources"))
     grouped = hits.groupBy(query_id).agg(*lists)
     context = F.array_join(F.transform("__hits", lambda h: h[content]), "\n\n")
     joined = questions.join(grouped.withColumn("context", F.coalesce(context, F.lit(""))).drop("__hits"), query_id, "left")

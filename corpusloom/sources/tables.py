@@ -25,9 +25,15 @@ def load_snapshot(spark: SparkSession, path: str, drop: Sequence[str] = ()) -> D
     return spark.read.parquet(path).drop(*drop)
 
 
-def load_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """CSV with a header. Without a schema the types are inferred, which reads the file twice."""
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+def load_csv(
+    spark: SparkSession, path: str, schema: StructType | str | None = None, multi_line: bool = False
+) -> DataFrame:
+    """CSV with a header.
+
+    Without a schema the types are inferred, which reads the files twice.
+    ``multi_line`` allows line breaks in quoted fields; such files cannot be split among tasks.
+    """
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return reader.csv(path)
 

@@ -165,9 +165,9 @@ FROM f GROUP BY doc_id
 """)
 def merged_sections(spark, sf):
     """Documents with a heading before every sentence; small sections merged up to half the bound."""
-    docs = spread(table(spark, sf, "documents"))
+    docs = spread(table(spark, sf, "documents")).filter(F.regexp_like("text", F.lit(r"\S")))
     headed = F.replace(F.col("text"), F.lit(". "), F.lit(".\n## Part\n"))
-    merged = docs.select("doc_id", tx.merge_sections(headed).alias("s")).filter(F.size("s") > 0)
+    merged = docs.select("doc_id", tx.merge_sections(headed).alias("s"))
     return merged.select("doc_id", F.size("s").alias("sections"), F.md5(F.array_join("s", "|")).alias("digest"))
 
 

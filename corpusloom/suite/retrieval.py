@@ -58,7 +58,7 @@ def _label_cells(spark, sf):
         .agg(F.avg(F.col("x").cast("double")).alias("m"))
     )
     # One short list per label.
-    listed = F.array_sort(F.collect_list(F.struct("i", "m")))
+    listed = F.sort_array(F.collect_list(F.struct("i", "m")))
     return means.groupBy(F.col("label").alias("cell")).agg(F.transform(listed, lambda s: s["m"]).alias("centroid"))
 
 

@@ -129,7 +129,7 @@ def turn_similarity(spark, sf):
 
 
 @suite.add(rf"""
-WITH s AS (SELECT doc_id, list_filter(list_transform(regexp_extract_all(text, '[^.!?\n]+[.!?]*'),
+WITH s AS (SELECT doc_id, list_filter(list_transform(regexp_extract_all(text, '[^.!?\n]+[.!?]*|[.!?]+'),
              lambda x: trim(x, chr(32) || chr(9) || chr(13) || chr(10))), lambda x: x <> '') AS ss FROM documents),
 u AS (SELECT doc_id, unnest(ss) AS sentence, unnest(range(len(ss))) AS pos FROM s),
 w AS (SELECT doc_id, pos, unnest(regexp_extract_all(lower(sentence), '{WORD_SQL}')) AS word FROM u),
