@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpusloom.functions import model_sql
 from corpusloom.operators import inference, prompts, relational as rel, structured
 from corpusloom.plans.parallelism import spread
 from corpusloom.suite import Suite, table
@@ -204,3 +205,58 @@ SELECT p_partkey, array_to_string(list_distinct_in_order, '|') AS tags FROM (
 def multi_values(spark, sf):
     delimited = F.concat(F.col("p_brand"), F.lit(" , "), F.replace(F.col("p_type"), F.lit(" "), F.lit(",")), F.lit(",,"), F.col("p_brand"))
     return table(spark, sf, "part").select("p_partkey", F.array_join(structured.split_multi(delimited), "|").alias("tags"))
+
+
+def sql_backend(texts: list[str], response_format: str | None) -> list[str]:
+    """Stand-in model for SQL: a JSON reply when a schema is asked for, else a bare number."""
+    if response_format:
+        return [f'{{"sentiment":"{len(t) % 3}"}}' for t in texts]
+    return [str(len(t) % 3) if len(t) % 5 else "I am not sure" for t in texts]
+
+
+RESPONSE_FORMAT = """{"type": "json_schema", "json_schema": {"name": "sentiment_score", "schema": {"type": "object",
+ "properties": {"sentiment": {"type": "string", "enum": ["0", "1", "2"]}}}, "strict": true}}"""
+
+
+@suite.add(f"""
+WITH p AS (SELECT doc_id, length('{INSTRUCTION}' || text) AS n FROM documents)
+SELECT doc_id, CASE WHEN n % 5 = 0 THEN 'I am not sure' ELSE CAST(n % 3 AS VARCHAR) END AS sentiment_pred,
+       CAST(n % 3 AS BIGINT) AS sentiment_pred_value FROM p
+""")
+def sql_inference(spark, sf):
+    """Batch inference in SQL text, with the prompt only and with a response schema."""
+    model_sql.register_model_functions(spark, {"small-model": sql_backend})
+    spread(table(spark, sf, "documents").select("doc_id", "text")).createOrReplaceTempView("documents_t")
+    return spark.sql(
+        f"""
+        SELECT doc_id,
+               ai_query('small-model', CONCAT('{INSTRUCTION}', text)) AS sentiment_pred,
+               ai_query('small-model', CONCAT('{INSTRUCTION}', text), responseFormat => '{RESPONSE_FORMAT}') AS reply,
+               try_cast(get_json_object(reply, '$.sentiment') AS LONG) AS sentiment_pred_value
+        FROM documents_t
+        """
+    ).drop("reply")
+
+
+@suite.add(r"""
+SELECT conv_id, turn, md5(regexp_replace(regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}', '[MASKED]', 'g'),
+         '\b[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\b', '[MASKED]', 'g')) AS masked,
+  CASE sign(list_sum([0] || list_transform(w, lambda x: CASE x WHEN 'the' THEN 1 WHEN 'le' THEN 1 WHEN 'und' THEN -2 WHEN 'of' THEN -1 ELSE 0 END)))
+    WHEN 1 THEN 'positive' WHEN -1 THEN 'negative' ELSE 'neutral' END AS sentiment,
+  CASE WHEN en >= greatest(fr, de, 1) THEN 'the and' WHEN fr >= greatest(de, 1) THEN 'le la' WHEN de > 0 THEN 'der und' END AS language
+FROM (SELECT *, len(list_filter(w, lambda x: x IN ('the', 'and'))) AS en, len(list_filter(w, lambda x: x IN ('le', 'la'))) AS fr,
+             len(list_filter(w, lambda x: x IN ('der', 'und'))) AS de
+      FROM (SELECT *, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM conversations))
+""")
+def sql_text_functions(spark, sf):
+    """The text functions in SQL over all conversation turns."""
+    model_sql.register_model_functions(spark, lexicon={"the": 1, "le": 1, "und": -2, "of": -1})
+    table(spark, sf, "conversations").createOrReplaceTempView("conversations_t")
+    return spark.sql(
+        """
+        SELECT conv_id, turn, md5(ai_mask(text, array('email', 'ip_address'))) AS masked,
+               ai_analyze_sentiment(text) AS sentiment,
+               ai_classify(text, array('the and', 'le la', 'der und')) AS language
+        FROM conversations_t
+        """
+    )
