@@ -23,10 +23,17 @@ ENTITIES = [
 ]
 
 
+ARTICLE = r"(?is)<article\b[^>]*>.*?</article>"
+
 # Marks a heading between matching its tag and writing its ``#`` signs.
 _LEVEL = "\u0002"
 
 
+def has_article(html: Column) -> Column:
+    """Whether :func:`html_to_text` gives a text."""
+    return F.regexp_like(html, F.lit(ARTICLE))
+
+
 def unescape(text: Column) -> Column:
     for entity, char in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
@@ -35,7 +42,7 @@ def unescape(text: Column) -> Column:
 
 def html_to_text(html: Column) -> Column:
     """Text of the first ``<article>`` with ``#`` headings; null when there is none."""
-    text = F.regexp_substr(html, F.lit(r"(?is)<article\b[^>]*>.*?</article>"))
+    text = F.regexp_substr(html, F.lit(ARTICLE))
     text = F.regexp_replace(text, r"(?is)<(script|style)\b.*?</\1>", "")
     text = F.regexp_replace(text, r"(?i)<h([1-6])\b[^>]*>", f"\n{_LEVEL}$1 ")
     for level in range(1, 7):

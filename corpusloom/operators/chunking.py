@@ -11,8 +11,12 @@ from corpusloom.functions import markup, text as tx
 
 
 def extract_pages(df: DataFrame, html: str = "html", out: str = "text") -> DataFrame:
-    """Main text of each page; pages without an article are left out."""
-    return df.withColumn(out, markup.html_to_text(F.col(html))).filter(F.col(out).isNotNull()).drop(html)
+    """Main text of each page; pages without an article are left out.
+
+    The filter looks at the markup: one on the text would be pushed down and
+    extract the text a second time.
+    """
+    return df.filter(markup.has_article(F.col(html))).withColumn(out, markup.html_to_text(F.col(html))).drop(html)
 
 
 def chunk_documents(
@@ -35,7 +39,7 @@ def chunk_documents(
     window = tx.counted_boundary_windows if boundaries else tx.counted_token_windows
     merged = tx.merge_sections(tx.strip_data_images(F.col(text)), max_tokens, counter)
     chunks = F.flatten(F.transform(merged, lambda s: window(s, max_tokens, overlap)))
-    return _explode_chunks(df.filter(F.col(text).isNotNull()), chunks, id_cols, counter, min_tokens)
+    return _explode_chunks(df, chunks, id_cols, counter, min_tokens)
 
 
 def chunk_windows(
@@ -48,7 +52,7 @@ def chunk_windows(
 ) -> DataFrame:
     """Plain windows over the whole text, for text without sections."""
     chunks = tx.counted_token_windows(F.col(text), max_tokens, overlap)
-    return _explode_chunks(df.filter(F.col(text).isNotNull()), chunks, id_cols, tx.token_count, min_tokens)
+    return _explode_chunks(df, chunks, id_cols, tx.token_count, min_tokens)
 
 
 def chunk_sentences(
@@ -60,12 +64,13 @@ def chunk_sentences(
 ) -> DataFrame:
     """Chunks of whole sentences; texts that are null give none."""
     chunks = tx.counted_contents(tx.sentence_windows(F.col(text), size, overlap))
-    return _explode_chunks(df.filter(F.col(text).isNotNull()), chunks, id_cols, tx.token_count, 0)
+    return _explode_chunks(df, chunks, id_cols, tx.token_count, 0)
 
 
 def _explode_chunks(
     df: DataFrame, chunks: Column, id_cols: Sequence[str], counter: Callable[[Column], Column], min_tokens: int
 ) -> DataFrame:
+    # A null text has null chunks, of which explode makes no row.
     # Counting and filtering inside the array handles each chunk once; a filter
     # on a column made by a projection would be pushed down and count it again.
     # Windows bring their count in tokens; another counter has to look at the text.

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom.operators import evaluation
+from corpusloom.plans.parallelism import spread
 from corpusloom.suite import Suite, table
 
 suite = Suite()
@@ -29,7 +30,7 @@ def evaluation_set(spark, sf):
 def _runs(spark, sf):
     """Each turn with its next turn as the answer, the last text of its conversation as the truth,
     and the document of the same number as the context."""
-    turns = table(spark, sf, "conversations")
+    turns = spread(table(spark, sf, "conversations"))
     answers = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer"))
     last = turns.groupBy("conv_id").agg(F.max_by("text", "turn").alias("expected_response"), F.max("turn").alias("last"))
     docs = table(spark, sf, "documents").select(F.col("doc_id").alias("conv_id"), F.col("text").alias("context"), "lang")

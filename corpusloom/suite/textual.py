@@ -119,7 +119,7 @@ LEFT JOIN x ON x.conv_id = c.conv_id AND x.turn = c.turn
 """)
 def turn_similarity(spark, sf):
     """Likeness of each turn and the next one."""
-    turns = table(spark, sf, "conversations")
+    turns = spread(table(spark, sf, "conversations"))
     following = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("next_text"))
     pairs = turns.join(following, ["conv_id", "turn"])
     scored = pairs.withColumn("s", baselines.similarity(F.col("text"), F.col("next_text")))
