@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.text import let, runs, sentences, tokens, words
 from corpusloom.operators.relational import nearest_term
-from corpusloom.plans.skew import first_per_key, skew_join, word_list
+from corpusloom.plans.skew import first_per_key, skew_join, small_side
 
 __all__ = [
     "PATTERNS",
@@ -58,7 +58,7 @@ def sentiment(df: DataFrame, id_cols: Sequence[str], col: str, lexicon: DataFram
     """
     found = df.select(*id_cols, F.explode_outer(words(F.col(col))).alias("word"))
     hits = (
-        skew_join(found, word_list(lexicon.select("word", "weight")), ["word"])
+        skew_join(found, small_side(lexicon.select("word", "weight")), ["word"])
         .groupBy(*id_cols)
         .agg(F.coalesce(F.sum("weight"), F.lit(0)).cast("long").alias("score"))
     )
@@ -70,7 +70,7 @@ def classify(df: DataFrame, id_cols: Sequence[str], col: str, keywords: DataFram
     """Label with most keyword hits (``label, word`` table), ties by label; null without a hit."""
     found = df.select(*id_cols, F.explode_outer(words(F.col(col))).alias("word"))
     scored = (
-        skew_join(found, word_list(keywords.select("label", "word")), ["word"])
+        skew_join(found, small_side(keywords.select("label", "word")), ["word"])
         .groupBy(*id_cols, "label")
         .agg(F.count("label").alias("hits"))
     )
@@ -217,7 +217,7 @@ def translate(df: DataFrame, id_cols: Sequence[str], col: str, glossary: DataFra
     ids = list(id_cols)
     vocabulary = df.select(*ids, F.explode(F.array_distinct(words(F.col(col)))).alias("source"))
     found = (
-        skew_join(vocabulary, word_list(glossary.select("source", "target")), ["source"], "inner")
+        skew_join(vocabulary, small_side(glossary.select("source", "target")), ["source"], "inner")
         .groupBy(*ids)
         .agg(F.map_from_entries(F.collect_list(F.struct("source", "target"))).alias("__map"))
     )

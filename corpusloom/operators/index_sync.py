@@ -4,11 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.plans.skew import small_side
+from corpusloom.plans.workspace import materialize
 
-def _hashed(df: DataFrame, content_cols: Sequence[str]) -> F.Column:
+
+# Column of a stored index that spares reading and hashing its content again.
+HASH_COLUMN = "content_hash"
+
+
+def content_hash(content_cols: Sequence[str]) -> Column:
+    """md5 of the content columns of a row."""
     # Lengths keep ('ab', 'c') and ('a', 'bc') apart; a null differs from an empty text.
     parts = [
         F.coalesce(F.concat(F.length(F.col(c).cast("string")), F.lit(":"), F.col(c).cast("string")), F.lit("null"))
@@ -17,25 +25,33 @@ def _hashed(df: DataFrame, content_cols: Sequence[str]) -> F.Column:
     return F.md5(F.concat_ws("|", *parts))
 
 
-def diff_snapshots(old: DataFrame, new: DataFrame, key: str, content_cols: Sequence[str]) -> DataFrame:
-    """Changes from ``old`` to ``new``: key, content and ``_change_type`` (insert, update, delete).
+def _hash_of(df: DataFrame, content_cols: Sequence[str]) -> Column:
+    return F.col(HASH_COLUMN) if HASH_COLUMN in df.columns else content_hash(content_cols)
+
+
+_CHANGE_TYPE = (
+    "CASE WHEN __old IS NULL THEN 'insert' WHEN __new IS NULL THEN 'delete' WHEN __old <> __new THEN 'update' END"
+)
+
 
-    Only keys and content hashes of ``old`` are shuffled. Keys are unique on
-    both sides, so the join cannot be skewed.
+def changed_keys(old: DataFrame, new: DataFrame, key: str, content_cols: Sequence[str]) -> DataFrame:
+    """``key, _change_type`` (insert, update, delete) of what differs.
+
+    Only keys and hashes are shuffled. Keys are unique on both sides, so the
+    join cannot be skewed.
     """
-    before = old.select(key, _hashed(old, content_cols).alias("__old"))
-    after = new.select(key, *content_cols, _hashed(new, content_cols).alias("__new"))
-    kind = (
-        F.when(F.col("__old").isNull(), "insert")
-        .when(F.col("__new").isNull(), "delete")
-        .when(F.col("__old") != F.col("__new"), "update")
-    )
-    return (
-        before.join(after, key, "full")
-        .withColumn("_change_type", kind)
-        .filter(F.col("_change_type").isNotNull())
-        .select(key, *content_cols, "_change_type")
-    )
+    before = old.select(key, _hash_of(old, content_cols).alias("__old"))
+    after = new.select(key, _hash_of(new, content_cols).alias("__new"))
+    kinds = before.join(after, key, "full").withColumn("_change_type", F.expr(_CHANGE_TYPE))
+    return kinds.filter("_change_type is not null").select(key, "_change_type")
+
+
+def diff_snapshots(old: DataFrame, new: DataFrame, key: str, content_cols: Sequence[str]) -> DataFrame:
+    """Changes from ``old`` to ``new``: key, new content and ``_change_type``, in one pass."""
+    before = old.select(key, _hash_of(old, content_cols).alias("__old"))
+    after = new.select(key, *content_cols, _hash_of(new, content_cols).alias("__new"))
+    kinds = before.join(after, key, "full").withColumn("_change_type", F.expr(_CHANGE_TYPE))
+    return kinds.filter("_change_type is not null").select(key, *content_cols, "_change_type")
 
 
 def apply_changes(index: DataFrame, changes: DataFrame, key: str) -> DataFrame:
@@ -82,7 +98,9 @@ def sync_index(source: DataFrame, root: str, key: str, content_cols: Sequence[st
     """Create the index when absent, else apply what changed; returns the change counts.
 
     ``build`` turns source rows into index rows (embedding them, for
-    instance) and is run on inserted and updated rows only.
+    instance) and is run on inserted and updated rows only. When it adds a
+    ``content_hash`` column (:func:`content_hash`), later runs compare by it
+    and do not read the content of the index.
     """
     spark = source.sparkSession
     index = current_version(spark, root)
@@ -90,15 +108,14 @@ def sync_index(source: DataFrame, root: str, key: str, content_cols: Sequence[st
         publish_version(build(source), root)
         fresh = current_version(spark, root)
         return fresh.agg(F.count(F.lit(1)).alias("count")).select(F.lit("insert").alias("_change_type"), "count")
-    changes = diff_snapshots(index, source, key, content_cols)
-    from corpusloom.plans.workspace import materialize
-
-    # Used three times below: counted, embedded and removed from the old version.
-    changes = materialize(changes, "index-changes")
+    # Written once: read again to count, to fetch the new content and to leave out the old rows.
+    changes = materialize(changed_keys(index, source, key, content_cols), "index-changes")
     counts = changes.groupBy("_change_type").agg(F.count(F.lit(1)).alias("count"))
     if changes.isEmpty():
         return counts
-    upserts = build(changes.filter("_change_type <> 'delete'").drop("_change_type"))
-    kept = index.join(changes.select(key), key, "left_anti")
-    publish_version(kept.select(*index.columns).unionByName(upserts.select(*index.columns)), root)
+    # Few changes are broadcast, and neither source nor index is shuffled.
+    touched = small_side(changes.select(key))
+    fresh = source.join(small_side(changes.filter("_change_type <> 'delete'").select(key)), key, "left_semi")
+    kept = index.join(touched, key, "left_anti")
+    publish_version(kept.select(*index.columns).unionByName(build(fresh).select(*index.columns)), root)
     return counts

@@ -190,18 +190,22 @@ def nearest_term(df: DataFrame, col: str, terms: DataFrame, term_col: str = "ter
     """
     lowered = F.lower(F.col(col))
     words = df.filter(F.col(col).isNotNull()).select(lowered.alias("__word")).distinct()
-    keyed_words = words.select("__word", F.explode(_deletions(F.col("__word"), max_distance)).alias("__v"))
-    term = terms.select(F.col(term_col).alias("nearest")).distinct()
-    keyed_terms = term.select("nearest", F.explode(_deletions(F.lower("nearest"), max_distance)).alias("__v"))
-    distance = F.levenshtein(F.col("__word"), F.lower("nearest"))
-    best = (
+    term = terms.groupBy(F.lower(F.col(term_col)).alias("__term")).agg(F.min(term_col).alias("nearest"))
+    # Most words are right: only those not found as they stand are varied.
+    looked_up = words.join(term, F.col("__word") == F.col("__term"), "left")
+    right = looked_up.filter("__term is not null").select("__word", "nearest", F.lit(0).alias("distance"))
+    wrong = looked_up.filter("__term is null").select("__word")
+    keyed_words = wrong.select("__word", F.explode(_deletions(F.col("__word"), max_distance)).alias("__v"))
+    keyed_terms = term.select("__term", "nearest", F.explode(_deletions(F.col("__term"), max_distance)).alias("__v"))
+    corrected = (
         keyed_words.join(keyed_terms, "__v")
-        .withColumn("distance", distance)
+        .withColumn("distance", F.levenshtein(F.col("__word"), F.col("__term")))
         .filter(F.col("distance") <= max_distance)
         .groupBy("__word")
         .agg(F.min(F.struct("distance", "nearest")).alias("__best"))
         .select("__word", "__best.nearest", "__best.distance")
     )
+    best = right.unionByName(corrected)
     return skew_join(df.withColumn("__word", lowered), best, ["__word"], "left").drop("__word")
 
 

@@ -122,11 +122,16 @@ def knn(
     vector: str = "embedding",
     exclude_self: bool = False,
     block_bytes: int = BLOCK_BYTES,
+    dim: int | None = None,
 ) -> DataFrame:
-    """Exact nearest neighbours: ``query_id, id, score, rank``."""
+    """Exact nearest neighbours: ``query_id, id, score, rank``.
+
+    Counts both sides when called, to choose the number of blocks; without
+    ``dim`` one vector is looked at.
+    """
     q, i = _sides(queries, index, query_id, id, vector)
     # Counting reads no vectors, and of an index still to be computed no vector is computed.
-    n_q, n_i, dim = queries.count(), index.count(), _dimensions(i, "i_vector")
+    n_q, n_i, dim = queries.count(), index.count(), dim or _dimensions(i, "i_vector")
     # At least one block per core, so that a small index is still searched in parallel.
     cores = index.sparkSession.sparkContext.defaultParallelism
     q_blocks = _blocks(n_q, dim, block_bytes)
@@ -149,8 +154,8 @@ def search_text(
     dim: int = 1024,
     **options,
 ) -> DataFrame:
-    """Nearest neighbours of texts: embed, then :func:`knn`."""
-    return knn(embed(queries, text, backend, dim), index, k, **options)
+    """Nearest neighbours of texts: embed, then :func:`knn`; ``dim`` is the length of the vectors."""
+    return knn(embed(queries, text, backend, dim), index, k, dim=dim, **options)
 
 
 def train_cells(index: DataFrame, cells: int, seed: int = 7, vector: str = "embedding", max_iter: int = 10) -> DataFrame:

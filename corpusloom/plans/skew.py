@@ -23,16 +23,17 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> Data
     return counts.filter(F.col("__rows") * share > total).select(*keys)
 
 
-# Rows of a word list that may be broadcast; wider tables are left to Spark's own size estimate.
-LIST_ROWS = 200_000
+# Rows of a narrow table (words, keys) that may be broadcast.
+SMALL_ROWS = 200_000
 
 
-def word_list(df: DataFrame, rows: int = LIST_ROWS) -> DataFrame:
-    """A word list marked for broadcast when it has at most ``rows`` rows.
+def small_side(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """A narrow table (words, keys) marked for broadcast when it has at most ``rows`` rows.
 
-    Spark has no size estimate for lists made on the driver, and would shuffle
-    every token to meet them. Counting stops at the bound; a longer list is
-    returned unmarked and joined by shuffle.
+    Spark has no size estimate for lists made on the driver, and none before
+    running an aggregate, and would shuffle the large side to meet them.
+    Counting stops at the bound; a longer list is returned unmarked and joined
+    by shuffle.
     """
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 

@@ -180,7 +180,32 @@ def images_removed(spark, sf):
     return docs.select("doc_id", F.md5(tx.strip_data_images(framed)).alias("digest"))
 
 
-@suite.add()
+@suite.add(f"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, i, s, regexp_extract_all(s, '{SPACED_SQL}') AS toks FROM (
+    SELECT doc_id, unnest(ss) AS s, generate_subscripts(ss, 1) AS i FROM (
+      SELECT doc_id, list_filter(list_transform(regexp_extract_all(text, '[^.!?\n]+[.!?]*|[.!?]+'),
+               lambda x: {trim_sql('x')}), lambda x: x <> '') AS ss FROM documents))),
+w AS (
+  SELECT doc_id, i, 0 AS j, s AS text, len(toks) AS n FROM t WHERE len(toks) <= 500
+  UNION ALL
+  SELECT doc_id, i, j, {trim_sql("array_to_string(list_slice(toks, j + 1, j + 500), '')")}, least(500, len(toks) - j)
+  FROM (SELECT *, unnest(range(0, len(toks), 500)) AS j FROM t WHERE len(toks) > 500)),
+k AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i, j) AS r, [{{'t': text, 'n': n}}] AS p, n FROM w),
+f AS (
+  SELECT doc_id, r, p AS cur, CAST(n AS BIGINT) AS n, CAST(NULL AS VARCHAR) AS done FROM k WHERE r = 1
+  UNION ALL
+  SELECT doc_id, r, CASE WHEN p IS NULL THEN NULL WHEN fits THEN cur || p ELSE cur[len(cur) - tail + 1:] || p END,
+         CASE WHEN fits THEN n + pn ELSE pn + coalesce(list_sum(list_transform(cur[len(cur) - tail + 1:], lambda x: x.n)), 0) END,
+         CASE WHEN fits THEN NULL ELSE array_to_string(list_transform(cur, lambda x: x.t), ' ') END
+  FROM (SELECT f.doc_id, f.r + 1 AS r, cur, f.n, p, k.n AS pn, coalesce(f.n + k.n <= 500, false) AS fits,
+               list_max([m FOR m IN range(0, len(cur) + 1)
+                         IF coalesce(list_sum(list_transform(cur[len(cur) - m + 1:], lambda x: x.n)), 0) <= least(10, 500 - k.n)]) AS tail
+        FROM f LEFT JOIN k ON k.doc_id = f.doc_id AND k.r = f.r + 1 WHERE cur IS NOT NULL))
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY r) - 1 AS INT) AS pos,
+       CAST(len(regexp_extract_all(done, '{TOKEN_SQL}')) AS INT) AS n_tokens, md5(done) AS digest
+FROM f WHERE done IS NOT NULL
+""")
 def sentence_chunks(spark, sf):
     chunks = chunking.chunk_sentences(spread(table(spark, sf, "documents")), "text", ["doc_id"])
     return chunks.select("doc_id", "pos", "n_tokens", F.md5("content").alias("digest"))

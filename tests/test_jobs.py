@@ -80,7 +80,7 @@ def test_payload_lookup(spark):
 
 def test_tool_calls(spark):
     def call(id, name):
-        return {"id": id, "function": {"name": name, "arguments": json.dumps({"pokemon": "X"})}}
+        return {"id": id, "function": {"name": name, "arguments": json.dumps({"item": "X"})}}
 
     rows = [
         (1, 0, "user", "hi", None),
@@ -90,7 +90,7 @@ def test_tool_calls(spark):
     df = spark.createDataFrame(rows, "conv_id int, turn int, role string, text string, tool_calls string")
     assert {r[0]: r[1] for r in conv.route(df).collect()} == {1: "continue", 2: "end"}
     tool = spark.createDataFrame([("x", 1, ["p"])], "key string, height int, abilities array<string>")
-    answers = conv.dispatch_tools(df, {"lookup": tool}, "pokemon").orderBy("turn").collect()
+    answers = conv.dispatch_tools(df, {"lookup": tool}, "item").orderBy("turn").collect()
     assert [(r["conv_id"], r["turn"], r["role"], r["tool_call_id"], r["content"]) for r in answers] == [
         (1, 2, "tool", "c1", '{"height":1,"abilities":["p"]}'),
         (1, 3, "tool", "c2", None),
@@ -197,7 +197,7 @@ def test_sentiment_shuffles_no_text(spark, monkeypatch):
     planned = baselines.sentiment(df, ["id"], "t", lexicon)
     assert plan_of(planned).count("Exchange hashpartitioning") == 1
     # A list over the bound is joined by shuffle, with the same result.
-    monkeypatch.setattr(baselines, "word_list", lambda words: skew.word_list(words, 1))
+    monkeypatch.setattr(baselines, "small_side", lambda words: skew.small_side(words, 1))
     shuffled = baselines.sentiment(df, ["id"], "t", lexicon)
     assert "SortMergeJoin" in plan_of(shuffled) and sorted(shuffled.collect()) == sorted(out.collect())
 

@@ -168,7 +168,8 @@ def test_index_follows_its_source(spark):
 
     def build(df):
         built.append(1)
-        return embedding.embed(df, "content", dim=8).select("id", "content", "embedding")
+        hashed = df.withColumn("content_hash", index_sync.content_hash(["content"]))
+        return embedding.embed(hashed, "content", dim=8).select("id", "content", "embedding", "content_hash")
 
     def source(rows):
         return spark.createDataFrame(rows, "id string, content string")
