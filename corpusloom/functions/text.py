@@ -142,8 +142,12 @@ def merge_sections(
             (counter(s["heading"]) + counter(s["body"])).alias("n"),
         ),
     )
-    empty = state(F.array().cast("array<string>"), F.lit(""), F.lit(0))
-    return F.aggregate(counted, empty, step, close)
+    none = F.array().cast("array<string>")
+    merged = F.aggregate(counted, state(none, F.lit(""), F.lit(0)), step, close)
+    # A text without headings is one section and needs no counting.
+    plain = ~F.contains(F.concat(F.lit("\n"), text), F.lit("\n## "))
+    whole = let(strip(text), lambda t: F.when(t == "", none).otherwise(F.array(t)))
+    return F.when(plain, whole).otherwise(merged)
 
 
 # Windows come with their token counts, which the cut knows without matching again.
@@ -208,17 +212,27 @@ def counted_boundary_windows(text: Column, size: int = CHUNK_TOKENS, overlap: in
         def state(out: Column, start: Column) -> Column:
             return F.struct(out.alias("out"), start.cast("int").alias("start"))
 
-        def last_break(region: Column, pattern: str) -> Column:
-            return F.array_max(F.transform(region, lambda t, i: F.when(t.rlike(pattern), i)))
+        def last_break(region: Column, opens: Callable[[Column], Column]) -> Column:
+            return F.array_max(F.transform(region, lambda t, i: F.when(opens(t), i)))
+
+        # A token brings the white space before it. The plain search comes first, as most tokens fail it.
+        def after_line(t: Column) -> Column:
+            return F.contains(t, F.lit("\n"))
+
+        def after_paragraph(t: Column) -> Column:
+            return after_line(t) & t.rlike(r"\n[ \t\r]*\n")
+
+        def after_space(t: Column) -> Column:
+            return F.left(t, F.lit(1)).isin(" ", "\t", "\n", "\r", "\f")
 
         def step(acc: Column, _: Column) -> Column:
             start = acc["start"]
             region = F.slice(toks, start + F.lit(half + 2), size - half)
             # Element i of the region would open the next window at start + half + 1 + i.
             snapped = F.coalesce(
-                last_break(region, r"^[ \t\r]*\n[ \t\r]*\n"),
-                last_break(region, r"^[ \t\r]*\n"),
-                last_break(region, r"^\s"),
+                last_break(region, after_paragraph),
+                last_break(region, after_line),
+                last_break(region, after_space),
             )
             end = F.when(start + size >= n, n).otherwise(
                 start + F.coalesce(snapped + F.lit(half + 1), F.lit(size))

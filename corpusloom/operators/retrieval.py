@@ -49,30 +49,39 @@ def _best_of_block(k: int, metric: str, exclude_self: bool, schema: pa.Schema):
     def run(queries: pa.Table, index: pa.Table) -> pa.Table:
         if queries.num_rows == 0 or index.num_rows == 0:
             return schema.empty_table()
+        # Columns in id order, so that the first of equal scores is the one with the smaller id.
         index = index.sort_by("id")
         q, x = as_matrix(queries.column("q_vector")), as_matrix(index.column("i_vector"))
         if metric == "cosine":
             q, x = unit_rows(q), unit_rows(x)
         q_ids = np.array(queries.column("query_id").to_pylist(), dtype=object)
         x_ids = np.array(index.column("id").to_pylist(), dtype=object)
+        if exclude_self:
+            column_of = {v: n for n, v in enumerate(x_ids)}
+            own = np.array([column_of.get(v, -1) for v in q_ids])
         step = max(1, BLOCK_BYTES // (8 * len(x)))
         rows, cols, scores = [], [], []
         for start in range(0, len(q), step):
-            sims = np.round(q[start : start + step] @ x.T, DECIMALS)
+            # Adding zero turns -0.0 into 0.0.
+            sims = np.round(q[start : start + step] @ x.T, DECIMALS) + 0.0
             if exclude_self:
-                sims[q_ids[start : start + step, None] == x_ids[None, :]] = -np.inf
+                here = own[start : start + step]
+                sims[np.flatnonzero(here >= 0), here[here >= 0]] = -np.inf
             kth = min(k, sims.shape[1])
-            edge = np.partition(sims, sims.shape[1] - kth, axis=1)[:, sims.shape[1] - kth]
-            r, c = np.nonzero((sims >= edge[:, None]) & (sims > -np.inf))
+            edge = np.partition(sims, sims.shape[1] - kth, axis=1)[:, [sims.shape[1] - kth]]
+            chosen = sims >= edge
+            # Copies of one vector tie in any number: of those at the edge only the first ids are kept.
+            crowded = np.flatnonzero(chosen.sum(axis=1) > kth)
+            if len(crowded):
+                above = sims[crowded] > edge[crowded]
+                ties = chosen[crowded] & ~above
+                room = kth - above.sum(axis=1, keepdims=True)
+                chosen[crowded] = above | (ties & (np.cumsum(ties, axis=1, dtype=np.int32) <= room))
+            r, c = np.nonzero(chosen & (sims > -np.inf))
             values = sims[r, c]
-            # Index rows are in id order, so the column number breaks ties by id.
-            by = np.lexsort((c, -values, r))
-            r, c, values = r[by], c[by], values[by]
-            place = np.arange(len(r)) - np.searchsorted(r, r, side="left")
-            keep = place < k
-            rows.append(r[keep] + start)
-            cols.append(c[keep])
-            scores.append(values[keep])
+            rows.append(r + start)
+            cols.append(c)
+            scores.append(values)
         r, c = np.concatenate(rows), np.concatenate(cols)
         return pa.table(
             [

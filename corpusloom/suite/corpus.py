@@ -124,8 +124,8 @@ w AS (
   SELECT doc_id, CASE WHEN e >= n THEN n ELSE e - 50 END, pos + 1, e
   FROM (SELECT w.doc_id, w.start, w.pos, len(toks) AS n,
           CASE WHEN w.start + 500 >= len(toks) THEN len(toks) ELSE coalesce(
-            list_max([x FOR x IN range(w.start + 251, w.start + 501) IF regexp_matches(toks[x + 1], '^[ \\t\\r]*\\n[ \\t\\r]*\\n')]),
-            list_max([x FOR x IN range(w.start + 251, w.start + 501) IF regexp_matches(toks[x + 1], '^[ \\t\\r]*\\n')]),
+            list_max([x FOR x IN range(w.start + 251, w.start + 501) IF regexp_matches(toks[x + 1], '\\n[ \\t\\r]*\\n')]),
+            list_max([x FOR x IN range(w.start + 251, w.start + 501) IF regexp_matches(toks[x + 1], '\\n')]),
             list_max([x FOR x IN range(w.start + 251, w.start + 501) IF regexp_matches(toks[x + 1], '^\\s')]),
             w.start + 500) END AS e
         FROM w JOIN t USING (doc_id) WHERE w.start < len(toks))),
