@@ -67,7 +67,7 @@ def words(text: Column) -> Column:
 
 
 def token_count(text: Column) -> Column:
-    return F.size(tokens(text))
+    return F.regexp_count(text, F.lit(TOKEN))
 
 
 def sentences(text: Column) -> Column:
@@ -260,39 +260,38 @@ def sentence_windows(text: Column, size: int = CHUNK_TOKENS, overlap: int = SENT
     bound is cut into plain windows first.
     """
 
-    def piece(s: Column) -> Column:
-        return F.struct(s.alias("text"), token_count(s).alias("n"))
-
-    bounded = F.flatten(
-        F.transform(
-            sentences(text),
-            lambda s: F.when(token_count(s) <= size, F.array(s)).otherwise(token_windows(s, size, 0)),
+    def bounded(sentence: Column) -> Column:
+        return let(
+            token_count(sentence),
+            lambda n: F.when(
+                n <= size, F.array(F.struct(sentence.alias("content"), n.cast("int").alias("n_tokens")))
+            ).otherwise(counted_token_windows(sentence, size, 0)),
         )
-    )
-    pieces = F.transform(bounded, piece)
+
+    pieces = F.flatten(F.transform(sentences(text), bounded))
 
     def state(out: Column, cur: Column, n: Column) -> Column:
         return F.struct(out.alias("out"), cur.alias("cur"), n.cast("int").alias("n"))
 
     def joined(cur: Column) -> Column:
-        return F.array_join(F.transform(cur, lambda p: p["text"]), " ")
+        return F.array_join(contents(cur), " ")
 
     def close(acc: Column) -> Column:
         return F.when(F.size(acc["cur"]) == 0, acc["out"]).otherwise(
             F.concat(acc["out"], F.array(joined(acc["cur"])))
         )
 
-    none = F.array().cast("array<struct<text:string,n:int>>")
+    none = F.array().cast(COUNTED)
 
     def tail(cur: Column, room: Column) -> Column:
         """Closing pieces of ``cur`` with at most ``overlap`` tokens, and at most ``room``."""
         start = F.struct(none.alias("kept"), F.lit(0).alias("n"), F.lit(False).alias("full"))
 
         def take(acc: Column, p: Column) -> Column:
-            fits = ~acc["full"] & (acc["n"] + p["n"] <= F.least(F.lit(overlap), room))
+            fits = ~acc["full"] & (acc["n"] + p["n_tokens"] <= F.least(F.lit(overlap), room))
             return F.struct(
                 F.when(fits, F.concat(F.array(p), acc["kept"])).otherwise(acc["kept"]).alias("kept"),
-                F.when(fits, acc["n"] + p["n"]).otherwise(acc["n"]).alias("n"),
+                F.when(fits, acc["n"] + p["n_tokens"]).otherwise(acc["n"]).alias("n"),
                 (~fits).alias("full"),
             )
 
@@ -302,12 +301,12 @@ def sentence_windows(text: Column, size: int = CHUNK_TOKENS, overlap: int = SENT
 
     def step(acc: Column, p: Column) -> Column:
         return F.when(
-            acc["n"] + p["n"] <= size,
-            state(acc["out"], F.concat(acc["cur"], F.array(p)), acc["n"] + p["n"]),
+            acc["n"] + p["n_tokens"] <= size,
+            state(acc["out"], F.concat(acc["cur"], F.array(p)), acc["n"] + p["n_tokens"]),
         ).otherwise(
             let(
-                tail(acc["cur"], F.lit(size) - p["n"]),
-                lambda t: state(close(acc), F.concat(t["kept"], F.array(p)), t["n"] + p["n"]),
+                tail(acc["cur"], F.lit(size) - p["n_tokens"]),
+                lambda t: state(close(acc), F.concat(t["kept"], F.array(p)), t["n"] + p["n_tokens"]),
             )
         )
 
