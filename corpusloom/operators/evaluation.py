@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import let, words
+from corpusloom.operators.prompts import render_prompt
 
 MEASURES = ("correctness", "groundedness", "relevance", "retrieval_precision", "retrieval_recall", "toxicity")
 
@@ -24,8 +25,6 @@ def build_eval_set(
 
     Template places: ``{topic}`` (the first words of the content), ``{doc_uri}``.
     """
-    from corpusloom.operators.prompts import render_prompt
-
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.col(doc_uri), F.lit("|"), F.col(content)))
     topic = F.array_join(F.slice(F.split(F.btrim(F.col(content)), r"\s+"), 1, 8), " ")
     keyed = docs.select(content, doc_uri).withColumn("__order", order)
@@ -77,13 +76,16 @@ def evaluate(
     toxic: str = "toxic",
 ) -> DataFrame:
     """The rows with one column per measure."""
-    shared_ids = F.size(F.array_intersect(F.col(retrieved), F.col(expected))) if "retrieval_precision" in measures or "retrieval_recall" in measures else None
+
+    def shared_ids() -> Column:
+        return 1.0 * F.size(F.array_intersect(F.col(retrieved), F.col(expected)))
+
     built = {
         "correctness": lambda: token_f1(F.col(answer), F.col(truth)),
         "groundedness": lambda: coverage(F.col(answer), F.col(context)),
         "relevance": lambda: coverage(F.col(question), F.col(answer)),
-        "retrieval_precision": lambda: F.try_divide(1.0 * shared_ids, F.size(F.array_distinct(F.col(retrieved)))),
-        "retrieval_recall": lambda: F.try_divide(1.0 * shared_ids, F.size(F.array_distinct(F.col(expected)))),
+        "retrieval_precision": lambda: F.try_divide(shared_ids(), F.size(F.array_distinct(F.col(retrieved)))),
+        "retrieval_recall": lambda: F.try_divide(shared_ids(), F.size(F.array_distinct(F.col(expected)))),
         "toxicity": lambda: F.col(toxic).cast("double"),
     }
     unknown = set(measures) - set(built)

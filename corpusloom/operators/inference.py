@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Callable, Iterator, Sequence
 
@@ -116,8 +117,6 @@ def _stored_answers(asked: DataFrame, backend: Backend, batch_size: int, on_erro
 
 def generate(df: DataFrame, template: str, backend: Backend, out_col: str = "answer", **options) -> DataFrame:
     """Fill the template from the row's columns and ask the backend."""
-    import re
-
     names = re.findall(r"\{(\w+)\}", template)
     asked = df.withColumn("__asked", render_prompt(template, *names))
     return infer(asked, "__asked", backend, out_col, **options).drop("__asked")

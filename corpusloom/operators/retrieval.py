@@ -15,9 +15,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from corpusloom.functions.vectors import as_matrix, unit_rows
 from corpusloom.operators.embedding import Backend, embed
+from corpusloom.operators.prompts import render_prompt
 from corpusloom.plans.skew import broadcast_limit, first_per_key, skew_join
 
 # Bytes of one block of vectors in double precision.
@@ -27,7 +29,7 @@ DECIMALS = 6
 # Bytes of one hit in a hash table, generously.
 HIT_BYTES = 256
 # Upper bound of the number of cells, whose centroids every task holds.
-MAX_CELLS = 16_384
+MAX_CELLS = 4_096
 
 
 def _dimensions(df: DataFrame, vector: str) -> int:
@@ -99,8 +101,6 @@ def _grid_top_k(
     queries: DataFrame, index: DataFrame, keys: Sequence[str], k: int, metric: str, exclude_self: bool
 ) -> DataFrame:
     """Best k index rows per query over the grid cells given by ``keys``."""
-    from pyspark.sql.pandas.types import to_arrow_type
-
     q_type = queries.schema["query_id"].dataType
     i_type = index.schema["id"].dataType
     schema = pa.schema(
@@ -136,7 +136,10 @@ def knn(
     """Exact nearest neighbours: ``query_id, id, score, rank``.
 
     Counts both sides when called, to choose the number of blocks; without
-    ``dim`` one vector is looked at.
+    ``dim`` one vector is looked at. Exact search compares all pairs, and its
+    shuffle grows with the product of the sides over ``block_bytes``: raise
+    that with the memory of the executors, and use :func:`knn_cells` where
+    many queries meet a large index.
     """
     q, i = _sides(queries, index, query_id, id, vector)
     # Counting reads no vectors, and of an index still to be computed no vector is computed.
@@ -195,10 +198,14 @@ def _nearest_cells(centroids: DataFrame, probe: int):
         x = as_matrix(vectors)
         if len(x) == 0:
             return pa.array([], type=pa.list_(pa.int32()))
-        # Squared distance without the query's own length, which does not change the order.
-        gaps = np.round(lengths[None, :] - 2 * (x @ centers.T), DECIMALS)
-        best = np.argsort(gaps, axis=1, kind="stable")[:, :take]
-        return pa.array(ids[best].astype(np.int32).tolist(), type=pa.list_(pa.int32()))
+        best = np.empty((len(x), take), dtype=np.int32)
+        step = max(1, BLOCK_BYTES // (8 * len(ids)))
+        for start in range(0, len(x), step):
+            # Squared distance without the query's own length, which does not change the order.
+            gaps = np.round(lengths[None, :] - 2 * (x[start : start + step] @ centers.T), DECIMALS)
+            best[start : start + step] = ids[np.argsort(gaps, axis=1, kind="stable")[:, :take]]
+        offsets = np.arange(0, (len(x) + 1) * take, take, dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(best.ravel()))
 
     # Not copied into the filters that Spark infers for the explode of its result.
     return nearest.asNondeterministic()
@@ -321,8 +328,6 @@ def assemble_context(
     grouped = hits.groupBy(query_id).agg(*lists)
     context = F.array_join(F.transform("__hits", lambda h: h[content]), "\n\n")
     joined = questions.join(grouped.withColumn("context", F.coalesce(context, F.lit(""))).drop("__hits"), query_id, "left")
-    from corpusloom.operators.prompts import render_prompt
-
     return joined.withColumn("context", F.coalesce("context", F.lit(""))).withColumn(
         "prompt", render_prompt(template, question=F.col(question), context=F.coalesce("context", F.lit("")))
     )

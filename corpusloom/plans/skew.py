@@ -113,9 +113,9 @@ def add_list_part(df: DataFrame, keys: Sequence[str], limit: int = LIST_LIMIT) -
         .filter(F.col("__rows") > limit)
         .select(*keys, F.ceil(F.col("__rows") / limit).cast("int").alias("__parts"))
     )
-    spread_on = F.xxhash64(F.spark_partition_id(), *[F.to_json(F.struct(c)) for c in df.columns])
+    # The map task counts too, as identical rows have the same hash.
     return (
-        df.withColumn("__spread", spread_on)
+        df.withColumn("__spread", F.xxhash64(F.spark_partition_id(), *df.columns))
         .join(long_groups, keys, "left")
         .withColumn("part", F.coalesce(F.pmod(F.col("__spread"), F.col("__parts")), F.lit(0)).cast("int"))
         .drop("__spread", "__parts")

@@ -16,6 +16,11 @@ from corpusloom.suite import Suite, table
 suite = Suite()
 
 
+def _micros(column: str):
+    """Microseconds since 1970 of a time without zone, whatever the session's zone."""
+    return F.expr(f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', {column})")
+
+
 @suite.add("""
 SELECT n_name AS name, count(o_orderkey) AS purchases
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
@@ -251,8 +256,7 @@ SELECT event_id, epoch_us(ts) AS ts_us, user_id, event_type, value, props FROM (
 """)
 def latest_event_per_user(spark, sf):
     latest = rel.latest_per_key(table(spark, sf, "events"), ["user_id"], ["ts"], ["event_id"])
-    micros = F.unix_micros(F.col("ts").cast("timestamp"))
-    return latest.select("event_id", micros.alias("ts_us"), "user_id", "event_type", "value", "props")
+    return latest.select("event_id", _micros("ts").alias("ts_us"), "user_id", "event_type", "value", "props")
 
 
 @suite.add("""
@@ -345,7 +349,7 @@ def _flat_assessments(df):
     return df.select(
         "request_id",
         F.col("source.id").alias("reviewer"),
-        F.unix_micros(F.col("timestamp").cast("timestamp")).alias("ts_us"),
+        _micros("timestamp").alias("ts_us"),
         "text_assessment",
         "schema_version",
         F.array_join("retrieval_assessments", "|").alias("retrievals"),
