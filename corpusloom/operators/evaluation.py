@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import let, words
+from corpusloom.operators.baselines import summarize
 from corpusloom.operators.prompts import render_prompt
 
 MEASURES = ("correctness", "groundedness", "relevance", "retrieval_precision", "retrieval_recall", "toxicity")
@@ -23,10 +24,12 @@ def build_eval_set(
 ) -> DataFrame:
     """``n`` documents in hash order with a question made by template and the source.
 
-    Template places: ``{topic}`` (the first words of the content), ``{doc_uri}``.
+    Template places: ``{topic}`` (the most telling sentence of the content, by
+    :func:`~corpusloom.operators.baselines.summarize`) and ``{doc_uri}``. Only
+    the picked documents are summarised.
     """
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.col(doc_uri), F.lit("|"), F.col(content)))
-    topic = F.array_join(F.slice(F.split(F.btrim(F.col(content)), r"\s+"), 1, 8), " ")
+    topic = summarize(F.col(content), 1)
     keyed = docs.select(content, doc_uri).withColumn("__order", order)
     picked = keyed.orderBy("__order", doc_uri).limit(n)
     return picked.select(

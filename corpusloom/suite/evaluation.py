@@ -7,22 +7,24 @@ from pyspark.sql import functions as F
 from corpusloom.operators import evaluation
 from corpusloom.plans.parallelism import spread
 from corpusloom.suite import Suite, table
+from corpusloom.suite.textual import SUMMARY_SQL
 
 suite = Suite()
 
 QUESTION = "What does {doc_uri} say about: {topic}?"
 
 
-@suite.add(r"""
-WITH d AS (SELECT md5('7:' || url || '|' || html) AS request_id, url, html FROM pages ORDER BY request_id, url LIMIT 5)
-SELECT request_id, url AS source, md5(html) AS context,
-       'What does ' || url || ' say about: ' ||
-       array_to_string(list_slice(string_split_regex(trim(html), '\s+'), 1, 8), ' ') || '?' AS question
-FROM d
+@suite.add(f"""WITH {SUMMARY_SQL},
+d AS (SELECT md5('7:' || source || '/' || doc_id || '|' || text) AS request_id, source || '/' || doc_id AS uri, doc_id, text
+      FROM documents ORDER BY request_id, uri LIMIT 5)
+SELECT request_id, uri AS source, md5(text) AS context,
+       'What does ' || uri || ' say about: ' || coalesce(sentence, '') || '?' AS question
+FROM d LEFT JOIN k ON k.doc_id = d.doc_id AND n = 1 LEFT JOIN u ON u.doc_id = k.doc_id AND u.pos = k.pos
 """)
 def evaluation_set(spark, sf):
-    """Five questions from the pages, the first five in hash order."""
-    docs = table(spark, sf, "pages").withColumnRenamed("url", "doc_uri").withColumnRenamed("html", "content")
+    """Five questions on the documents, the first five in hash order."""
+    uri = F.concat_ws("/", "source", "doc_id")
+    docs = spread(table(spark, sf, "documents")).select(uri.alias("doc_uri"), F.col("text").alias("content"))
     picked = evaluation.build_eval_set(docs, 5, QUESTION, seed=7)
     return picked.select("request_id", "source", F.md5("expected_context").alias("context"), "question")
 

@@ -128,14 +128,18 @@ def turn_similarity(spark, sf):
     )
 
 
-@suite.add(rf"""
-WITH s AS (SELECT doc_id, list_filter(list_transform(regexp_extract_all(text, '[^.!?\n]+[.!?]*|[.!?]+'),
+SUMMARY_SQL = rf"""
+s AS (SELECT doc_id, list_filter(list_transform(regexp_extract_all(text, '[^.!?\n]+[.!?]*|[.!?]+'),
              lambda x: trim(x, chr(32) || chr(9) || chr(13) || chr(10))), lambda x: x <> '') AS ss FROM documents),
 u AS (SELECT doc_id, unnest(ss) AS sentence, unnest(range(len(ss))) AS pos FROM s),
 w AS (SELECT doc_id, pos, unnest(regexp_extract_all(lower(sentence), '{WORD_SQL}')) AS word FROM u),
 f AS (SELECT doc_id, word, count(*) AS tf FROM w GROUP BY ALL),
 r AS (SELECT doc_id, pos, round(avg(tf), 6) AS score FROM w JOIN f USING (doc_id, word) GROUP BY ALL),
 k AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, pos) AS n FROM r)
+"""
+
+
+@suite.add(f"""WITH {SUMMARY_SQL}
 SELECT doc_id, md5(string_agg(sentence, ' ' ORDER BY pos)) AS digest
 FROM k JOIN u USING (doc_id, pos) WHERE n <= 2 GROUP BY doc_id
 """)
