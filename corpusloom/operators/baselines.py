@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.text import let, runs, sentences, tokens, words
 from corpusloom.operators.relational import nearest_term
-from corpusloom.plans.skew import first_per_key, skew_join, small_side
+from corpusloom.plans.skew import first_per_key, inline_map, skew_join, small_side
 
 __all__ = [
     "PATTERNS",
@@ -51,19 +51,30 @@ def terms_pattern(terms: Sequence[str]) -> str:
 
 
 def sentiment(df: DataFrame, id_cols: Sequence[str], col: str, lexicon: DataFrame) -> DataFrame:
-    """``id_cols, score, sentiment`` from a table of ``word, weight``.
+    """``id_cols, score, sentiment`` from a table of ``word, weight``; the ids identify the rows.
 
-    All words of a document are scored within its task, so the partial sums
-    shuffle one small row per document and never its text.
+    A short lexicon is looked up within the row. With a longer one the words
+    are joined; all words of a document are met in its task, so the partial
+    sums shuffle one small row per document and never its text.
     """
-    found = df.select(*id_cols, F.explode_outer(words(F.col(col))).alias("word"))
-    hits = (
-        skew_join(found, small_side(lexicon.select("word", "weight")), ["word"])
-        .groupBy(*id_cols)
-        .agg(F.coalesce(F.sum("weight"), F.lit(0)).cast("long").alias("score"))
-    )
+    weights = lexicon.filter("word is not null").groupBy("word").agg(F.sum("weight").alias("weight"))
+    found = words(F.col(col))
+    inline = inline_map(weights)
+    if inline is not None:
+
+        def total(weight_of: Column) -> Column:
+            found_weights = F.transform(found, lambda w: F.coalesce(F.try_element_at(weight_of, w), F.lit(0)).cast("long"))
+            return F.aggregate(F.coalesce(found_weights, F.array().cast("array<bigint>")), F.lit(0).cast("long"), lambda a, w: a + w)
+
+        scored = df.withColumn("__map", inline).select(*id_cols, total(F.col("__map")).alias("score"))
+    else:
+        scored = (
+            skew_join(df.select(*id_cols, F.explode_outer(found).alias("word")), small_side(weights), ["word"])
+            .groupBy(*id_cols)
+            .agg(F.coalesce(F.sum("weight"), F.lit(0)).cast("long").alias("score"))
+        )
     name = F.when(F.col("score") > 0, "positive").when(F.col("score") < 0, "negative").otherwise("neutral")
-    return hits.withColumn("sentiment", name)
+    return scored.withColumn("sentiment", name)
 
 
 def classify(df: DataFrame, id_cols: Sequence[str], col: str, keywords: DataFrame) -> DataFrame:
@@ -209,25 +220,33 @@ def summarize(col: Column, n: int = 2) -> Column:
 
 
 def translate(df: DataFrame, id_cols: Sequence[str], col: str, glossary: DataFrame) -> DataFrame:
-    """Word-by-word translation by a ``source, target`` table; unknown words stay.
+    """``id_cols, translation`` word by word from a table of ``source, target``; unknown words stay.
 
-    Blanks and marks are kept. Distinct words of each document are looked up,
-    and the words found come back as a small map per document.
+    Blanks and marks are kept. A short glossary is looked up within the row.
+    With a longer one the distinct words of each document are joined with it
+    and come back as a small map per document; the ids identify the rows.
     """
     ids = list(id_cols)
+    entries = glossary.filter("source is not null").groupBy("source").agg(F.min("target").alias("target"))
+    # Words and the text between them, in turn.
+    pieces = F.regexp_extract_all(F.col(col), F.lit(r"[\p{L}\p{N}]+|[^\p{L}\p{N}]+"), F.lit(0))
+
+    def translated(target_of: Column) -> Column:
+        return F.array_join(
+            F.transform(pieces, lambda p: F.coalesce(F.try_element_at(target_of, F.lower(p)), p)), ""
+        )
+
+    inline = inline_map(entries)
+    if inline is not None:
+        return df.withColumn("__map", inline).select(*ids, translated(F.col("__map")).alias("translation"))
     vocabulary = df.select(*ids, F.explode(F.array_distinct(words(F.col(col)))).alias("source"))
     found = (
-        skew_join(vocabulary, small_side(glossary.select("source", "target")), ["source"], "inner")
+        skew_join(vocabulary, small_side(entries), ["source"], "inner")
         .groupBy(*ids)
         .agg(F.map_from_entries(F.collect_list(F.struct("source", "target"))).alias("__map"))
     )
-    # Words and the text between them, in turn.
-    pieces = F.regexp_extract_all(F.col(col), F.lit(r"[\p{L}\p{N}]+|[^\p{L}\p{N}]+"), F.lit(0))
-    translated = F.array_join(
-        F.transform(pieces, lambda p: F.coalesce(F.try_element_at(F.col("__map"), F.lower(p)), p)), ""
-    )
     return (
         df.join(found, ids, "left")
-        .withColumn("translation", F.when(F.col("__map").isNull(), F.col(col)).otherwise(translated))
+        .withColumn("translation", F.when(F.col("__map").isNull(), F.col(col)).otherwise(translated(F.col("__map"))))
         .select(*ids, "translation")
     )

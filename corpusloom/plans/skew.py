@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # A key is hot when it holds more than 1/HOT_SHARE of all rows, so fewer than
@@ -38,6 +38,22 @@ def small_side(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+# Entries of a map looked up one by one within the row.
+INLINE_ROWS = 200
+
+
+def inline_map(pairs: DataFrame, rows: int = INLINE_ROWS) -> Column | None:
+    """The (key, value) rows as one map Column, when they are at most ``rows``; else None.
+
+    The map is a scalar subquery, so rows that look words up in it are neither
+    exploded nor shuffled. It has to become a column of its own before a
+    lambda uses it. Keys are unique and not null.
+    """
+    if pairs.limit(rows + 1).count() > rows:
+        return None
+    return pairs.agg(F.map_from_entries(F.collect_list(F.struct(*pairs.columns))).alias("__map")).scalar()
+
+
 def balances_joins(df: DataFrame) -> bool:
     """Whether the session splits skewed join partitions at run time."""
     conf = df.sparkSession.conf

@@ -1,8 +1,12 @@
 """Feedback, conversations, evaluation, word rules, functions and lookups on small fixtures."""
 
 import json
+import os
 import random
+import subprocess
+import sys
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from conftest import plan_of
@@ -178,7 +182,7 @@ def test_similarity(spark):
     assert [round(r["cosine"], 6) for r in rows] == [0.8, 0, 1, 0]
 
 
-def test_summary_and_translation(spark):
+def test_summary_and_translation(spark, monkeypatch):
     text = "Cats like fish. Dogs bark. Cats like cats and fish."
     df = spark.createDataFrame([(1, text), (2, ""), (3, "!!!")], "id int, t string")
     summary = baselines.summarize(F.col("t"), 1)
@@ -187,16 +191,23 @@ def test_summary_and_translation(spark):
     glossary = spark.createDataFrame([("cats", "gatos"), ("and", "y")], "source string, target string")
     got = {r["id"]: r["translation"] for r in baselines.translate(df, ["id"], "t", glossary).collect()}
     assert got == {1: "gatos like fish. Dogs bark. gatos like gatos y fish.", 2: "", 3: "!!!"}
+    monkeypatch.setattr(baselines, "inline_map", lambda pairs: None)
+    assert {r["id"]: r["translation"] for r in baselines.translate(df, ["id"], "t", glossary).collect()} == got
 
 
-def test_sentiment_shuffles_no_text(spark, monkeypatch):
-    df = spark.createDataFrame([(1, "good good bad"), (2, "bad"), (3, "")], "id int, t string")
+def test_sentiment_of_short_and_long_lexicons(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "good good bad"), (2, "bad"), (3, ""), (4, None)], "id int, t string")
     lexicon = spark.createDataFrame([("good", 1), ("bad", -1)], "word string, weight int")
     out = baselines.sentiment(df, ["id"], "t", lexicon)
-    assert {r["id"]: r["sentiment"] for r in out.collect()} == {1: "positive", 2: "negative", 3: "neutral"}
-    planned = baselines.sentiment(df, ["id"], "t", lexicon)
-    assert plan_of(planned).count("Exchange hashpartitioning") == 1
-    # A list over the bound is joined by shuffle, with the same result.
+    plan = plan_of(out)
+    assert plan.split("Subquery")[0].count("Exchange") == 0
+    assert {r["id"]: (r["score"], r["sentiment"]) for r in out.collect()} == {
+        1: (1, "positive"), 2: (-1, "negative"), 3: (0, "neutral"), 4: (0, "neutral")
+    }
+    # A longer list is broadcast and the sums of each task are shuffled; an unbounded one is shuffled.
+    monkeypatch.setattr(baselines, "inline_map", lambda pairs: None)
+    joined = baselines.sentiment(df, ["id"], "t", lexicon)
+    assert "BroadcastHashJoin" in plan_of(joined) and sorted(joined.collect()) == sorted(out.collect())
     monkeypatch.setattr(baselines, "small_side", lambda words: skew.small_side(words, 1))
     shuffled = baselines.sentiment(df, ["id"], "t", lexicon)
     assert "SortMergeJoin" in plan_of(shuffled) and sorted(shuffled.collect()) == sorted(out.collect())
@@ -219,6 +230,22 @@ def test_versions(spark):
     assert {r[0]: r[1] for r in rel.latest_version(df, "name", "version", 1).collect()} == {"m": 10, "n": 1}
 
 
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    """A job with Python workers, started elsewhere and importing the package from its source folder."""
+    root = Path(__file__).resolve().parents[1]
+    script = tmp_path / "job.py"
+    script.write_text(
+        f"import sys; sys.path.insert(0, {str(root)!r})\n"
+        "from corpusloom.session import build_session\n"
+        "from corpusloom.operators.embedding import embed\n"
+        "spark = build_session('local[2]')\n"
+        "print('rows', len(embed(spark.createDataFrame([('a b',)], 't string'), 't', dim=8).collect()))\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
+    assert "rows 1" in done.stdout, done.stderr[-2000:]
+
+
 FUNCTIONS = [
     registry.SqlFunction("double_it", "x INT", "INT", "Twice the number, it's exact.", "x * 2", "maths"),
     registry.SqlFunction("small_table", "", "TABLE(name STRING, n INT)", "Two rows.", "SELECT * FROM VALUES ('a', 1), ('b', 2)", "tables"),
