@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from corpusloom.operators.prompts import render_prompt
 from corpusloom.operators.structured import parse_reply
 from corpusloom.plans.skew import skew_join
+from corpusloom.plans.workspace import materialize
 
 # Fixed value: prompts per backend call unless told otherwise.
 BATCH_SIZE = 150
@@ -141,7 +142,12 @@ def compare_models(
 def retry_rejected(
     df: DataFrame, prompt_col: str, backend: Backend, out_col: str, response_ddl: str, enums: dict, required: Sequence[str]
 ) -> DataFrame:
-    """Ask once more for the rows whose reply was rejected; ``df`` comes from ``infer`` with a DDL."""
+    """Ask once more for the rows whose reply was rejected; ``df`` comes from ``infer`` with a DDL.
+
+    The first answers are written to shared storage, as both the accepted and
+    the rejected rows are read from them.
+    """
+    df = materialize(df, "answers")
     source = [c for c in df.columns if c not in (out_col, "parsed", "valid", "reasons")]
     again = infer(
         df.filter(~F.col("valid")).select(*source),

@@ -45,7 +45,11 @@ def parse_reply(
 
 
 def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Accepted and rejected rows of a checked table."""
+    """Accepted and rejected rows of a checked table.
+
+    Both read ``df``: write answers of a model first (``materialize``, or the
+    ``store`` of ``infer``), or they are asked for twice.
+    """
     return df.filter(F.col("valid")), df.filter(~F.col("valid"))
 
 

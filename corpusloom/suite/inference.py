@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import model_sql
 from corpusloom.operators import inference, prompts, relational as rel, structured
 from corpusloom.plans.parallelism import spread
+from corpusloom.plans.workspace import materialize
 from corpusloom.suite import Suite, table
 
 suite = Suite()
@@ -87,10 +88,11 @@ def accepted_and_rejected(spark, sf):
         enums=SENTIMENTS,
         required=["sentiment", "length"],
     )
-    accepted, rejected = structured.split_valid(answered)
-    return accepted.select(F.lit(1).alias("a"), F.lit(0).alias("r")).unionByName(
+    accepted, rejected = structured.split_valid(materialize(answered.select("doc_id", "valid"), "answers"))
+    parts = accepted.select(F.lit(1).alias("a"), F.lit(0).alias("r")).unionByName(
         rejected.select(F.lit(0).alias("a"), F.lit(1).alias("r"))
-    ).agg(F.sum("a").alias("accepted"), F.sum("r").alias("rejected"))
+    )
+    return parts.agg(F.sum("a").alias("accepted"), F.sum("r").alias("rejected"))
 
 
 @suite.add(f"SELECT doc_id, md5('{INSTRUCTION}' || text) AS digest FROM documents")

@@ -143,3 +143,12 @@ def test_too_many_examples_fail(spark):
     many = spark.range(1001).select(F.col("id").alias("pos"), F.lit("e").alias("example"))
     with pytest.raises(Exception, match="too many examples"):
         spark.range(1).select(prompts.few_shot_prompt("do", many, "think")).collect()
+
+
+def test_retry_asks_the_first_model_once(spark, tmp_path):
+    backend, asked = asked_file(tmp_path)
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, p string")
+    answered = inference.infer(df, "p", backend, "reply", DDL, ENUMS, ["sentiment"], batch_size=2)
+    again = inference.retry_rejected(answered, "p", lambda t: ['{"sentiment":"1"}'] * len(t), "reply", DDL, ENUMS, ["sentiment"])
+    assert again.filter("valid").count() == 2 and again.count() == 2
+    assert asked() == ["a", "b"]

@@ -44,12 +44,12 @@ def test_python_is_left_to_backends(spark, sf):
     with_python = {
         name
         for name in QUERIES
-        if name not in ("streamed_index", "two_sources", "streamed_files", "overwrite_sink", "csv_round_trip")
+        if name not in ("streamed_index", "two_sources", "streamed_files", "overwrite_sink", "csv_round_trip", "accepted_and_rejected")
         and any(mark in plan_of(QUERIES[name](spark, sf)) for mark in ("EvalPython", "InPandas", "InArrow"))
     }
     assert with_python == {
         "nearest_exact", "nearest_in_cells", "recall_in_cells", "nearest_class", "retrieved_documents", "context_prompts",
-        "text_search", "text_embeddings", "checked_replies", "reply_numbers", "accepted_and_rejected", "model_scores",
+        "text_search", "text_embeddings", "checked_replies", "reply_numbers", "model_scores",
         "model_compliance", "generated_answers", "sql_inference",
     }
 
