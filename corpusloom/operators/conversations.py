@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.operators.relational import lookup_enrich
+from corpusloom.plans.skew import skew_join
 
 # Messages per collected list; a longer conversation comes out in several parts.
 PART_TURNS = 10_000
@@ -72,9 +72,19 @@ def dispatch_tools(
     to a call whose ``argument`` names the key. Unknown tools and keys give a
     null content. Rows: ``conv, turn, role, tool_call_id, content``.
     """
-    columns = [turn, tool_calls]
+    answers = None
+    for name, table in tools.items():
+        part = table.select(
+            F.lit(name).alias("__tool"),
+            F.lower("key").alias("__key"),
+            result_text(F.struct(*[c for c in table.columns if c != "key"])).alias("content"),
+        )
+        answers = part if answers is None else answers.unionByName(part)
+    if answers is None:
+        raise ValueError("no tools")
+    argument_of = F.get_json_object("__call.function.arguments", f"$.{argument}")
     calls = (
-        _last(df, conv, turn, columns)
+        _last(df, conv, turn, [turn, tool_calls])
         .select(
             conv,
             F.col(f"__last.{turn}").alias("__turn"),
@@ -86,17 +96,12 @@ def dispatch_tools(
             F.lit("tool").alias("role"),
             F.col("__call.id").alias("tool_call_id"),
             F.col("__call.function.name").alias("__tool"),
-            F.get_json_object("__call.function.arguments", f"$.{argument}").alias("__argument"),
+            F.lower(argument_of).alias("__key"),
         )
     )
-    out_cols = [conv, turn, "role", "tool_call_id", "content"]
-    unknown = ~F.col("__tool").isin(list(tools)) | F.col("__tool").isNull()
-    out = calls.filter(unknown).withColumn("content", F.lit(None).cast("string")).select(*out_cols)
-    for name, table in tools.items():
-        answer = table.select("key", result_text(F.struct(*[c for c in table.columns if c != "key"])).alias("content"))
-        asked = calls.filter(F.col("__tool") == name)
-        out = out.unionByName(lookup_enrich(asked, "__argument", answer, "key").select(*out_cols))
-    return out
+    # All tools in one table: the calls are found once and looked up once.
+    answered = skew_join(calls, answers, ["__tool", "__key"])
+    return answered.select(conv, turn, "role", "tool_call_id", "content")
 
 
 def result_text(result: Column) -> Column:
