@@ -31,7 +31,7 @@ class Limits:
     fewest_words: int = 50
     most_repeated_percent: int = 50
     least_words: int = 8
-    most_covered: float = 0.25
+    most_covered: float = 0.4
     most_longest: int = 100
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pyspark.sql.functions as F
 
-from corpusloom.llm import decontamination, repetition, secrets, token_counts, toxicity
+from corpusloom.llm import decontamination, mixing, repetition, secrets, sharding, token_counts, toxicity
 from corpusloom.plans.workspace import fresh_path
 from corpusloom.suite import Suite, table
 
@@ -74,3 +74,17 @@ def op9_token_counts(spark, sf):
 def op10_decontamination(spark, sf):
     """Every benchmark item that a document contains, with its edit distance and place."""
     return decontamination.find_items(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@suite.add()
+def op1_sharding(spark, sf):
+    """All documents in 16 shards of equal counts, equal texts together where quotas allow."""
+    return sharding.shard_documents(table(spark, sf, "documents"))
+
+
+@suite.add()
+def op2_mixing(spark, sf):
+    """Words that the mix takes of every document, from its blocks."""
+    blocks = mixing.mix_documents(table(spark, sf, "documents"))
+    rows = blocks.groupBy("doc_id", "place", "copy", "size", "source_size", "target").agg(F.sum("words").alias("taken"))
+    return rows.select("doc_id", "size", "source_size", "target", "taken")

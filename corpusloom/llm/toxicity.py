@@ -1,6 +1,7 @@
 """Toxicity: a word classifier that is regularised with counterfactual texts.
 
-Logistic regression on the words of a text. In every training text that names
+Logistic regression on the words of a text and on how its words begin, so that
+inflected forms that training never saw count as well. In every training text that names
 a group, the group terms are also swapped for other terms of the same kind;
 the training penalises the difference between the scores of the text and of
 its swapped form, so that the name of a group by itself moves no score.
@@ -11,7 +12,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -22,6 +23,9 @@ from pyspark.sql import functions as F
 from corpusloom.llm.texts import map_texts
 
 WORD = r"[^\W\d_]+"
+# Lengths of the word beginnings that are features beside whole words; they are written with a leading mark.
+BEGINNINGS = (4, 5, 6)
+MARK = "^"
 
 # Terms that name groups of people, by kind; terms are swapped within their kind.
 IDENTITY_TERMS: tuple[tuple[str, ...], ...] = (
@@ -43,16 +47,18 @@ class Training:
     """Bounds and weights of the fit.
 
     The model is fitted on at most ``sample_rows`` labelled rows, chosen by a
-    hash of their id. ``features`` words are kept: those whose presence differs
-    most between the labels, by the z-score of their log odds.
+    hash of their id. At most ``features`` features are kept: those whose
+    presence differs most between the labels, by the z-score of their log odds,
+    and by ``least_z`` at least.
     """
 
     sample_rows: int = 8000
     features: int = 512
     least_rows: int = 5
+    least_z: float = 4.0
     rounds: int = 400
     rate: float = 0.1
-    ridge: float = 1e-3
+    ridge: float = 3e-4
     counterfactual: float = 1.0
     terms: Sequence[Sequence[str]] = field(default=IDENTITY_TERMS)
 
@@ -63,11 +69,18 @@ class Model:
     bias: float
 
     def score(self, text: str | None) -> float:
-        found = set(re.findall(WORD, (text or "").lower()))
-        z = self.bias + math.fsum(sorted(self.weights[w] for w in found if w in self.weights))
+        found = features(set(re.findall(WORD, (text or "").lower()))).intersection(self.weights)
+        z = self.bias + math.fsum(self.weights[f] for f in found)
         return 1 / (1 + math.exp(-max(-40.0, min(40.0, z))))
 
 
+def features(words: Iterable[str]) -> set[str]:
+    out = set(words)
+    for size in BEGINNINGS:
+        out.update([MARK + w[:size] for w in words if len(w) >= size])
+    return out
+
+
 def held_out(id_column: str) -> F.Column:
     """Rows that no label may be learnt from: crc32 of the id as text leaves 2 on division by 4. A null id is not held out."""
     return F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -114,19 +127,18 @@ def fit_words(texts: list[list[str]], labels: np.ndarray, training: Training = T
         odds = (share * len(labels) + 0.5) / ((1 - share) * len(labels) + 0.5)
         return Model({}, math.log(odds))
     kinds = {term: (k, n) for k, terms in enumerate(training.terms) for n, term in enumerate(terms)}
-    column = {w: j for j, w in enumerate(telling_words(texts, labels, training, set(kinds)))}
+    column = {f: j for j, f in enumerate(telling_features(texts, labels, training, set(kinds)))}
     row, col = pairs(texts, column)
     swapped = [swap(words, training.terms, kinds) for words in texts]
     changed = [i for i, words in enumerate(swapped) if words is not None]
     there = pairs([texts[i] for i in changed], column)
     here = pairs([swapped[i] for i in changed], column)
-    weights = np.where(labels == 1, 0.5 / labels.sum(), 0.5 / (1 - labels).sum())
     params = np.zeros(len(column) + 1)
     first, second = np.zeros_like(params), np.zeros_like(params)
     for step in range(1, training.rounds + 1):
         w, b = params[:-1], params[-1]
         z = b + np.bincount(row, w[col], len(texts))
-        error = weights * (1 / (1 + np.exp(-z)) - labels)
+        error = (1 / (1 + np.exp(-z)) - labels) / len(labels)
         grad = np.append(np.bincount(col, error[row], len(column)) + training.ridge * w, error.sum())
         if changed:
             gap = np.bincount(there[0], w[there[1]], len(changed)) - np.bincount(here[0], w[here[1]], len(changed))
@@ -138,24 +150,24 @@ def fit_words(texts: list[list[str]], labels: np.ndarray, training: Training = T
     return Model({w: float(params[j]) for w, j in column.items()}, float(params[-1]))
 
 
-def telling_words(texts: list[list[str]], labels: np.ndarray, training: Training, always: set[str]) -> list[str]:
+def telling_features(texts: list[list[str]], labels: np.ndarray, training: Training, always: set[str]) -> list[str]:
     counts = (Counter(), Counter())
     for words, y in zip(texts, labels, strict=True):
-        counts[int(y)].update(words)
+        counts[int(y)].update(features(words))
     n1, n0 = labels.sum(), len(labels) - labels.sum()
 
-    def z_score(word: str) -> float:
-        a, b = counts[1][word] + 0.5, counts[0][word] + 0.5
+    def z_score(feature: str) -> float:
+        a, b = counts[1][feature] + 0.5, counts[0][feature] + 0.5
         odds = math.log(a / (n1 - a + 1)) - math.log(b / (n0 - b + 1))
-        return odds / math.sqrt(1 / a + 1 / b)
+        return abs(odds) / math.sqrt(1 / a + 1 / b)
 
-    known = [w for w in counts[0] | counts[1] if counts[0][w] + counts[1][w] >= training.least_rows and w not in always]
-    known.sort(key=lambda w: (-abs(z_score(w)), w))
-    return known[: training.features] + sorted(w for w in always if counts[0][w] + counts[1][w])
+    seen = [f for f in counts[0] | counts[1] if counts[0][f] + counts[1][f] >= training.least_rows and f not in always]
+    ranked = sorted((-z, f) for f in seen if (z := z_score(f)) >= training.least_z)
+    return [f for _, f in ranked[: training.features]] + sorted(w for w in always if counts[0][w] + counts[1][w])
 
 
 def pairs(texts: list[list[str]], column: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    found = [(i, column[w]) for i, words in enumerate(texts) for w in words if w in column]
+    found = [(i, column[f]) for i, words in enumerate(texts) for f in sorted(features(words).intersection(column))]
     at = np.array(found, np.int64).reshape(-1, 2)
     return at[:, 0], at[:, 1]
 
