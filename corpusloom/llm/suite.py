@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pyspark.sql.functions as F
 
-from corpusloom.llm import decontamination, mixing, repetition, secrets, sharding, token_counts, toxicity
+from corpusloom.llm import decontamination, mixing, repetition, secrets, sharding, simhash, token_counts, toxicity
 from corpusloom.plans.workspace import fresh_path
 from corpusloom.suite import Suite, table
 
@@ -88,3 +88,10 @@ def op2_mixing(spark, sf):
     blocks = mixing.mix_documents(table(spark, sf, "documents"))
     rows = blocks.groupBy("doc_id", "place", "copy", "size", "source_size", "target").agg(F.sum("words").alias("taken"))
     return rows.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@suite.add()
+def op6_simhash(spark, sf):
+    """Fingerprint and near-duplicate component of every document."""
+    found = simhash.near_duplicates(table(spark, sf, "documents"))
+    return found.select("doc_id", simhash.hex_digits(F.col("fingerprint")).alias("fingerprint"), "component_id")
