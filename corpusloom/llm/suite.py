@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pyspark.sql.functions as F
 
-from corpusloom.llm import decontamination, mixing, repetition, secrets, sharding, simhash, token_counts, toxicity
+from corpusloom.llm import decontamination, mixing, repetition, secrets, sharding, simhash, substrings, token_counts, toxicity
 from corpusloom.plans.workspace import fresh_path
 from corpusloom.suite import Suite, table
 
@@ -95,3 +95,10 @@ def op6_simhash(spark, sf):
     """Fingerprint and near-duplicate component of every document."""
     found = simhash.near_duplicates(table(spark, sf, "documents"))
     return found.select("doc_id", simhash.hex_digits(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
+@suite.add()
+def op3_substrings(spark, sf):
+    """Words of every document in repeated windows, and the digest of the others."""
+    kept = substrings.remove_repeats(table(spark, sf, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
