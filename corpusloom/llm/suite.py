@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pyspark.sql.functions as F
 
-from corpusloom.llm import decontamination, mixing, repetition, secrets, sharding, simhash, substrings, token_counts, toxicity
+from corpusloom.llm import decontamination, mixing, repetition, secrets, sharding, simhash, substrings, templates, token_counts, toxicity
 from corpusloom.plans.workspace import fresh_path
 from corpusloom.suite import Suite, table
 
@@ -102,3 +102,9 @@ def op3_substrings(spark, sf):
     """Words of every document in repeated windows, and the digest of the others."""
     kept = substrings.remove_repeats(table(spark, sf, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@suite.add()
+def op5_main_text(spark, sf):
+    """Main text of every page."""
+    return templates.main_text(table(spark, sf, "pages"))
