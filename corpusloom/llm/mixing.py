@@ -243,3 +243,38 @@ def shard_ends(split: DataFrame, shards: int) -> DataFrame:
     if shards == 1:
         return long.select("place").distinct().select("place", F.array().cast("array<bigint>").alias("ends"))
     return table.select("place", F.transform("ends", lambda e: e["end"]).alias("ends"))
+
+
+def mix_rows(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", **options
+) -> DataFrame:
+    """``docs`` as the mix takes them: whole rows, each as often as it is drawn, with the columns of ``docs``.
+
+    Rows that agree in id, source and size are numbered by a hash of their
+    text, so each takes the draws of one copy. Rows without words weigh nothing
+    and are never drawn. The text is shuffled once, to meet the draws of its
+    row.
+    """
+    units = mix_documents(docs, id_column, text_column, source_column, block_words=None, **options)
+    sources = _sources(docs, source_column)
+    draws = units.filter("pass IS NOT NULL").groupBy(id_column, "place", "size", "copy").agg(F.count(F.lit(1)).alias("n"))
+    draws = draws.join(sources, "place").groupBy(
+        F.col(id_column).alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__words")
+    )
+    draws = materialize(draws.agg(F.map_from_entries(F.collect_list(F.struct("copy", "n"))).alias("__draws")), "mix-draws")
+    sized = docs.withColumn("__size", word_count(F.col(text_column)))
+    same = (
+        F.col(id_column).eqNullSafe(F.col("__id"))
+        & F.col(source_column).eqNullSafe(F.col("__source"))
+        & (F.col("__size") == F.col("__words"))
+    )
+    copy = Window.partitionBy("__id", "__source", "__words").orderBy(F.xxhash64(text_column))
+    times = F.coalesce(F.element_at("__draws", F.row_number().over(copy) - 1), F.lit(0))
+    met = sized.join(draws, same).withColumn("__times", times.cast("int")).filter("__times > 0")
+    return met.withColumn("__take", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns)
+
+
+def _sources(docs: DataFrame, source_column: str) -> DataFrame:
+    """``source, place``: the sources in code point order, null last."""
+    names = docs.select(F.col(source_column).alias("source")).distinct()
+    return names.select("source", (F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1).alias("place"))
