@@ -18,7 +18,7 @@ from corpusloom.plans.workspace import materialize
 
 SHARDS = 16
 # Most rounds of moves; it ends earlier when no row asks to move.
-ROUNDS = 8
+ROUNDS = 12
 
 
 def shard_documents(
@@ -78,19 +78,25 @@ def shard_at(position: Column, rooms: list[int]) -> Column:
 
 def propagate(linked: DataFrame, quotas: list[int], rounds: int) -> DataFrame:
     """Rounds of moves of linked rows towards their neighbours' shards."""
-    for _ in range(rounds):
+    for turn in range(rounds):
         cells = linked.groupBy("group", "shard").agg(F.count(F.lit(1)).alias("here"), F.first("members").alias("members"))
         cells = materialize(cells, "shard-cells")
         rooms = [q - n for q, n in zip(quotas, held(cells, "shard", len(quotas)), strict=True)]
         wishes = moves(cells, rooms)
-        asked = held(wishes, "target", len(quotas))
-        if not sum(asked):
+        large = is_large(quotas)
+        small_asks, large_asks = (held(wishes.filter(x), "target", len(quotas)) for x in (~large, large))
+        if not sum(small_asks) + sum(large_asks):
             break
-        share = [min(1.0, room / ask) if ask else 0.0 for room, ask in zip(rooms, asked, strict=True)]
-        admitted = F.element_at(F.array(*map(F.lit, share)), F.col("target") + 1)
-        # Small groups move whole; of a large group as many rows as there is room for.
-        large = F.col("members") * 64 > max(quotas)
-        chance = F.when(large, unit("h")).otherwise(unit("group"))
+        # Small groups are admitted first and move whole; of a large group as many rows as there is room for.
+        small_share = [admission(room, ask) for room, ask in zip(rooms, small_asks, strict=True)]
+        rest = [max(0, room - ask) for room, ask in zip(rooms, small_asks, strict=True)]
+        large_share = [admission(room, ask) for room, ask in zip(rest, large_asks, strict=True)]
+        at = F.col("target") + 1
+        admitted = F.when(large, F.element_at(F.array(*map(F.lit, large_share)), at)).otherwise(
+            F.element_at(F.array(*map(F.lit, small_share)), at)
+        )
+        # A new draw each round, else the rows refused once would be refused for good.
+        chance = F.when(large, unit(turn, "h")).otherwise(unit(turn, "group"))
         moved = linked.join(wishes.select("group", "shard", "target"), ["group", "shard"], "left")
         goes = F.col("target").isNotNull() & (chance < admitted)
         linked = materialize(
@@ -99,9 +105,18 @@ def propagate(linked: DataFrame, quotas: list[int], rounds: int) -> DataFrame:
     return linked
 
 
-def unit(*columns: str) -> Column:
+def is_large(quotas: list[int]) -> Column:
+    """Groups that hold a good part of a shard."""
+    return F.col("members") * 64 > max(quotas)
+
+
+def admission(room: int, ask: int) -> float:
+    return min(1.0, room / ask) if ask else 0.0
+
+
+def unit(turn: int, column: str) -> Column:
     """A number in [0, 1) from a hash."""
-    return F.pmod(F.xxhash64(F.lit("unit"), *columns), F.lit(1 << 30)) / float(1 << 30)
+    return F.pmod(F.xxhash64(F.lit(f"unit {turn}"), column), F.lit(1 << 30)) / float(1 << 30)
 
 
 def held(cells: DataFrame, shard: str, shards: int) -> list[int]:
@@ -111,7 +126,7 @@ def held(cells: DataFrame, shard: str, shards: int) -> list[int]:
 
 
 def moves(cells: DataFrame, rooms: list[int]) -> DataFrame:
-    """``group, shard, target, here`` of the cells that ask to move to the shard with most neighbours among those with room."""
+    """``group, shard, target, here, members`` of the cells that ask to move to the shard with most neighbours among those with room."""
     free = [s for s, room in enumerate(rooms) if room > 0]
     weight = F.struct("here", F.xxhash64("group", "shard").alias("tie"), "shard")
     by_group = Window.partitionBy("group")
@@ -120,14 +135,16 @@ def moves(cells: DataFrame, rooms: list[int]) -> DataFrame:
         cells.withColumn("own", weight)
         .withColumn("best", best)
         .filter(F.col("best").isNotNull() & (F.col("best") > F.col("own")))
-        .select("group", "shard", F.col("best.shard").alias("target"), "here")
+        .select("group", "shard", F.col("best.shard").alias("target"), "here", "members")
     )
 
 
 def fill(linked: DataFrame, single: DataFrame, quotas: list[int], total: int) -> DataFrame:
     """Rows over a shard's quota and rows without links go where room is left; exact quotas."""
     columns = ["id", "size", "text_crc32", "h", "shard"]
-    order = F.xxhash64(F.lit("fill"), "h", "group")
+    # Rows of large groups come last: they leave the fewest links behind.
+    half = F.shiftrightunsigned(F.xxhash64(F.lit("fill"), "h", "group"), 1)
+    order = F.when(is_large(quotas), half.bitwiseOR(F.lit(-(1 << 63)))).otherwise(half)
     ordered = materialize(ranked(linked, ["shard"], order, total).select(*columns, "rank"), "shard-linked")
     quota = F.element_at(F.array(*[F.lit(q).cast("long") for q in quotas]), F.col("shard") + 1)
     kept = ordered.filter(F.col("rank") < quota)

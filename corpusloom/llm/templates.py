@@ -195,12 +195,12 @@ def article_path(pages: list[list[Element]], paths: dict[str, int]) -> str:
             nested[path.rpartition("/")[0]].append(path)
     here = ""
     while tags[here] != "article":
-        best = max(
-            (p for p in nested[here] if tags[p] in FRAME_TAGS), key=lambda p: (mass[p], -paths[p]), default=None
-        )
-        if best is None or 2 * mass[best] < mass[here] or mass[best] == 0:
+        # An element that is named for the article counts for four of any other kind.
+        worth = {p: mass[p] * (4 if tags[p] in ("article", "main") else 1) for p in nested[here] if tags[p] in FRAME_TAGS}
+        best = max(worth, key=lambda p: (worth[p], -paths[p]), default=None)
+        if best is None or 2 * worth[best] < mass[here] or mass[best] == 0:
             break
-        if any(h.rpartition("/")[0] == here for h in headlines):
+        if tags[best] not in ("article", "main") and any(h.rpartition("/")[0] == here for h in headlines):
             break
         here = best
     return here
