@@ -10,6 +10,58 @@ from corpusloom.suite import Suite, table
 
 suite = Suite()
 
+WORD = r"[^\x20\x09-\x0D]+"
+
+# Windows are told apart by their words, which hold no space.
+SUBSTRINGS_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '{WORD}'), []) AS ws FROM documents),
+g AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM d),
+k AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 34], ' ')) AS w FROM g),
+r AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY w) AS n FROM k) WHERE n > 1),
+p AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM d),
+c AS (SELECT p.*, coalesce(max(r.i) OVER (PARTITION BY p.doc_id ORDER BY p.i ROWS UNBOUNDED PRECEDING) + 34 >= p.i, false) AS gone
+      FROM p LEFT JOIN r USING (doc_id, i)),
+s AS (SELECT doc_id, count_if(gone)::BIGINT AS n, string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS kept FROM c GROUP BY 1)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN s USING (doc_id)
+"""
+
+# Words in repeated windows of a document; repeats of 8 words or more cover what repeated 8-word windows do.
+REPEATS_SQL = """
+g{n} AS (SELECT doc_id, i, array_to_string(ws[i:i + {n} - 1], ' ') AS w FROM (
+  SELECT doc_id, ws, unnest(range(1, len(ws) - {n} + 2)) AS i FROM d)),
+r{n} AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, w) AS n FROM g{n}) WHERE n > 1),
+c{n} AS (SELECT doc_id, count(DISTINCT j)::BIGINT AS c{n} FROM (SELECT doc_id, unnest(range(i, i + {n})) AS j FROM r{n}) GROUP BY 1)"""
+
+QUALITY_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(regexp_extract_all(text, '{WORD}'), []) AS ws FROM documents),
+{REPEATS_SQL.format(n=3)}, {REPEATS_SQL.format(n=8)}, {REPEATS_SQL.format(n=101)},
+l AS (SELECT doc_id, (count(*) - count(DISTINCT line))::BIGINT AS n_dup_lines FROM (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '{WORD}') GROUP BY 1),
+q AS (SELECT doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+        coalesce(c3, 0)::BIGINT AS n_repeat_words, coalesce(c8, 0)::BIGINT AS covered_words, c101 IS NOT NULL AS long
+      FROM d LEFT JOIN l USING (doc_id) LEFT JOIN c3 USING (doc_id) LEFT JOIN c8 USING (doc_id) LEFT JOIN c101 USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, covered_words,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND covered_words <= 0.4 * n_words AND NOT long AS kept
+FROM q
+"""
+
+# The pages of the table have one article each, built of h1, p, b and br, and four named character references.
+PAGES_SQL = r"""
+WITH a AS (SELECT page_id, url, unnest(string_split_regex(
+    regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(</article>|$)', 1), '</?(p|h1)>')) AS part,
+    unnest(range(len(string_split_regex(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(</article>|$)', 1), '</?(p|h1)>')))) AS i
+  FROM pages),
+t AS (SELECT page_id, i, trim(regexp_replace(replace(replace(replace(replace(
+    regexp_replace(regexp_replace(part, '<br>', ' ', 'g'), '<[^>]*>', '', 'g'),
+    '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '\s+', ' ', 'g')) AS block FROM a),
+j AS (SELECT page_id, string_agg(block, chr(10) || chr(10) ORDER BY i) AS text FROM t WHERE block <> '' GROUP BY 1)
+SELECT page_id, url, coalesce(j.text, '') AS text, length(coalesce(j.text, ''))::BIGINT AS n_chars
+FROM pages LEFT JOIN j USING (page_id)
+"""
+
 # Score from which a text counts as toxic.
 TOXIC_FROM = 0.3
 
@@ -54,10 +106,10 @@ def op7_secrets(spark, sf):
     )
 
 
-@suite.add()
+@suite.add(QUALITY_SQL)
 def op8_repetition(spark, sf):
     """Quality counts, repeat measures and verdict of every document."""
-    return repetition.quality_rules(table(spark, sf, "documents"))
+    return repetition.quality_rules(table(spark, sf, "documents")).drop("longest_repeat")
 
 
 @suite.add()
@@ -97,14 +149,14 @@ def op6_simhash(spark, sf):
     return found.select("doc_id", simhash.hex_digits(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
-@suite.add()
+@suite.add(SUBSTRINGS_SQL)
 def op3_substrings(spark, sf):
     """Words of every document in repeated windows, and the digest of the others."""
     kept = substrings.remove_repeats(table(spark, sf, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
-@suite.add()
+@suite.add(PAGES_SQL)
 def op5_main_text(spark, sf):
     """Main text of every page."""
     return templates.main_text(table(spark, sf, "pages"))
