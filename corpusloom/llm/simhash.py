@@ -32,6 +32,8 @@ SAMPLE = 8192
 SHARD_SIZE = 4096
 # Members that are compared one with another; larger sets are split as long as that saves work.
 BLOCK = 512
+# Comparisons held at once; in a dense set every one of them may be a link.
+COMPARED = 1 << 19
 VANTAGE_TRIES = 8
 
 
@@ -256,7 +258,7 @@ def close_pairs(members: np.ndarray, most_bits: int) -> tuple[np.ndarray, np.nda
     """Star edges of the components of a set that no further split helps with, in pieces of bounded size."""
     size = len(members)
     label = np.arange(size)
-    step = max(1, (1 << 22) // max(size, 1))
+    step = max(1, COMPARED // max(size, 1))
     for first in range(0, size, step):
         close = np.bitwise_count(members[first : first + step, None] ^ members[None, :]) <= most_bits
         a, b = np.nonzero(close)
