@@ -22,17 +22,12 @@ from corpusloom.operators.baselines import MASK, PATTERNS
 # A backend gets prompts and the response schema (JSON text, or None) and returns one reply each.
 Backend = Callable[[list[str], str | None], Sequence[str]]
 
-# Word lists put into a function body are looked up one by one.
-MAX_INLINE = 200
-
 
 def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _sql_map(pairs: dict, value: Callable[[object], str]) -> str:
-    if len(pairs) > MAX_INLINE:
-        raise ValueError(f"more than {MAX_INLINE} entries: use the DataFrame form with a table")
     if not pairs:
         raise ValueError("empty word list")
     return "map(" + ", ".join(f"{_quoted(k)}, {value(v)}" for k, v in pairs.items()) + ")"
@@ -99,7 +94,8 @@ def register_model_functions(
             names.append("ai_gen")
 
     known = {**PATTERNS, **(patterns or {})}
-    pattern_of = f"element_at({_sql_map(known, _quoted)}, l)"
+    # An unknown kind fails the query: a null pattern would make the whole text null.
+    pattern_of = f"coalesce(try_element_at({_sql_map(known, _quoted)}, l), raise_error(concat('no pattern for ', l)))"
     words = f"regexp_extract_all(lower(%s), {_quoted(WORD)}, 0)"
     tokens = f"regexp_extract_all(lower(%s), {_quoted(TOKEN)}, 0)"
     functions = [

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,12 +24,17 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def as_matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    """Rows of an Arrow list column as a float64 matrix."""
+    """Rows of an Arrow list column as a float64 matrix; rows of other lengths and non-finite values are errors."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if len(column) == 0:
         return np.zeros((0, 0))
+    lengths = pc.unique(pc.list_value_length(column))
+    if len(lengths) != 1 or not lengths[0].is_valid:
+        raise ValueError(f"vectors of one length are needed, found {sorted(map(str, lengths.to_pylist()))}")
     values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    if not np.isfinite(values).all():
+        raise ValueError("vectors with NaN, infinite or missing values")
     return values.reshape(len(column), -1)
 
 

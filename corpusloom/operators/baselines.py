@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.text import let, runs, sentences, tokens, words
 from corpusloom.operators.relational import nearest_term
-from corpusloom.plans.skew import first_per_key, inline_map, skew_join, small_side
+from corpusloom.plans.skew import skew_join
 
 __all__ = [
     "PATTERNS",
@@ -44,48 +44,45 @@ MASK = "[MASKED]"
 
 
 def terms_pattern(terms: Sequence[str]) -> str:
-    """Pattern matching any of a short list of terms, longest first."""
-    if len(terms) > 200:
-        raise ValueError("longer lists belong into a table: use translate or nearest_term")
+    """Pattern matching any of the terms, longest first; long lists are faster as a table (translate, nearest_term)."""
     return r"\b(?:" + "|".join(re.escape(t) for t in sorted(terms, key=len, reverse=True)) + r")\b"
 
 
+def _word_counts(df: DataFrame, id_cols: Sequence[str], col: str) -> DataFrame:
+    """``id_cols, word, n``: the distinct words of each row with their counts; one row with a null word where there are none."""
+    counted = let(
+        F.sort_array(words(F.col(col))),
+        lambda ws: runs(ws, lambda p, n: F.struct(F.get(ws, p).alias("word"), n.cast("long").alias("n"))),
+    )
+    return df.select(*id_cols, F.explode_outer(counted).alias("__w")).select(*id_cols, "__w.word", "__w.n")
+
+
 def sentiment(df: DataFrame, id_cols: Sequence[str], col: str, lexicon: DataFrame) -> DataFrame:
-    """``id_cols, score, sentiment`` from a table of ``word, weight``; the ids identify the rows.
+    """``id_cols, score, sentiment`` from a table of ``word, weight``; rows with equal ids (nulls too) are one text.
 
-    A short lexicon is looked up within the row. With a longer one the words
-    are joined; all words of a document are met in its task, so the partial
-    sums shuffle one small row per document and never its text.
+    Words are counted within the row and joined with the lexicon, whatever its
+    size; the partial sums of a row are added up in its task, so one small row
+    per text is shuffled and never the text. Weights keep their type.
     """
     weights = lexicon.filter("word is not null").groupBy("word").agg(F.sum("weight").alias("weight"))
-    found = words(F.col(col))
-    inline = inline_map(weights)
-    if inline is not None:
-
-        def total(weight_of: Column) -> Column:
-            found_weights = F.transform(found, lambda w: F.coalesce(F.try_element_at(weight_of, w), F.lit(0)).cast("long"))
-            return F.aggregate(F.coalesce(found_weights, F.array().cast("array<bigint>")), F.lit(0).cast("long"), lambda a, w: a + w)
-
-        scored = df.withColumn("__map", inline).select(*id_cols, total(F.col("__map")).alias("score"))
-    else:
-        scored = (
-            skew_join(df.select(*id_cols, F.explode_outer(found).alias("word")), small_side(weights), ["word"])
-            .groupBy(*id_cols)
-            .agg(F.coalesce(F.sum("weight"), F.lit(0)).cast("long").alias("score"))
-        )
+    scored = (
+        skew_join(_word_counts(df, id_cols, col), weights, ["word"])
+        .groupBy(*id_cols)
+        .agg(F.coalesce(F.sum(F.col("weight") * F.col("n")), F.lit(0)).alias("score"))
+    )
     name = F.when(F.col("score") > 0, "positive").when(F.col("score") < 0, "negative").otherwise("neutral")
     return scored.withColumn("sentiment", name)
 
 
 def classify(df: DataFrame, id_cols: Sequence[str], col: str, keywords: DataFrame) -> DataFrame:
     """Label with most keyword hits (``label, word`` table), ties by label; null without a hit."""
-    found = df.select(*id_cols, F.explode_outer(words(F.col(col))).alias("word"))
     scored = (
-        skew_join(found, small_side(keywords.select("label", "word")), ["word"])
+        skew_join(_word_counts(df, id_cols, col), keywords.select("label", "word"), ["word"])
         .groupBy(*id_cols, "label")
-        .agg(F.count("label").alias("hits"))
+        .agg(F.sum(F.when(F.col("label").isNotNull(), F.col("n")).otherwise(0)).alias("hits"))
     )
-    return first_per_key(scored, id_cols, [F.desc("hits"), F.asc_nulls_last("label")])
+    best = F.min(F.struct((-F.col("hits")).alias("n"), F.col("label").isNull().alias("none"), "label")).alias("__best")
+    return scored.groupBy(*id_cols).agg(best).select(*id_cols, "__best.label", (-F.col("__best.n")).alias("hits"))
 
 
 def extract(df: DataFrame, col: str, patterns: dict[str, str], out: str = "entities") -> DataFrame:
@@ -222,31 +219,26 @@ def summarize(col: Column, n: int = 2) -> Column:
 def translate(df: DataFrame, id_cols: Sequence[str], col: str, glossary: DataFrame) -> DataFrame:
     """``id_cols, translation`` word by word from a table of ``source, target``; unknown words stay.
 
-    Blanks and marks are kept. A short glossary is looked up within the row.
-    With a longer one the distinct words of each document are joined with it
-    and come back as a small map per document; the ids identify the rows.
+    Blanks and marks are kept. The distinct words of each row are joined with
+    the glossary, whatever its size, and come back as a small map; rows with
+    equal ids (nulls too) share one. Every row of ``df`` gives a row.
     """
     ids = list(id_cols)
     entries = glossary.filter("source is not null").groupBy("source").agg(F.min("target").alias("target"))
     # Words and the text between them, in turn.
     pieces = F.regexp_extract_all(F.col(col), F.lit(r"[\p{L}\p{N}]+|[^\p{L}\p{N}]+"), F.lit(0))
-
-    def translated(target_of: Column) -> Column:
-        return F.array_join(
-            F.transform(pieces, lambda p: F.coalesce(F.try_element_at(target_of, F.lower(p)), p)), ""
-        )
-
-    inline = inline_map(entries)
-    if inline is not None:
-        return df.withColumn("__map", inline).select(*ids, translated(F.col("__map")).alias("translation"))
     vocabulary = df.select(*ids, F.explode(F.array_distinct(words(F.col(col)))).alias("source"))
     found = (
-        skew_join(vocabulary, small_side(entries), ["source"], "inner")
-        .groupBy(*ids)
-        .agg(F.map_from_entries(F.collect_list(F.struct("source", "target"))).alias("__map"))
+        skew_join(vocabulary, entries, ["source"], "inner")
+        .groupBy(*[F.col(c).alias(f"__id{n}") for n, c in enumerate(ids)])
+        .agg(F.map_from_entries(F.array_distinct(F.collect_list(F.struct("source", "target")))).alias("__map"))
+    )
+    same = F.lit(True)
+    for n, c in enumerate(ids):
+        same = same & F.col(c).eqNullSafe(F.col(f"__id{n}"))
+    translated = F.array_join(
+        F.transform(pieces, lambda p: F.coalesce(F.try_element_at("__map", F.lower(p)), p)), ""
     )
-    return (
-        df.join(found, ids, "left")
-        .withColumn("translation", F.when(F.col("__map").isNull(), F.col(col)).otherwise(translated(F.col("__map"))))
-        .select(*ids, "translation")
+    return df.join(found, same, "left").select(
+        *ids, F.when(F.col("__map").isNull(), F.col(col)).otherwise(translated).alias("translation")
     )

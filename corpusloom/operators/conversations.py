@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from corpusloom.plans.skew import skew_join
 
-# Messages per collected list; a longer conversation comes out in several parts.
-PART_TURNS = 10_000
-
 # Shape of a tool call within a message.
 TOOL_CALLS_DDL = "ARRAY<STRUCT<id: STRING, function: STRUCT<name: STRING, arguments: STRING>>>"
 
@@ -23,23 +20,25 @@ def assemble_messages(
     turn: str = "turn",
     role: str = "role",
     text: str = "text",
-    part_turns: int = PART_TURNS,
+    most_messages: int | None = None,
 ) -> DataFrame:
-    """Ordered message list per conversation, the system prompt first.
+    """Ordered list of ``turn, role, content`` per conversation, the system prompt first with a null turn.
 
-    Turns are grouped by range into parts of at most ``part_turns`` turn
-    numbers, so a list stays bounded; ordinary conversations have part 0 only.
+    A conversation is one list. With ``most_messages`` a longer one fails the
+    job, for callers that cannot hold one.
     """
-    part = F.floor(F.col(turn) / part_turns).cast("int")
     listed = F.sort_array(
         F.collect_list(F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("content")))
     )
-    grouped = df.groupBy(conv, part.alias("part")).agg(listed.alias("__m"))
-    messages = F.transform("__m", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
+    if most_messages is not None:
+        fits = F.assert_true(F.count(F.lit(1)) <= most_messages, F.lit(f"more than {most_messages} messages in a conversation"))
+        listed = F.when(fits.isNull(), listed)
+    messages = F.col("__m")
     if system_prompt is not None:
-        first = F.array(F.struct(F.lit("system").alias("role"), F.lit(system_prompt).alias("content")))
-        messages = F.when(F.col("part") == 0, F.concat(first, messages)).otherwise(messages)
-    return grouped.select(conv, "part", messages.alias("messages"))
+        kind = df.schema[turn].dataType
+        first = F.struct(F.lit(None).cast(kind).alias("turn"), F.lit("system").alias("role"), F.lit(system_prompt).alias("content"))
+        messages = F.concat(F.array(first), messages)
+    return df.groupBy(conv).agg(listed.alias("__m")).select(conv, messages.alias("messages"))
 
 
 def _last(df: DataFrame, conv: str, turn: str, columns: Sequence[str]) -> DataFrame:
@@ -61,28 +60,46 @@ def _call_count(tool_calls: Column) -> Column:
 def dispatch_tools(
     df: DataFrame,
     tools: dict[str, DataFrame],
-    argument: str,
+    arguments: str | Sequence[str] | dict[str, str | Sequence[str]],
     conv: str = "conv_id",
     turn: str = "turn",
     tool_calls: str = "tool_calls",
 ) -> DataFrame:
     """Answer the calls of each conversation's last message: one ``tool`` message per call.
 
-    A tool is a table with a ``key`` column; its other columns are the answer
-    to a call whose ``argument`` names the key. Unknown tools and keys give a
-    null content. Rows: ``conv, turn, role, tool_call_id, content``.
+    A tool is a table looked up by the call's ``arguments``: their names, for
+    all tools or by tool. A single argument is met by the column ``key``,
+    several by the columns of their names; other columns are the answer. Keys
+    are compared in lower case; of rows with one key the smallest answer
+    counts. Unknown tools and keys give a null content. Rows: ``conv, turn,
+    role, tool_call_id, content``.
     """
+    if not tools:
+        raise ValueError("no tools")
+    names = {}
+    for name in tools:
+        wanted = arguments[name] if isinstance(arguments, dict) else arguments
+        names[name] = [wanted] if isinstance(wanted, str) else list(wanted)
+
+    def key_of(values: Sequence[Column]) -> Column:
+        # As JSON, a null is told apart from other values.
+        return F.to_json(F.array(*[F.lower(v.cast("string")) for v in values]))
+
     answers = None
     for name, table in tools.items():
+        keys = ["key"] if len(names[name]) == 1 and names[name][0] not in table.columns else names[name]
         part = table.select(
             F.lit(name).alias("__tool"),
-            F.lower("key").alias("__key"),
-            result_text(F.struct(*[c for c in table.columns if c != "key"])).alias("content"),
+            key_of([F.col(k) for k in keys]).alias("__key"),
+            result_text(F.struct(*[c for c in table.columns if c not in keys])).alias("content"),
         )
         answers = part if answers is None else answers.unionByName(part)
-    if answers is None:
-        raise ValueError("no tools")
-    argument_of = F.get_json_object("__call.function.arguments", f"$.{argument}")
+    answers = answers.groupBy("__tool", "__key").agg(F.min("content").alias("content"))
+    call_name, call_arguments = F.col("__call.function.name"), F.col("__call.function.arguments")
+    key = F.lit(None).cast("string")
+    for name, wanted in names.items():
+        values = key_of([F.get_json_object(call_arguments, f"$['{a}']") for a in wanted])
+        key = F.when(call_name == name, values).otherwise(key)
     calls = (
         _last(df, conv, turn, [turn, tool_calls])
         .select(
@@ -95,8 +112,8 @@ def dispatch_tools(
             (F.col("__turn") + F.col("__pos") + 1).alias(turn),
             F.lit("tool").alias("role"),
             F.col("__call.id").alias("tool_call_id"),
-            F.col("__call.function.name").alias("__tool"),
-            F.lower(argument_of).alias("__key"),
+            call_name.alias("__tool"),
+            key.alias("__key"),
         )
     )
     # All tools in one table: the calls are found once and looked up once.
@@ -118,5 +135,5 @@ def final_answer(
 
 
 def flatten_updates(df: DataFrame, id_cols: Sequence[str], messages: str = "messages") -> DataFrame:
-    """Message lists back to one row per message."""
+    """Message lists back to one row per message, with the fields of the message and its place ``pos`` in the list."""
     return df.select(*id_cols, F.posexplode(messages).alias("pos", "__m")).select(*id_cols, "pos", "__m.*")

@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.operators.relational import latest_per_key
-from corpusloom.plans.skew import LIST_LIMIT, add_list_part
 
 
-def deduplicate_assessments(df: DataFrame, mode: str = "fixed", list_limit: int = LIST_LIMIT) -> DataFrame:
+def deduplicate_assessments(df: DataFrame, mode: str = "fixed", list_limit: int | None = None) -> DataFrame:
     """Latest text assessment joined with the collected retrieval assessments.
 
     Columns: ``request_id, source, timestamp, text_assessment, schema_version,
@@ -21,8 +20,8 @@ def deduplicate_assessments(df: DataFrame, mode: str = "fixed", list_limit: int
     ``fixed`` keeps the latest text per request and reviewer, collects over
     steps and fills the keys from either side.
 
-    A group with more than ``list_limit`` retrieval assessments gives several
-    rows with parts of the list; none is dropped.
+    A group gives one row with its whole list. With ``list_limit`` a longer
+    list fails the job, for callers that cannot hold one.
     """
     if mode not in ("fixed", "compat"):
         raise ValueError("mode is 'fixed' or 'compat'")
@@ -36,14 +35,14 @@ def deduplicate_assessments(df: DataFrame, mode: str = "fixed", list_limit: int
     ).drop("step_id")
 
     list_keys = ["request_id", "__reviewer"] + (["step_id"] if mode == "compat" else [])
-    retrievals = add_list_part(
-        reviewed.filter("retrieval_assessment is not null").select(*list_keys, "retrieval_assessment"),
-        list_keys,
-        list_limit,
-    )
+    collected = F.sort_array(F.collect_list("retrieval_assessment"))
+    if list_limit is not None:
+        fits = F.assert_true(F.count(F.lit(1)) <= list_limit, F.lit(f"more than {list_limit} retrieval assessments in a group"))
+        collected = F.when(fits.isNull(), collected)
     lists = (
-        retrievals.groupBy(*list_keys, "part")
-        .agg(F.sort_array(F.collect_list("retrieval_assessment")).alias("retrieval_assessments"))
+        reviewed.filter("retrieval_assessment is not null")
+        .groupBy(*list_keys)
+        .agg(collected.alias("retrieval_assessments"))
         .select(F.col("request_id").alias("__r_request"), F.col("__reviewer").alias("__r_reviewer"), "retrieval_assessments")
     )
     merged = texts.join(

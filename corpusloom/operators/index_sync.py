@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.plans.skew import small_side
 from corpusloom.plans.workspace import materialize
 
 
@@ -47,11 +46,13 @@ def changed_keys(old: DataFrame, new: DataFrame, key: str, content_cols: Sequenc
 
 
 def diff_snapshots(old: DataFrame, new: DataFrame, key: str, content_cols: Sequence[str]) -> DataFrame:
-    """Changes from ``old`` to ``new``: key, new content and ``_change_type``, in one pass."""
-    before = old.select(key, _hash_of(old, content_cols).alias("__old"))
-    after = new.select(key, *content_cols, _hash_of(new, content_cols).alias("__new"))
-    kinds = before.join(after, key, "full").withColumn("_change_type", F.expr(_CHANGE_TYPE))
-    return kinds.filter("_change_type is not null").select(key, *content_cols, "_change_type")
+    """Changes from ``old`` to ``new``: key, new content and ``_change_type``.
+
+    Keys and hashes are compared first; the content is only fetched for the
+    keys that changed, which Spark broadcasts when they are few.
+    """
+    changes = changed_keys(old, new, key, content_cols)
+    return changes.join(new.select(key, *content_cols), key, "left").select(key, *content_cols, "_change_type")
 
 
 def apply_changes(index: DataFrame, changes: DataFrame, key: str) -> DataFrame:
@@ -113,9 +114,8 @@ def sync_index(source: DataFrame, root: str, key: str, content_cols: Sequence[st
     counts = changes.groupBy("_change_type").agg(F.count(F.lit(1)).alias("count"))
     if changes.isEmpty():
         return counts
-    # Few changes are broadcast, and neither source nor index is shuffled.
-    touched = small_side(changes.select(key))
-    fresh = source.join(small_side(changes.filter("_change_type <> 'delete'").select(key)), key, "left_semi")
-    kept = index.join(touched, key, "left_anti")
+    # Written, so Spark knows their size: few changes are broadcast, and neither source nor index is shuffled.
+    fresh = source.join(changes.filter("_change_type <> 'delete'").select(key), key, "left_semi")
+    kept = index.join(changes.select(key), key, "left_anti")
     publish_version(kept.select(*index.columns).unionByName(build(fresh).select(*index.columns)), root)
     return counts

@@ -5,9 +5,11 @@ from __future__ import annotations
 import re
 import time
 from collections.abc import Callable, Iterator, Sequence
+from hashlib import md5
+from uuid import uuid4
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.operators.prompts import render_prompt
@@ -73,27 +75,32 @@ def infer(
     batch_size: int = BATCH_SIZE,
     on_error: str = "fail",
     store: str | None = None,
+    model: str | None = None,
 ) -> DataFrame:
     """Add the backend's reply to every row.
 
     Each distinct prompt is asked once, however many rows share it, and the
     replies are joined back by prompt hash; a hot prompt's partition is split. With
-    ``store`` (a path) replies are kept there by prompt hash: prompts already
-    answered are not asked again, by a later action, run or retry. With
+    ``store`` (a path) replies are kept there by ``model`` (name and version,
+    then required), response schema and prompt: what was answered is not asked
+    again, by a later action, run or retry. With
     ``response_ddl`` the reply is parsed and checked (columns of
     :func:`~corpusloom.operators.structured.parse_reply`).
     """
+    if store is not None and not model:
+        raise ValueError("a store needs the name of the model")
     keyed = df.withColumn("__key", F.md5(F.col(prompt_col)))
     asked = (
-        df.select(F.col(prompt_col).alias("__prompt"))
-        .filter("__prompt is not null")
-        .distinct()
-        .withColumn("__key", F.md5("__prompt"))
+        keyed.filter("__key is not null")
+        .groupBy("__key")
+        .agg(F.first(prompt_col).alias("__prompt"))
+        .select("__prompt", "__key")
     )
     if store is None:
         replies = _answer(asked, backend, batch_size, on_error)
     else:
-        replies = _stored_answers(asked, backend, batch_size, on_error, store)
+        kind = md5(f"{len(model)}:{model}{response_ddl or ''}".encode()).hexdigest()
+        replies = _stored_answers(asked, backend, batch_size, on_error, f"{store}/{kind}")
     joined = skew_join(keyed, replies, ["__key"], "left")
     out = joined.withColumnRenamed("__reply", out_col).drop("__key")
     if response_ddl:
@@ -101,19 +108,32 @@ def infer(
     return out
 
 
-def _stored_answers(asked: DataFrame, backend: Backend, batch_size: int, on_error: str, store: str) -> DataFrame:
-    """Answer what the store lacks, append it, and read the store."""
+def _stored_answers(asked: DataFrame, backend: Backend, batch_size: int, on_error: str, folder: str) -> DataFrame:
+    """Answer what the folder lacks, add it as a subfolder of this call, and read what is asked.
+
+    Each call reads a list of folders of its own. Spark takes two reads of one
+    path in a query for the same, even if files were added in between.
+    """
     spark = asked.sparkSession
-    schema = "__key string, __reply string"
-    folder = spark._jvm.org.apache.hadoop.fs.Path(store)
-    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        known = spark.read.schema(schema).parquet(store)
-        asked = asked.join(known.select("__key"), "__key", "left_anti")
+    schema, fresh_keys, known = "__key string, __reply string", asked, _complete_folders(spark, folder)
+    if known:
+        fresh_keys = asked.join(spark.read.schema(schema).parquet(*known).select("__key"), "__key", "left_anti")
     # Failed calls are not stored, so that a later run asks them again.
-    fresh = _answer(asked, backend, batch_size, on_error).filter(F.col("__reply").isNotNull())
-    fresh.write.mode("append").parquet(store)
-    # Two runs at a time may both answer a prompt: keep one reply per key.
-    return spark.read.schema(schema).parquet(store).groupBy("__key").agg(F.min("__reply").alias("__reply"))
+    fresh = _answer(fresh_keys, backend, batch_size, on_error).filter(F.col("__reply").isNotNull())
+    added = f"{folder}/{uuid4().hex}"
+    fresh.write.parquet(added)
+    # Only what is asked here; two runs at a time may both answer a prompt: keep one reply per key.
+    answers = spark.read.schema(schema).parquet(*known, added).join(asked.select("__key"), "__key", "left_semi")
+    return answers.groupBy("__key").agg(F.min("__reply").alias("__reply"))
+
+
+def _complete_folders(spark: SparkSession, folder: str) -> list[str]:
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path(folder)):
+        return []
+    found = sorted(s.getPath().toString() for s in fs.listStatus(path(folder)))
+    return [f for f in found if fs.exists(path(f"{f}/_SUCCESS"))]
 
 
 def generate(df: DataFrame, template: str, backend: Backend, out_col: str = "answer", **options) -> DataFrame:
@@ -132,7 +152,7 @@ def compare_models(
     """
     out = None
     for name, backend in backends.items():
-        answered = infer(df, prompt_col, backend, "pred", **options).select(
+        answered = infer(df, prompt_col, backend, "pred", model=name, **options).select(
             F.lit(name).alias("model"), F.col(truth).alias("truth"), "pred"
         )
         out = answered if out is None else out.unionByName(answered)
@@ -140,12 +160,21 @@ def compare_models(
 
 
 def retry_rejected(
-    df: DataFrame, prompt_col: str, backend: Backend, out_col: str, response_ddl: str, enums: dict, required: Sequence[str]
+    df: DataFrame,
+    prompt_col: str,
+    backend: Backend,
+    out_col: str,
+    response_ddl: str,
+    enums: dict,
+    required: Sequence[str],
+    store: str | None = None,
+    model: str | None = None,
 ) -> DataFrame:
     """Ask once more for the rows whose reply was rejected; ``df`` comes from ``infer`` with a DDL.
 
     The first answers are written to shared storage, as both the accepted and
-    the rejected rows are read from them.
+    the rejected rows are read from them. With ``store`` the second answers are
+    kept under the model's name with a mark, apart from the rejected first ones.
     """
     df = materialize(df, "answers")
     source = [c for c in df.columns if c not in (out_col, "parsed", "valid", "reasons")]
@@ -157,5 +186,7 @@ def retry_rejected(
         response_ddl=response_ddl,
         enums=enums,
         required=required,
+        store=store,
+        model=f"{model} (retry)" if model else None,
     )
     return df.filter(F.col("valid")).unionByName(again)

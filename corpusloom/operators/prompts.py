@@ -7,9 +7,6 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Examples are put into every prompt, so their number is checked.
-MAX_EXAMPLES = 1000
-
 
 def instruct(instruction: str, text: Column) -> Column:
     """Instruction and text put together, with nothing in between."""
@@ -32,21 +29,25 @@ def render_prompt(template: str, *cols: str, **values: Column) -> Column:
 
 
 def few_shot_prompt(
-    instruction: str, examples: DataFrame, reminder: str, order: str = "pos", example: str = "example", sep: str = "\n"
+    instruction: str,
+    examples: DataFrame,
+    reminder: str,
+    order: str = "pos",
+    example: str = "example",
+    sep: str = "\n",
+    most_examples: int | None = None,
 ) -> Column:
     """Instruction, ordered examples and a closing reminder, as a scalar subquery.
 
-    The examples are collected once into one string; more than
-    ``MAX_EXAMPLES`` fail the job.
+    The examples are collected once into one string, as every prompt holds all
+    of them. With ``most_examples`` a longer list fails the job.
     """
-    few = F.assert_true(F.count(F.lit(1)) <= MAX_EXAMPLES, F.lit("too many examples for one prompt"))
     listed = F.array_join(
         F.transform(F.sort_array(F.collect_list(F.struct(order, example))), lambda e: e[example]), sep
     )
-    # One row over the bound is let in, for the check to fail; never the whole of a large table.
-    # assert_true is null when it holds; concat_ws leaves nulls out.
-    return examples.limit(MAX_EXAMPLES + 1).agg(
-        F.concat_ws(sep, F.lit(instruction), F.nullif(listed, F.lit("")), F.lit(reminder), few.cast("string")).alias(
-            "prompt"
-        )
-    ).scalar()
+    parts = [F.lit(instruction), F.nullif(listed, F.lit("")), F.lit(reminder)]
+    if most_examples is not None:
+        few = F.assert_true(F.count(F.lit(1)) <= most_examples, F.lit("too many examples for one prompt"))
+        # assert_true is null when it holds; concat_ws leaves nulls out.
+        parts.append(few.cast("string"))
+    return examples.agg(F.concat_ws(sep, *parts).alias("prompt")).scalar()

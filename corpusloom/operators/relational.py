@@ -39,18 +39,25 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 
 def confusion_matrix(df: DataFrame, truth: str, pred: str, classes: Sequence) -> DataFrame:
-    """Rows by truth, one column per predicted class, 0 where a pair is absent."""
-    return df.groupBy(truth).pivot(pred, list(classes)).agg(F.count(F.lit(1))).na.fill(0)
+    """Rows by truth, one column per predicted class, 0 where a pair is absent.
+
+    Replies outside the classes and missing ones are counted in ``other``.
+    """
+    inside = F.when(F.col(pred).isin(list(classes)), F.col(pred))
+    counts = [F.count_if(inside == c).alias(str(c)) for c in classes]
+    return df.groupBy(truth).agg(*counts, F.count_if(inside.isNull()).alias("other"))
 
 
 def classification_report(df: DataFrame, truth: str, pred: str, by: Sequence[str] = ()) -> DataFrame:
     """Support, precision and recall per class, with the overall accuracy.
 
-    Works on the counts of (truth, prediction) pairs, which are few.
+    A missing prediction counts as a wrong one of its row's class; rows
+    without a truth are left out. Works on the counts of (truth, prediction)
+    pairs, which are few.
     """
     by = list(by)
     pairs = (
-        df.filter(F.col(truth).isNotNull() & F.col(pred).isNotNull())
+        df.filter(F.col(truth).isNotNull())
         .groupBy(*by, F.col(truth).alias("__t"), F.col(pred).alias("__p"))
         .agg(F.count(F.lit(1)).alias("__n"))
     )
@@ -62,9 +69,9 @@ def classification_report(df: DataFrame, truth: str, pred: str, by: Sequence[str
                 F.struct(F.col("__p").alias("c"), F.lit(0).alias("t"), F.lit(1).alias("p")),
             )
         ).alias("__s"),
-        (F.col("__t") == F.col("__p")).alias("__hit"),
+        F.col("__t").eqNullSafe(F.col("__p")).alias("__hit"),
         "__n",
-    )
+    ).filter("__s.c IS NOT NULL")
     # Each pair is listed for its truth and its prediction; hits count once, on the truth side.
     per_class = sides.groupBy(*by, F.col("__s.c").alias("class")).agg(
         F.sum(F.col("__s.t") * F.col("__n")).alias("support"),
@@ -73,7 +80,7 @@ def classification_report(df: DataFrame, truth: str, pred: str, by: Sequence[str
     )
     keys = by or [F.lit(1)]
     overall = pairs.groupBy(*keys).agg(
-        F.sum(F.when(F.col("__t") == F.col("__p"), F.col("__n")).otherwise(0)).alias("__hits"),
+        F.sum(F.when(F.col("__t").eqNullSafe(F.col("__p")), F.col("__n")).otherwise(0)).alias("__hits"),
         F.sum("__n").alias("__all"),
     )
     accuracy = F.try_divide("__hits", "__all").alias("accuracy")
@@ -153,8 +160,8 @@ def flatten_payload(payload: Column) -> list[Column]:
         payload["weight"].alias("weight"),
         F.transform(payload["abilities"], lambda a: a["ability"]["name"]).alias("abilities"),
         F.transform(payload["types"], lambda t: t["type"]["name"]).alias("types"),
-        F.transform(payload["stats"], lambda s: s["stat"]["name"]).alias("stats_name"),
-        F.transform(payload["stats"], lambda s: s["base_stat"]).alias("stats_no"),
+        F.transform(payload["stats"], lambda s: s["stat"]["name"]).alias("stat_names"),
+        F.transform(payload["stats"], lambda s: s["base_stat"]).alias("stat_values"),
     ]
 
 

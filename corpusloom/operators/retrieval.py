@@ -20,16 +20,12 @@ from pyspark.sql.pandas.types import to_arrow_type
 from corpusloom.functions.vectors import as_matrix, unit_rows
 from corpusloom.operators.embedding import Backend, embed
 from corpusloom.operators.prompts import render_prompt
-from corpusloom.plans.skew import broadcast_limit, first_per_key, skew_join
+from corpusloom.plans.skew import first_per_key, skew_join
 
 # Bytes of one block of vectors in double precision.
 BLOCK_BYTES = 64 * 1024 * 1024
 # Similarities are compared after rounding to this many decimals; ties go to the smaller id.
 DECIMALS = 6
-# Bytes of one hit in a hash table, generously.
-HIT_BYTES = 256
-# Upper bound of the number of cells, whose centroids every task holds.
-MAX_CELLS = 4_096
 
 
 def _dimensions(df: DataFrame, vector: str) -> int:
@@ -166,8 +162,17 @@ def search_text(
     dim: int = 1024,
     **options,
 ) -> DataFrame:
-    """Nearest neighbours of texts: embed, then :func:`knn`; ``dim`` is the length of the vectors."""
-    return knn(embed(queries, text, backend, dim), index, k, dim=dim, **options)
+    """Nearest neighbours of texts: embed, then search; ``dim`` is the length of the vectors.
+
+    With ``cells`` and ``probe`` the search is approximate (:func:`knn_cells`), else exact.
+    """
+    if "cells" not in options:
+        options["dim"] = dim
+    return _search(embed(queries, text, backend, dim), index, k, **options)
+
+
+def _search(queries: DataFrame, index: DataFrame, k: int, **options) -> DataFrame:
+    return (knn_cells if "cells" in options else knn)(queries, index, k, **options)
 
 
 def train_cells(index: DataFrame, cells: int, seed: int = 7, vector: str = "embedding", max_iter: int = 10) -> DataFrame:
@@ -175,21 +180,31 @@ def train_cells(index: DataFrame, cells: int, seed: int = 7, vector: str = "embe
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    if cells > MAX_CELLS:
-        raise ValueError(f"at most {MAX_CELLS} cells")
     features = index.select(array_to_vector(F.col(vector)).alias("features"))
     model = KMeans(k=cells, seed=seed, maxIter=max_iter).fit(features)
     rows = [(n, [float(x) for x in center]) for n, center in enumerate(model.clusterCenters())]
     return index.sparkSession.createDataFrame(rows, "cell int, centroid array<double>")
 
 
-def _nearest_cells(centroids: DataFrame, probe: int):
+class Centroids:
+    """Cell numbers and centers, fetched once; every task holds them, so the caller's number of cells bounds them."""
+
+    def __init__(self, table: DataFrame) -> None:
+        rows = table.select("cell", "centroid").orderBy("cell").collect()
+        self.ids = np.array([r["cell"] for r in rows])
+        self.centers = np.array([r["centroid"] for r in rows], dtype=np.float64)
+        if not np.isfinite(self.centers).all():
+            raise ValueError("centroids with NaN or infinite values")
+
+
+def centroids_of(cells: DataFrame | Centroids) -> Centroids:
+    return cells if isinstance(cells, Centroids) else Centroids(cells)
+
+
+def _nearest_cells(cells: DataFrame | Centroids, probe: int):
     """Arrow UDF giving the ``probe`` nearest cells of each vector, nearest first."""
-    rows = centroids.select("cell", "centroid").orderBy("cell").limit(MAX_CELLS + 1).collect()
-    if len(rows) > MAX_CELLS:
-        raise ValueError(f"at most {MAX_CELLS} cells")
-    ids = np.array([r["cell"] for r in rows])
-    centers = np.array([r["centroid"] for r in rows], dtype=np.float64)
+    known = centroids_of(cells)
+    ids, centers = known.ids, known.centers
     lengths = (centers**2).sum(axis=1)
     take = min(probe, len(ids))
 
@@ -211,16 +226,17 @@ def _nearest_cells(centroids: DataFrame, probe: int):
     return nearest.asNondeterministic()
 
 
-def assign_cells(index: DataFrame, centroids: DataFrame, vector: str = "embedding") -> DataFrame:
-    """Add the nearest cell of each index row."""
-    return index.withColumn("cell", _nearest_cells(centroids, 1)(F.col(vector))[0])
+def assign_cells(index: DataFrame, centroids: DataFrame | Centroids, vector: str = "embedding") -> DataFrame:
+    """Add the nearest cell of each index row; rows without a vector are left out, as nothing can find them."""
+    there = index.filter(F.col(vector).isNotNull())
+    return there.withColumn("cell", _nearest_cells(centroids, 1)(F.col(vector))[0])
 
 
 def knn_cells(
     queries: DataFrame,
     index: DataFrame,
     k: int,
-    cells: DataFrame,
+    cells: DataFrame | Centroids,
     probe: int,
     metric: str = "cosine",
     query_id: str = "query_id",
@@ -237,6 +253,7 @@ def knn_cells(
     and its queries likewise. Always quote recall together with the share of
     pairs compared (:func:`recall_report`).
     """
+    cells = centroids_of(cells)
     q, i = _sides(queries, index, query_id, id, vector)
     rows_per_block = max(1, block_bytes // (8 * _dimensions(i, "i_vector")))
     q = q.withColumn("cell", F.explode(_nearest_cells(cells, probe)(F.col("q_vector"))))
@@ -245,7 +262,7 @@ def knn_cells(
     else:
         i = i.withColumn("cell", _nearest_cells(cells, 1)(F.col("i_vector"))[0])
 
-    # One row per cell, at most MAX_CELLS: small by construction.
+    # One row per cell, as many as there are centroids in every task: small by construction.
     def parts(df: DataFrame, name: str) -> DataFrame:
         return df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_block)).cast("int").alias(name))
 
@@ -265,8 +282,9 @@ def knn_cells(
     )
 
 
-def cell_load(queries: DataFrame, index: DataFrame, cells: DataFrame, probe: int, vector: str = "embedding") -> DataFrame:
+def cell_load(queries: DataFrame, index: DataFrame, cells: DataFrame | Centroids, probe: int, vector: str = "embedding") -> DataFrame:
     """Index rows, probing queries and compared pairs per cell: shows skewed cells."""
+    cells = centroids_of(cells)
     q = queries.select(F.explode(_nearest_cells(cells, probe)(F.col(vector))).alias("cell"))
     i = index.select(_nearest_cells(cells, 1)(F.col(vector))[0].alias("cell"))
     return (
@@ -294,19 +312,19 @@ def retrieve(
     k: int = 1,
     columns: Sequence[str] = ("id", "url", "content"),
     doc_id: str = "id",
+    how: str = "inner",
     **options,
 ) -> DataFrame:
     """Nearest neighbours with chosen columns of the documents they stand for.
 
-    There are at most k hits per query. When that bound keeps them below the
-    broadcast threshold the documents are only scanned; else both sides are
-    shuffled, and a document near to many queries has its partition split.
+    With ``cells`` and ``probe`` the search is approximate (:func:`knn_cells`).
+    Hits without a document are left out, or kept with nulls with
+    ``how="left"``. Spark broadcasts the hits when they turn out small; else a
+    document near to many queries has its partition split.
     """
-    hits = knn(queries, index, k, **options)
-    if queries.count() * k * HIT_BYTES <= broadcast_limit(docs):
-        hits = F.broadcast(hits)
+    hits = _search(queries, index, k, **options)
     wanted = docs.select(F.col(doc_id).alias("id"), *[c for c in columns if c not in ("id", doc_id)])
-    return skew_join(hits, wanted, ["id"], "inner").select("query_id", "rank", "score", *columns)
+    return skew_join(hits, wanted, ["id"], how).select("query_id", "rank", "score", *columns)
 
 
 def assemble_context(

@@ -57,7 +57,7 @@ def parse_jsonl(df: DataFrame, col: str, ddl: str, keep: Sequence[str] = ()) ->
     """Rows of a JSON-lines reply: ``keep, line_no, line, parsed, valid``.
 
     Code fences, blank lines and trailing commas are removed first. A line
-    that is no JSON has ``valid`` false and a null ``parsed``.
+    that is no JSON object has ``valid`` false and a null ``parsed``.
     """
     lines = F.filter(
         F.transform(
@@ -66,7 +66,7 @@ def parse_jsonl(df: DataFrame, col: str, ddl: str, keep: Sequence[str] = ()) ->
         lambda s: s != "",
     )
     rows = df.select(*keep, F.posexplode(lines).alias("line_no", "line"))
-    valid = F.try_parse_json(F.col("line")).isNotNull()
+    valid = F.col("line").rlike(r"^\s*\{") & F.try_parse_json(F.col("line")).isNotNull()
     return rows.withColumn("valid", valid).withColumn("parsed", F.when(F.col("valid"), F.from_json("line", ddl)))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,8 +13,6 @@ from pyspark.sql import functions as F
 HOT_SHARE = 64
 # Ways in which the rows of one hot key are divided.
 SPLITS = 64
-# Longest array collected into one output row.
-LIST_LIMIT = 100_000
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> DataFrame:
@@ -23,37 +22,6 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> Data
     return counts.filter(F.col("__rows") * share > total).select(*keys)
 
 
-# Rows of a narrow table (words, keys) that may be broadcast.
-SMALL_ROWS = 200_000
-
-
-def small_side(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """A narrow table (words, keys) marked for broadcast when it has at most ``rows`` rows.
-
-    Spark has no size estimate for lists made on the driver, and none before
-    running an aggregate, and would shuffle the large side to meet them.
-    Counting stops at the bound; a longer list is returned unmarked and joined
-    by shuffle.
-    """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
-# Entries of a map looked up one by one within the row.
-INLINE_ROWS = 200
-
-
-def inline_map(pairs: DataFrame, rows: int = INLINE_ROWS) -> Column | None:
-    """The (key, value) rows as one map Column, when they are at most ``rows``; else None.
-
-    The map is a scalar subquery, so rows that look words up in it are neither
-    exploded nor shuffled. It has to become a column of its own before a
-    lambda uses it. Keys are unique and not null.
-    """
-    if pairs.limit(rows + 1).count() > rows:
-        return None
-    return pairs.agg(F.map_from_entries(F.collect_list(F.struct(*pairs.columns))).alias("__map")).scalar()
-
-
 def balances_joins(df: DataFrame) -> bool:
     """Whether the session splits skewed join partitions at run time."""
     conf = df.sparkSession.conf
@@ -87,15 +55,18 @@ def salted_join(
 
     Left rows of a hot key are divided by the partition they come from, which
     a retried task reproduces; the matching right rows are copied once per
-    division. All other keys join as usual.
+    division. Rows with a null key match nothing and are divided too. All other
+    keys join as usual.
     """
     on = list(on)
+    null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
     hot = F.broadcast(hot_keys(left, on, share).withColumn("__hot", F.lit(True)))
     salted_left = (
         left.withColumn("__pid", F.spark_partition_id())
+        .withColumn("__row", F.monotonically_increasing_id())
         .join(hot, on, "left")
-        .withColumn("__salt", F.when(F.col("__hot"), F.col("__pid") % splits).otherwise(0))
-        .drop("__hot", "__pid")
+        .withColumn("__salt", F.when(F.col("__hot"), F.col("__pid") % splits).when(null, F.col("__row") % splits).otherwise(0))
+        .drop("__hot", "__pid", "__row")
     )
     salted_right = (
         right.join(hot, on, "left")
@@ -110,34 +81,6 @@ def salted_join(
     return salted_left.join(salted_right, [*on, "__salt"], how).drop("__salt")
 
 
-def broadcast_limit(df: DataFrame) -> int:
-    """Largest side, in bytes, that Spark would broadcast unasked (-1: none)."""
-    return df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-
-
-def add_list_part(df: DataFrame, keys: Sequence[str], limit: int = LIST_LIMIT) -> DataFrame:
-    """Number the parts of groups too long for one array.
-
-    Groups of at most ``limit`` rows get part 0 throughout, so collecting by
-    (keys, part) gives one list per group. Longer groups come out as several
-    lists of about ``limit`` rows; nothing is dropped.
-    """
-    keys = list(keys)
-    long_groups = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .filter(F.col("__rows") > limit)
-        .select(*keys, F.ceil(F.col("__rows") / limit).cast("int").alias("__parts"))
-    )
-    # The map task counts too, as identical rows have the same hash.
-    return (
-        df.withColumn("__spread", F.xxhash64(F.spark_partition_id(), *df.columns))
-        .join(long_groups, keys, "left")
-        .withColumn("part", F.coalesce(F.pmod(F.col("__spread"), F.col("__parts")), F.lit(0)).cast("int"))
-        .drop("__spread", "__parts")
-    )
-
-
 def first_per_key(df: DataFrame, keys: Sequence, order: Sequence, k: int = 1, rank: str | None = None) -> DataFrame:
     """First ``k`` rows per key in a total order.
 

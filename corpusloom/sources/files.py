@@ -2,32 +2,53 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 from pyspark.sql.types import StructType
 
 # Fixed value: columns of the binary file source.
 BINARY_FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
 
+def bounded(reader: DataStreamReader, max_files: int | None = None, max_bytes: int | None = None) -> DataStreamReader:
+    """Limits of one batch of a file stream, by files or by bytes."""
+    if max_files and max_bytes:
+        raise ValueError("a batch is bounded by files or by bytes")
+    if max_files:
+        return reader.option("maxFilesPerTrigger", max_files)
+    return reader.option("maxBytesPerTrigger", max_bytes) if max_bytes else reader
+
+
 def stream_files(spark: SparkSession, folder: str, glob: str = "*", max_files: int | None = None) -> DataFrame:
     """New files of a folder as a stream of (path, modificationTime, length, content)."""
     reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("pathGlobFilter", glob)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(folder)
+    return bounded(reader, max_files).load(folder)
 
 
 def read_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
 
 
-def stream_parquet(spark: SparkSession, folder: str, schema: StructType | str, glob: str = "*.parquet") -> DataFrame:
-    """New parquet files of a folder as a stream."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", glob).parquet(folder)
+def stream_parquet(
+    spark: SparkSession,
+    folder: str,
+    schema: StructType | str,
+    glob: str | None = None,
+    max_files: int | None = None,
+    max_bytes: int | None = None,
+) -> DataFrame:
+    """New parquet files of a folder (or one file) as a stream; the bounds hold per batch."""
+    reader = bounded(spark.readStream.schema(schema), max_files, max_bytes)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    # As a pattern, the path may be a folder or one file.
+    plain = not re.search(r"[][{}*?\\]", folder)
+    return reader.parquet(f"{folder[:-1]}[{folder[-1]}]" if plain and not folder.endswith("/") else folder)
 
 
 def decode_text(df: DataFrame, parser: Callable[[bytes], str | None] | None = None, out: str = "text") -> DataFrame:

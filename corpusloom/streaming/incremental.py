@@ -9,14 +9,25 @@ its own checkpoint, and :func:`read_sources` puts the committed parts together.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections import defaultdict
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from threading import Event
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from corpusloom.sources.files import bounded
 
-def table_stream(spark: SparkSession, table: str) -> DataFrame:
-    """New rows of a table."""
-    return spark.readStream.table(table)
+# Seconds to wait for the events of a query that has ended.
+EVENTS_WAIT = 120
+
+
+def table_stream(
+    spark: SparkSession, table: str, max_files: int | None = None, max_bytes: int | None = None
+) -> DataFrame:
+    """New rows of a table; the bounds hold per batch, so that a large backlog is not one batch."""
+    return bounded(spark.readStream, max_files, max_bytes).table(table)
 
 
 def source_path(root: str, source: str) -> str:
@@ -53,6 +64,41 @@ def _table_location(spark: SparkSession, name: str) -> str | None:
     return rows[0] if rows else None
 
 
+@contextmanager
+def _counted(spark: SparkSession) -> Iterator[Callable[[StreamingQuery], dict]]:
+    """Counts of a finished query from all its progress events; a query itself keeps only the last ones."""
+    batches: dict[str, dict[int, int]] = defaultdict(dict)
+    ended: dict[str, Event] = defaultdict(Event)
+
+    class Progress(StreamingQueryListener):
+        def onQueryStarted(self, event) -> None:
+            pass
+
+        def onQueryProgress(self, event) -> None:
+            progress = event.progress
+            batches[str(progress.runId)][progress.batchId] = progress.numInputRows
+
+        def onQueryIdle(self, event) -> None:
+            pass
+
+        def onQueryTerminated(self, event) -> None:
+            ended[str(event.runId)].set()
+
+    def counts(query: StreamingQuery) -> dict:
+        # Events come in order, so the end of the run comes after all its batches.
+        if not ended[str(query.runId)].wait(EVENTS_WAIT):
+            raise TimeoutError("no end event of the streaming query")
+        rows = batches[str(query.runId)]
+        return {"batches": len(rows), "input_rows": sum(rows.values())}
+
+    listener = Progress()
+    spark.streams.addListener(listener)
+    try:
+        yield counts
+    finally:
+        spark.streams.removeListener(listener)
+
+
 def run_incremental(df: DataFrame, target: str, checkpoint: str, is_path: bool = False) -> dict:
     """Append everything new to ``target`` and stop; returns counts of this run.
 
@@ -71,10 +117,10 @@ def run_incremental(df: DataFrame, target: str, checkpoint: str, is_path: bool =
         .option("checkpointLocation", checkpoint)
         .format("parquet")
     )
-    query = writer.start(target) if is_path else writer.toTable(target)
-    query.awaitTermination()
-    progress = query.recentProgress
-    return {"batches": len(progress), "input_rows": sum(p.numInputRows for p in progress)}
+    with _counted(spark) as counts:
+        query = writer.start(target) if is_path else writer.toTable(target)
+        query.awaitTermination()
+        return counts(query)
 
 
 def run_incremental_corpus(

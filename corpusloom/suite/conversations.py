@@ -11,22 +11,21 @@ suite = Suite()
 
 
 @suite.add("""
-SELECT conv_id, 0 AS part, CAST(count(*) + 1 AS INT) AS messages,
+SELECT conv_id, CAST(count(*) + 1 AS INT) AS messages,
        md5('system: Be brief.' || chr(10) || string_agg(role || ': ' || text, chr(10) ORDER BY turn)) AS digest
 FROM conversations GROUP BY conv_id
 """)
 def message_lists(spark, sf):
     listed = conv.assemble_messages(table(spark, sf, "conversations"), "Be brief.")
     lines = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(": "), m["content"])), "\n")
-    return listed.select("conv_id", "part", F.size("messages").alias("messages"), F.md5(lines).alias("digest"))
+    return listed.select("conv_id", F.size("messages").alias("messages"), F.md5(lines).alias("digest"))
 
 
-@suite.add("SELECT conv_id, turn AS pos, role, md5(text) AS digest FROM conversations")
+@suite.add("SELECT conv_id, turn, role, md5(text) AS digest FROM conversations")
 def flattened_messages(spark, sf):
     listed = conv.assemble_messages(table(spark, sf, "conversations"))
-    flat = conv.flatten_updates(listed, ["conv_id", "part"])
-    pos = (F.col("part") * conv.PART_TURNS + F.col("pos")).cast("long")
-    return flat.select("conv_id", pos.alias("pos"), "role", F.md5("content").alias("digest"))
+    flat = conv.flatten_updates(listed, ["conv_id"])
+    return flat.select("conv_id", "turn", "role", F.md5("content").alias("digest"))
 
 
 def _with_calls(spark, sf):

@@ -105,7 +105,7 @@ def appended_chunks(spark, sf):
     docs = spread(table(spark, sf, "documents"))
     parts = [
         chunking.chunk_windows(docs.filter(which), "text", ["doc_id", "lang"])
-        for which in (F.col("lang") == "en", F.col("lang") != "en")
+        for which in (F.col("lang").eqNullSafe("en"), ~F.col("lang").eqNullSafe("en"))
     ]
     digest = F.conv(F.substr(F.md5("content"), F.lit(1), F.lit(8)), 16, 10).cast("long")
     return (
@@ -160,12 +160,13 @@ f AS (
          CASE WHEN f.n + k.n <= 250 THEN f.n + k.n ELSE k.n END,
          CASE WHEN k.doc_id IS NOT NULL AND f.n + k.n <= 250 THEN NULL ELSE {trim_sql('f.prev')} END
   FROM f LEFT JOIN k ON f.doc_id = k.doc_id AND k.i = f.i + 1 WHERE f.prev IS NOT NULL)
-SELECT doc_id, CAST(count(done) AS INT) AS sections, md5(string_agg(done, '|' ORDER BY i)) AS digest
-FROM f GROUP BY doc_id
+SELECT doc_id, CAST(coalesce(any_value(m.sections), 0) AS INT) AS sections, md5(coalesce(any_value(m.content), '')) AS digest
+FROM documents LEFT JOIN (SELECT doc_id, count(done) AS sections, string_agg(done, '|' ORDER BY i) AS content FROM f GROUP BY doc_id) m
+USING (doc_id) GROUP BY doc_id
 """)
 def merged_sections(spark, sf):
     """Documents with a heading before every sentence; small sections merged up to half the bound."""
-    docs = spread(table(spark, sf, "documents")).filter(F.regexp_like("text", F.lit(r"\S")))
+    docs = spread(table(spark, sf, "documents"))
     headed = F.replace(F.col("text"), F.lit(". "), F.lit(".\n## Part\n"))
     merged = docs.select("doc_id", tx.merge_sections(headed).alias("s"))
     return merged.select("doc_id", F.size("s").alias("sections"), F.md5(F.array_join("s", "|")).alias("digest"))

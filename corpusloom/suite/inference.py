@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from corpusloom.functions import model_sql
 from corpusloom.operators import inference, prompts, relational as rel, structured
 from corpusloom.plans.parallelism import spread
-from corpusloom.plans.workspace import materialize
+from corpusloom.plans.workspace import fresh_path, materialize
 from corpusloom.suite import Suite, table
 
 suite = Suite()
 
-INSTRUCTION = "Classify the text as 0, 1 or 2. Give just the number."
+INSTRUCTION = "Rate how formal this document is, from 0 (chat) to 2 (official), as one digit. Document: "
 REPLY_DDL = "sentiment STRING, length BIGINT"
 SENTIMENTS = {"sentiment": ["0", "1", "2"]}
 
@@ -95,6 +97,24 @@ def accepted_and_rejected(spark, sf):
     return parts.agg(F.sum("a").alias("accepted"), F.sum("r").alias("rejected"))
 
 
+@suite.add(f"""
+WITH {_REPLIES} SELECT doc_id, CASE WHEN reasons = '' THEN 'first' ELSE 'second' END AS asked FROM r
+""")
+def retried_replies(spark, sf):
+    """Rejected replies are asked for once more, of a model that always answers well; both rounds share a store."""
+    options = {"response_ddl": REPLY_DDL, "enums": SENTIMENTS, "required": ["sentiment", "length"]}
+    store = fresh_path(spark, "replies")
+    first = inference.infer(_prompted(spark, sf), "prompt", length_backend, store=store, model="length-1", **options)
+    retried = inference.retry_rejected(first, "prompt", patient_backend, "reply", store=store, model="length-1", **options)
+    second = F.col("parsed.length") < 0
+    return retried.filter("valid").select("doc_id", F.when(second, "second").otherwise("first").alias("asked"))
+
+
+def patient_backend(texts: list[str]) -> list[str]:
+    """Stand-in model whose replies are valid and told apart by a negative length."""
+    return [f'{{"sentiment":"0","length":{-len(t)}}}' for t in texts]
+
+
 @suite.add(f"SELECT doc_id, md5('{INSTRUCTION}' || text) AS digest FROM documents")
 def instruction_prompts(spark, sf):
     return _prompted(spark, sf).select("doc_id", F.md5("prompt").alias("digest"))
@@ -210,34 +230,48 @@ def multi_values(spark, sf):
 
 
 def sql_backend(texts: list[str], response_format: str | None) -> list[str]:
-    """Stand-in model for SQL: a JSON reply when a schema is asked for, else a bare number."""
+    """Stand-in model for SQL: a JSON rating when a schema is asked for, else a digit or an excuse."""
     if response_format:
-        return [f'{{"sentiment":"{len(t) % 3}"}}' for t in texts]
-    return [str(len(t) % 3) if len(t) % 5 else "I am not sure" for t in texts]
+        return [f'{{"formality":{len(t) % 3},"doubt":{"true" if len(t) % 5 == 0 else "false"}}}' for t in texts]
+    return [str(len(t) % 3) if len(t) % 5 else "hard to say" for t in texts]
 
 
-RESPONSE_FORMAT = """{"type": "json_schema", "json_schema": {"name": "reply", "schema": {"type": "object",
- "properties": {"sentiment": {"type": "string", "enum": ["0", "1", "2"]}}}, "strict": true}}"""
+# The envelope of a response schema is an interface of ai_query; what it asks for is this query's own.
+RESPONSE_FORMAT = json.dumps(
+    {
+        "type": "json_schema",
+        "json_schema": {
+            "name": "rating",
+            "schema": {"type": "object", "properties": {"formality": {"type": "integer"}, "doubt": {"type": "boolean"}}},
+        },
+    }
+)
 
 
 @suite.add(f"""
-WITH p AS (SELECT doc_id, length('{INSTRUCTION}' || text) AS n FROM documents)
-SELECT doc_id, CASE WHEN n % 5 = 0 THEN 'I am not sure' ELSE CAST(n % 3 AS VARCHAR) END AS sentiment_pred,
-       CAST(n % 3 AS BIGINT) AS sentiment_pred_value FROM p
+WITH p AS (SELECT doc_id, lang, length('{INSTRUCTION}' || text) AS n FROM documents)
+SELECT lang, count(*) AS ratings, CAST(sum(n % 3) AS BIGINT) AS total, count_if(n % 5 = 0) AS doubtful,
+       count_if(n % 5 = 0) AS without_digit
+FROM p GROUP BY lang
 """)
 def sql_inference(spark, sf):
-    """Batch inference in SQL text, with the prompt only and with a response schema."""
-    model_sql.register_model_functions(spark, {"small-model": sql_backend})
-    spread(table(spark, sf, "documents").select("doc_id", "text")).createOrReplaceTempView("documents_t")
+    """Ratings by language, asked for in SQL with and without a response schema and read in the same select list."""
+    model_sql.register_model_functions(spark, {"rater": sql_backend})
+    spread(table(spark, sf, "documents").select("lang", "text")).createOrReplaceTempView("documents_t")
     return spark.sql(
         f"""
-        SELECT doc_id,
-               ai_query('small-model', CONCAT('{INSTRUCTION}', text)) AS sentiment_pred,
-               ai_query('small-model', CONCAT('{INSTRUCTION}', text), responseFormat => '{RESPONSE_FORMAT}') AS reply,
-               try_cast(get_json_object(reply, '$.sentiment') AS LONG) AS sentiment_pred_value
-        FROM documents_t
+        SELECT lang, count(*) AS ratings, sum(formality) AS total, count_if(doubt) AS doubtful,
+               count_if(digit IS NULL) AS without_digit
+        FROM (
+          SELECT lang, concat('{INSTRUCTION}', text) AS request,
+                 try_cast(ai_query('rater', request) AS INT) AS digit,
+                 from_json(ai_query('rater', request, responseFormat => '{RESPONSE_FORMAT}'),
+                           'formality BIGINT, doubt BOOLEAN') AS rating,
+                 rating.formality AS formality, rating.doubt AS doubt
+          FROM documents_t)
+        GROUP BY lang
         """
-    ).drop("reply")
+    )
 
 
 @suite.add(r"""

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators import embedding, index_sync, retrieval
 from corpusloom.plans.parallelism import spread
+from corpusloom.plans.workspace import fresh_path, materialize
 from corpusloom.suite import Suite, table
 from corpusloom.suite.corpus import EMBED_DIM, embedding_sql
 
@@ -168,8 +169,8 @@ def _snapshots(spark, sf):
     """German texts are new, Spanish ones gone, French ones revised."""
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
     revised = F.when(F.col("lang") == "fr", F.concat("text", F.lit(" (revised)"))).otherwise(F.col("text"))
-    old = docs.filter("lang <> 'de'").drop("lang")
-    new = docs.filter("lang <> 'es'").withColumn("text", revised).drop("lang")
+    old = docs.filter("NOT lang <=> 'de'").drop("lang")
+    new = docs.filter("NOT lang <=> 'es'").withColumn("text", revised).drop("lang")
     return old, new
 
 
@@ -186,7 +187,7 @@ def snapshot_changes(spark, sf):
 
 @suite.add("""
 SELECT doc_id, md5(CASE lang WHEN 'fr' THEN text || ' (revised)' ELSE text END) AS digest
-FROM documents WHERE lang <> 'es'
+FROM documents WHERE lang IS DISTINCT FROM 'es'
 """)
 def synced_index(spark, sf):
     old, new = _snapshots(spark, sf)
@@ -194,6 +195,28 @@ def synced_index(spark, sf):
     return index_sync.apply_changes(old, changes, "doc_id").select("doc_id", F.md5("text").alias("digest"))
 
 
+@suite.add("""
+SELECT * FROM (VALUES ('first', 'insert'), ('second', 'insert'), ('second', 'update'), ('second', 'delete')) AS v(run, change)
+JOIN (SELECT 'first' AS run, 'insert' AS change, count_if(lang IS DISTINCT FROM 'de') AS count FROM documents
+      UNION ALL SELECT 'second', 'insert', count_if(lang = 'de') FROM documents
+      UNION ALL SELECT 'second', 'update', count_if(lang = 'fr') FROM documents
+      UNION ALL SELECT 'second', 'delete', count_if(lang = 'es') FROM documents) USING (run, change)
+""")
+def index_syncs(spark, sf):
+    """Change counts of a first build, of a sync after changes and of a third run, which has none."""
+    old, new = _snapshots(spark, sf)
+    root, out = fresh_path(spark, "index"), None
+    for run, source in (("first", old), ("second", new), ("third", new)):
+        counts = index_sync.sync_index(source, root, "doc_id", ["text"], _with_hash)
+        part = materialize(counts, "sync-counts").select(F.lit(run).alias("run"), F.col("_change_type").alias("change"), "count")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _with_hash(rows):
+    return rows.withColumn(index_sync.HASH_COLUMN, index_sync.content_hash(["text"]))
+
+
 @suite.add("SELECT 0 AS remaining")
 def resync_is_empty(spark, sf):
     """After applying the changes a second comparison finds none."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 
 from corpusloom.operators import chunking, embedding
@@ -31,8 +33,8 @@ def streamed_index(spark, sf):
         return embedding.embed(df, "content", dim=EMBED_DIM).select("id", "doc_id", "content", "embedding")
 
     for _ in range(2):
-        stream = files.stream_parquet(spark, sf, schema, "documents.parquet")
-        incremental.run_incremental_corpus(stream, target, checkpoint, chunk, embed, True, spark.sparkContext.defaultParallelism)
+        stream = files.stream_parquet(spark, f"{sf}/documents.parquet", schema, max_bytes=1 << 30)
+        incremental.run_incremental_corpus(stream, target, checkpoint, chunk, embed, True)
     written = spark.read.parquet(target)
     return written.select("id", "doc_id", F.size("embedding").alias("dimensions"))
 
@@ -44,8 +46,8 @@ def two_sources(spark, sf):
     """English and other documents as two streams, each with its own checkpoint, into one table."""
     schema = table(spark, sf, "documents").schema
     target = fresh_path(spark, "appended")
-    for name, rule in (("english", "lang = 'en'"), ("other", "lang <> 'en'")):
-        stream = files.stream_parquet(spark, sf, schema, "documents.parquet").filter(rule)
+    for name, rule in (("english", "lang <=> 'en'"), ("other", "NOT lang <=> 'en'")):
+        stream = files.stream_parquet(spark, f"{sf}/documents.parquet", schema, max_bytes=1 << 30).filter(rule)
         chunks = chunking.chunk_windows(stream, "text", ["doc_id"])
         path = incremental.source_path(target, name)
         incremental.run_incremental(chunks, path, fresh_path(spark, "checkpoint"), is_path=True)
@@ -53,12 +55,30 @@ def two_sources(spark, sf):
     return written.select("doc_id", "pos", "n_tokens", F.md5("content").alias("digest"))
 
 
-@suite.add()
+@suite.add("SELECT doc_id, md5(coalesce(text, '')) AS digest FROM documents")
 def streamed_files(spark, sf):
-    """All files of the folder as a stream of binary files."""
-    target, checkpoint = fresh_path(spark, "files"), fresh_path(spark, "checkpoint")
-    found = files.stream_files(spark, sf, "*.parquet").select(
-        F.element_at(F.split("path", "/"), -1).alias("file_name"), "length"
+    """The documents as lines of text files, which are streamed as binary files, decoded and cut again."""
+    folder, target, checkpoint = (fresh_path(spark, x) for x in ("lines", "files", "checkpoint"))
+    # Hexadecimal keeps line breaks within a text out of the lines.
+    line = F.concat_ws(" ", "doc_id", F.hex(F.coalesce("text", F.lit("")).cast("binary")))
+    table(spark, sf, "documents").select(line).write.text(folder)
+    bodies = files.decode_text(files.stream_files(spark, folder, "part-*", max_files=64))
+    rows = bodies.select(F.explode(F.split("text", "\n")).alias("line")).filter("line <> ''").select(F.split("line", " ").alias("parts"))
+    found = rows.select(
+        F.get("parts", F.lit(0)).cast("long").alias("doc_id"),
+        F.md5(F.unhex(F.coalesce(F.get("parts", F.lit(1)), F.lit("")))).alias("digest"),
     )
     incremental.run_incremental(found, target, checkpoint, is_path=True)
     return spark.read.parquet(target)
+
+
+@suite.add("SELECT user_id, event_type, count(*) AS events FROM events GROUP BY ALL")
+def streamed_table(spark, sf):
+    """Events copied into a managed table and read from it as a stream with bounded batches."""
+    name = f"events_{uuid4().hex}"
+    events = table(spark, sf, "events")
+    events.repartition(4).write.saveAsTable(name)
+    target, checkpoint = fresh_path(spark, "events"), fresh_path(spark, "checkpoint")
+    incremental.run_incremental(incremental.table_stream(spark, name, max_files=1), target, checkpoint, is_path=True)
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.parquet(target).groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("events"))

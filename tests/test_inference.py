@@ -32,15 +32,17 @@ def test_reply_checks(spark, reply, value, valid, number):
 
 def test_jsonl(spark):
     reply = """```jsonl
-{"first_name": "Jane", "last_name": "Doe", "description": "leads"},
+{"city": "Lima", "river": "Rimac", "bridges": 11},
 
-{"first_name": "Alice", "last_name": "Smith", "description": "writes"},
-{"first_name": "Bob", "last_name": "Smith", "Bob Smith is a manager"}
+5
+{"city": "Graz", "river": "Mur", "bridges": 14},
+{"city": "Turku", "river":
+true
 ```"""
     df = spark.createDataFrame([(1, reply)], "id int, reply string")
-    rows = structured.parse_jsonl(df, "reply", "first_name STRING, last_name STRING, description STRING", ["id"]).collect()
-    assert [r["parsed"]["first_name"] for r in rows if r["valid"]] == ["Jane", "Alice"]
-    assert [r["parsed"] for r in rows if not r["valid"]] == [None]
+    rows = structured.parse_jsonl(df, "reply", "city STRING, river STRING, bridges INT", ["id"]).collect()
+    assert [r["parsed"]["bridges"] for r in rows if r["valid"]] == [11, 14]
+    assert [(r["line"], r["parsed"]) for r in rows if not r["valid"]] == [("5", None), ('{"city": "Turku", "river":', None), ("true", None)]
 
 
 def test_multi_values(spark):
@@ -76,11 +78,22 @@ def test_stored_replies_are_not_asked_again(spark, tmp_path):
     backend, asked = asked_file(tmp_path)
     store = fresh_path(spark, "replies")
     df = spark.createDataFrame([("a",), ("b",), ("a",)], "p string")
-    first = inference.infer(df, "p", backend, batch_size=2, store=store)
+    first = inference.infer(df, "p", backend, batch_size=2, store=store, model="m1")
     assert first.count() == 3 and first.filter("reply = 'A'").count() == 2
     more = spark.createDataFrame([("a",), ("c",)], "p string")
-    assert {r["reply"] for r in inference.infer(more, "p", backend, batch_size=2, store=store).collect()} == {"A", "C"}
+    assert {r["reply"] for r in inference.infer(more, "p", backend, batch_size=2, store=store, model="m1").collect()} == {"A", "C"}
     assert asked() == ["a", "b", "c"]
+    with pytest.raises(ValueError, match="name of the model"):
+        inference.infer(df, "p", backend, store=store)
+
+
+def test_models_do_not_share_replies_of_a_store(spark):
+    store = fresh_path(spark, "replies")
+    df = spark.createDataFrame([("a", "x")], "p string, t string")
+    models = {"one": lambda texts: ["1"] * len(texts), "two": lambda texts: ["2"] * len(texts)}
+    for _ in range(2):
+        got = inference.compare_models(df, "p", models, "t", store=store).collect()
+        assert {r["model"]: r["pred"] for r in got} == {"one": "1", "two": "2"}
 
 
 def test_failed_calls(spark):
@@ -92,8 +105,8 @@ def test_failed_calls(spark):
         inference.infer(df, "p", broken).collect()
     assert inference.infer(df, "p", broken, on_error="null").head()["reply"] is None
     store = fresh_path(spark, "replies")
-    assert inference.infer(df, "p", broken, on_error="null", store=store).head()["reply"] is None
-    assert inference.infer(df, "p", lambda t: ["late"], store=store).head()["reply"] == "late"
+    assert inference.infer(df, "p", broken, on_error="null", store=store, model="m").head()["reply"] is None
+    assert inference.infer(df, "p", lambda t: ["late"], store=store, model="m").head()["reply"] == "late"
 
 
 def test_retrying():
@@ -141,8 +154,9 @@ def test_too_many_examples_fail(spark):
     shots = spark.range(1).select(prompts.few_shot_prompt("do", few, "think"))
     assert shots.head()[0] == "do\ne0\ne1\ne2\nthink"
     many = spark.range(1001).select(F.col("id").alias("pos"), F.lit("e").alias("example"))
+    assert spark.range(1).select(prompts.few_shot_prompt("do", many, "think")).head()[0].count("\n") == 1002
     with pytest.raises(Exception, match="too many examples"):
-        spark.range(1).select(prompts.few_shot_prompt("do", many, "think")).collect()
+        spark.range(1).select(prompts.few_shot_prompt("do", many, "think", most_examples=1000)).collect()
 
 
 def test_retry_asks_the_first_model_once(spark, tmp_path):

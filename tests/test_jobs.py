@@ -58,9 +58,9 @@ def test_assessments_fixed(spark):
     df = assessments(spark)
     want = [(1, "a", "t1", ["r1", "r2"]), (1, "b", "t2", ["r3", "r4"]), (2, "a", None, ["r5"])]
     assert merged(feedback.deduplicate_assessments(df)) == sorted(want, key=str)
-    # Lists over the bound come in parts, and nothing is lost.
-    parts = merged(feedback.deduplicate_assessments(df, list_limit=1))
-    assert sorted(r for row in parts for r in row[3]) == ["r1", "r2", "r3", "r4", "r5"]
+    assert merged(feedback.deduplicate_assessments(df, list_limit=2)) == sorted(want, key=str)
+    with pytest.raises(Exception, match="more than 1 retrieval assessments"):
+        feedback.deduplicate_assessments(df, list_limit=1).collect()
 
 
 PAYLOAD = {
@@ -102,11 +102,30 @@ def test_tool_calls(spark):
     assert {r[0]: r["answer"] for r in conv.final_answer(df).collect()} == {1: "", 2: "bye"}
 
 
-def test_long_conversations_come_in_ordered_parts(spark):
-    df = spark.range(25).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"), F.col("id").cast("string").alias("text"))
-    parts = conv.assemble_messages(df.orderBy(F.rand(1)), "sys", part_turns=10).orderBy("part").collect()
-    assert [m["content"] for p in parts for m in p["messages"]] == ["sys"] + [str(n) for n in range(25)]
-    assert [len(p["messages"]) for p in parts] == [11, 10, 5]
+def test_conversations_are_one_list_with_their_turns(spark):
+    turns = F.when(F.col("id") < 5, F.col("id") * 10_000).otherwise(F.col("id") + 50_000)
+    df = spark.range(25).select(F.lit(1).alias("conv_id"), turns.alias("turn"), F.lit("user").alias("role"), F.col("id").cast("string").alias("text"))
+    listed = conv.assemble_messages(df.orderBy(F.rand(1)), "sys")
+    (row,) = listed.collect()
+    assert [m["content"] for m in row["messages"]] == ["sys"] + [str(n) for n in range(25)]
+    flat = conv.flatten_updates(listed, ["conv_id"]).filter("role = 'user'").select("turn", "content").collect()
+    assert sorted(map(tuple, flat)) == sorted((r["turn"], r["text"]) for r in df.collect())
+    with pytest.raises(Exception, match="more than 24 messages"):
+        conv.assemble_messages(df, most_messages=24).collect()
+
+
+def test_tools_have_their_own_arguments_and_repeated_keys(spark):
+    def call(id, name, **arguments):
+        return {"id": id, "function": {"name": name, "arguments": json.dumps(arguments)}}
+
+    calls = [call("1", "area", country="Peru"), call("2", "route", start="A", end="B"), call("3", "route", start="A")]
+    df = spark.createDataFrame([(7, 3, json.dumps(calls))], "conv_id int, turn int, tool_calls string")
+    area = spark.createDataFrame([("peru", 5), ("peru", 9)], "key string, km int")
+    route = spark.createDataFrame([("a", "b", "r1")], "start string, end string, road string")
+    names = {"area": "country", "route": ["start", "end"]}
+    got = conv.dispatch_tools(df, {"area": area, "route": route}, names).collect()
+    assert {r["tool_call_id"]: r["content"] for r in got} == {"1": '{"km":5}', "2": '{"road":"r1"}', "3": None}
+    assert len(got) == 3
 
 
 def test_votes_and_answers(spark):
@@ -182,7 +201,7 @@ def test_similarity(spark):
     assert [round(r["cosine"], 6) for r in rows] == [0.8, 0, 1, 0]
 
 
-def test_summary_and_translation(spark, monkeypatch):
+def test_summary_and_translation(spark):
     text = "Cats like fish. Dogs bark. Cats like cats and fish."
     df = spark.createDataFrame([(1, text), (2, ""), (3, "!!!")], "id int, t string")
     summary = baselines.summarize(F.col("t"), 1)
@@ -191,26 +210,23 @@ def test_summary_and_translation(spark, monkeypatch):
     glossary = spark.createDataFrame([("cats", "gatos"), ("and", "y")], "source string, target string")
     got = {r["id"]: r["translation"] for r in baselines.translate(df, ["id"], "t", glossary).collect()}
     assert got == {1: "gatos like fish. Dogs bark. gatos like gatos y fish.", 2: "", 3: "!!!"}
-    monkeypatch.setattr(baselines, "inline_map", lambda pairs: None)
-    assert {r["id"]: r["translation"] for r in baselines.translate(df, ["id"], "t", glossary).collect()} == got
-
-
-def test_sentiment_of_short_and_long_lexicons(spark, monkeypatch):
-    df = spark.createDataFrame([(1, "good good bad"), (2, "bad"), (3, ""), (4, None)], "id int, t string")
-    lexicon = spark.createDataFrame([("good", 1), ("bad", -1)], "word string, weight int")
-    out = baselines.sentiment(df, ["id"], "t", lexicon)
-    plan = plan_of(out)
-    assert plan.split("Subquery")[0].count("Exchange") == 0
-    assert {r["id"]: (r["score"], r["sentiment"]) for r in out.collect()} == {
-        1: (1, "positive"), 2: (-1, "negative"), 3: (0, "neutral"), 4: (0, "neutral")
-    }
-    # A longer list is broadcast and the sums of each task are shuffled; an unbounded one is shuffled.
-    monkeypatch.setattr(baselines, "inline_map", lambda pairs: None)
-    joined = baselines.sentiment(df, ["id"], "t", lexicon)
-    assert "BroadcastHashJoin" in plan_of(joined) and sorted(joined.collect()) == sorted(out.collect())
-    monkeypatch.setattr(baselines, "small_side", lambda words: skew.small_side(words, 1))
-    shuffled = baselines.sentiment(df, ["id"], "t", lexicon)
-    assert "SortMergeJoin" in plan_of(shuffled) and sorted(shuffled.collect()) == sorted(out.collect())
+    # A glossary of any length gives the same, also for repeated and null ids.
+    many = glossary.union(spark.range(1000).selectExpr("concat('x', id)", "'y'"))
+    again = spark.createDataFrame([(1, "Cats!"), (1, "and"), (None, "cats")], "id int, t string")
+    for words in (glossary, many):
+        rows = baselines.translate(again, ["id"], "t", words).collect()
+        assert sorted((str(r["id"]), r["translation"]) for r in rows) == [("1", "gatos!"), ("1", "y"), ("None", "gatos")]
+
+
+def test_sentiment_does_not_depend_on_the_lexicon_size(spark):
+    rows = [(1, "good good bad"), (2, "bad"), (3, ""), (4, None), (5, "good"), (5, "good"), (None, "half half")]
+    df = spark.createDataFrame(rows, "id int, t string")
+    lexicon = spark.createDataFrame([("good", 1.0), ("bad", -1.0), ("half", 0.5)], "word string, weight double")
+    many = lexicon.union(spark.range(1000).selectExpr("concat('x', id)", "1.0D"))
+    want = {1: (1, "positive"), 2: (-1, "negative"), 3: (0, "neutral"), 4: (0, "neutral"), 5: (2, "positive"), None: (1, "positive")}
+    for words in (lexicon, many):
+        got = baselines.sentiment(df, ["id"], "t", words).collect()
+        assert {r["id"]: (r["score"], r["sentiment"]) for r in got} == want
 
 
 def test_classification_with_an_unseen_class(spark):
@@ -221,7 +237,16 @@ def test_classification_with_an_unseen_class(spark):
     assert (report["2"]["support"], report["2"]["precision"], report["2"]["recall"]) == (0, 0.0, None)
     assert abs(report["0"]["accuracy"] - 1 / 3) < 1e-9
     matrix = rel.confusion_matrix(df.filter("truth is not null"), "truth", "pred", ["0", "1", "2"]).orderBy("truth").collect()
-    assert [tuple(r) for r in matrix] == [("0", 1, 0, 1), ("1", 1, 0, 0)]
+    assert [tuple(r) for r in matrix] == [("0", 1, 0, 1, 0), ("1", 1, 0, 0, 0)]
+
+
+def test_malformed_and_missing_predictions_count(spark):
+    df = spark.createDataFrame([("0", "0"), ("0", "not sure"), ("0", None), ("1", None)], "truth string, pred string")
+    matrix = rel.confusion_matrix(df, "truth", "pred", ["0", "1"]).orderBy("truth").collect()
+    assert [tuple(r) for r in matrix] == [("0", 1, 0, 2), ("1", 0, 0, 1)]
+    report = {r["class"]: r for r in rel.classification_report(df, "truth", "pred").collect()}
+    assert (report["0"]["support"], report["0"]["recall"]) == (3, 1 / 3) and report["1"]["support"] == 1
+    assert report["0"]["accuracy"] == 0.25
 
 
 def test_versions(spark):

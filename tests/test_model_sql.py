@@ -61,6 +61,9 @@ def test_grammar_is_the_same_in_sql(spark, sf, functions):
     assert docs.filter("a <> b").isEmpty() and docs.filter("a <> text").count() > 0
 
 
-def test_long_lists_are_refused(spark):
-    with pytest.raises(ValueError, match="DataFrame form"):
-        model_sql.register_model_functions(spark, lexicon={f"w{n}": 1 for n in range(201)})
+def test_long_lists_and_unknown_labels(spark):
+    model_sql.register_model_functions(spark, lexicon={f"w{n}": 1 for n in range(1000)})
+    assert spark.sql("SELECT ai_analyze_sentiment('w999 x')").head()[0] == "positive"
+    for call in ("ai_mask('a b', array('no_such'))", "ai_extract('a b', array('no_such'))"):
+        with pytest.raises(Exception, match="no pattern for no_such"):
+            spark.sql(f"SELECT {call} FROM range(1)").collect()

@@ -4,10 +4,10 @@ import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from corpusloom.operators import inference, relational as rel
+from corpusloom.suite import all_suites
 
-QUERIES = entry.queries()
+QUERIES = {name: query for suite in all_suites() for name, query in suite.queries.items()}
 
 
 def test_unwanted_columns_are_not_read(spark, sf):
@@ -44,7 +44,8 @@ def test_python_is_left_to_backends(spark, sf):
     with_python = {
         name
         for name in QUERIES
-        if name not in ("streamed_index", "two_sources", "streamed_files", "overwrite_sink", "csv_round_trip", "accepted_and_rejected")
+        if name not in ("streamed_index", "two_sources", "streamed_files", "overwrite_sink", "csv_round_trip", "accepted_and_rejected",
+                        "streamed_table", "retried_replies", "index_syncs")
         and any(mark in plan_of(QUERIES[name](spark, sf)) for mark in ("EvalPython", "InPandas", "InArrow"))
     }
     assert with_python == {

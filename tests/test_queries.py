@@ -7,9 +7,12 @@ import pytest
 from conftest import SF, plan_of
 
 import __spark_entry__ as entry
+from corpusloom.suite import all_suites
 from tools.check import rows_of
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+# The optional subpackage has its own tests.
+QUERIES = {name: query for suite in all_suites() for name, query in suite.queries.items()}
+ORACLES = {name: sql for suite in all_suites() for name, sql in suite.oracles.items()}
 
 
 @pytest.fixture(scope="module")
@@ -35,5 +38,5 @@ def test_query(spark, con, name):
 
 
 def test_contract(spark):
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
     assert entry.entry(spark).columns == ["name", "purchases"]

@@ -195,3 +195,24 @@ def test_column_borders_count_in_the_diff(spark):
     new = spark.createDataFrame([(1, "a", "bc"), (2, "", None), (3, "x", "y")], "id int, a string, b string")
     changed = index_sync.diff_snapshots(old, new, "id", ["a", "b"]).collect()
     assert {(r["id"], r["_change_type"]) for r in changed} == {(1, "update"), (2, "update")}
+
+
+@pytest.mark.parametrize("bad", [[1.0, float("nan")], [1.0, float("inf")], [1.0], [1.0, 2.0, 3.0], [1.0, None]])
+def test_unfit_vectors_fail(spark, bad):
+    schema = "id int, embedding array<double>"
+    index = spark.createDataFrame([(1, [1.0, 0.0]), (2, bad)], schema)
+    queries = spark.createDataFrame([(1, [1.0, 0.0])], "query_id int, embedding array<double>")
+    with pytest.raises(Exception, match="vectors"):
+        retrieval.knn(queries, index, 1, block_bytes=1 << 20).collect()
+
+
+def test_retrieval_in_cells_keeps_hits_without_a_document(spark):
+    index = spark.createDataFrame([(n, [float(n % 2), float((n + 1) % 2)]) for n in range(10)], "id int, embedding array<double>")
+    queries = index.select(F.col("id").alias("query_id"), "embedding").filter("id < 2")
+    docs = spark.createDataFrame([(n, f"d{n}") for n in range(4)], "id int, content string")
+    cells = retrieval.Centroids(spark.createDataFrame([(0, [0.0, 1.0]), (1, [1.0, 0.0])], "cell int, centroid array<double>"))
+    options = {"k": 5, "columns": ("id", "content"), "cells": cells, "probe": 1}
+    every = retrieval.retrieve(queries, index, docs, how="left", **options).collect()
+    assert len(every) == 10 and sum(r["content"] is None for r in every) == 6
+    assert retrieval.retrieve(queries, index, docs, **options).count() == 4
+    assert all(r["id"] % 2 == r["query_id"] for r in every)

@@ -68,14 +68,17 @@ def test_adaptive_execution_splits_the_hot_partition(spark):
             spark.conf.unset(key)
 
 
-def test_long_lists_come_in_parts(spark):
-    df = skewed(spark)
-    parts = skew.add_list_part(df, ["k"], limit=100).groupBy("k", "part").agg(F.collect_list("v").alias("vs"))
-    rows = parts.collect()
-    assert sorted(v for r in rows for v in r["vs"]) == list(range(3000))
-    hot = [r for r in rows if r["k"] == 0]
-    assert len(hot) == 10 and max(len(r["vs"]) for r in hot) < 200
-    assert all(r["part"] == 0 for r in rows if r["k"] != 0)
+def test_null_keys_are_divided(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        left = spark.range(1000).select(F.lit(None).cast("long").alias("k"), "id").union(spark.range(10).select("id", "id"))
+        right = spark.range(10).select(F.col("id").alias("k"), F.col("id").alias("w"))
+        joined = skew.salted_join(left, right, ["k"]).select("k", "w", F.spark_partition_id().alias("p"))
+        sizes = [r["count"] for r in joined.filter("k IS NULL").groupBy("p").count().collect()]
+        assert sum(sizes) == 1000 and max(sizes) < 600
+        assert joined.filter("k = w").count() == 10
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
 
 
 def test_latest_is_pruned_before_the_shuffle(spark):

@@ -105,3 +105,25 @@ def test_page_to_index(spark, sf):
     assert index.columns == ["id", "embedding", "url", "content"]
     assert index.count() == chunks.count() > 0
     assert index.filter(F.size("embedding") != 16).isEmpty()
+
+
+def test_all_batches_are_counted(spark, tmp_path):
+    """More batches than a query keeps progress of."""
+    spark.range(12).repartition(12).write.parquet(str(tmp_path / "in"))
+    files_written = len(list((tmp_path / "in").glob("part-*")))
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        stream = files.stream_parquet(spark, str(tmp_path / "in"), "id bigint", max_files=1)
+        got = incremental.run_incremental(stream, str(tmp_path / "out"), str(tmp_path / "check"), is_path=True)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert got == {"batches": files_written, "input_rows": 12}
+
+
+def test_streams_read_folders_and_files(spark, tmp_path):
+    spark.range(9).repartition(3).write.parquet(str(tmp_path / "t.parquet"))
+    one = next((tmp_path / "t.parquet").glob("part-*"))
+    for n, (path, rows) in enumerate(((tmp_path / "t.parquet", 9), (one, spark.read.parquet(str(one)).count()))):
+        stream = files.stream_parquet(spark, str(path), "id bigint", max_bytes=1 << 20)
+        got = incremental.run_incremental(stream, str(tmp_path / f"out{n}"), str(tmp_path / f"check{n}"), is_path=True)
+        assert got["input_rows"] == rows
