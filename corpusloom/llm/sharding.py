@@ -48,8 +48,9 @@ def shard_documents(
     total = rows.count()
     quotas = [total // shards + (s < total % shards) for s in range(shards)]
     groups = rows.filter(F.col("group").isNotNull()).groupBy("group").agg(F.count(F.lit(1)).alias("members"))
+    linked_groups = materialize(groups.filter("members > 1"), "shard-groups")
     started = ranked(rows, [], F.col("h"), total).withColumn("shard", shard_at(F.col("rank"), quotas)).drop("rank")
-    state = materialize(started.join(groups.filter("members > 1"), "group", "left"), "shard-start")
+    state = materialize(started.join(linked_groups, "group", "left"), "shard-start")
     linked, single = state.filter("members IS NOT NULL"), state.filter("members IS NULL")
     linked = propagate(linked, quotas, rounds)
     placed = fill(linked, single, quotas, total)
