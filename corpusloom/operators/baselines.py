@@ -23,6 +23,7 @@ __all__ = [
     "extract",
     "fix_grammar",
     "mask_entities",
+    "mask_terms",
     "nearest_term",
     "sentiment",
     "similarity",
@@ -102,6 +103,15 @@ def mask_entities(col: Column, labels: Sequence[str] | dict[str, str]) -> Column
     return col
 
 
+def mask_terms(df: DataFrame, id_cols: Sequence[str], col: str, terms: DataFrame, term: str = "term") -> DataFrame:
+    """``id_cols, translation``: the words of a gazetteer table of any size (names, places) replaced by ``[MASKED]``.
+
+    Terms of several words are masked word by word; letter case does not count.
+    """
+    single = terms.select(F.explode(words(F.lower(F.col(term)))).alias("source")).distinct()
+    return translate(df, id_cols, col, single.withColumn("target", F.lit(MASK)))
+
+
 def fix_grammar(col: Column) -> Column:
     """Rewrite rules in a fixed order: blanks, marks, doubled words, capitals."""
     col = F.regexp_replace(col, r"[ \t]+", " ")

@@ -116,6 +116,21 @@ def csv_round_trip(spark, sf):
     return tables.load_csv(spark, path, customer.schema)
 
 
+@suite.add("""
+SELECT 'built' AS step, count(*) AS rows, CAST(sum(s_suppkey) AS BIGINT) AS keys FROM supplier
+UNION ALL SELECT 'kept', count(*), CAST(sum(s_suppkey) AS BIGINT) FROM supplier
+""")
+def ensured_table(spark, sf):
+    """A missing table is built; one that is there is kept, whatever a second builder would give."""
+    name, supplier = f"ensured_{uuid.uuid4().hex}", table(spark, sf, "supplier")
+    path, out = fresh_path(spark, "ensured"), None
+    for step, build in (("built", lambda: supplier), ("kept", lambda: supplier.filter("false"))):
+        tables.ensure_table(spark, name, build, path=path)
+        part = spark.table(name).agg(F.count(F.lit(1)).alias("rows"), F.sum("s_suppkey").cast("long").alias("keys"))
+        out = part.select(F.lit(step).alias("step"), "*") if out is None else out.unionByName(part.select(F.lit(step).alias("step"), "*"))
+    return out
+
+
 @suite.add("SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def overwrite_sink(spark, sf):
     """Build a managed table when it is missing, then replace and read it."""
@@ -139,6 +154,23 @@ def sitemap_addresses(spark, sf):
     return web.sitemap_urls(table(spark, sf, "pages").select(xml.alias("xml")))
 
 
+@suite.add("""
+SELECT url FROM (SELECT url, dense_rank() OVER (ORDER BY regexp_extract(url, '//([^/]*)', 1)) AS doc, page_id FROM pages)
+ORDER BY doc, page_id LIMIT 30
+""")
+def sitemap_cap(spark, sf):
+    """One sitemap per host with all its addresses; the first thirty by host and place are kept."""
+    escaped = F.replace(F.col("url"), F.lit("&"), F.lit("&amp;"))
+    locations = F.transform(
+        F.sort_array(F.collect_list(F.struct("page_id", escaped.alias("url")))),
+        lambda p: F.concat(F.lit("<url><loc>"), p["url"], F.lit("</loc></url>")),
+    )
+    host = F.regexp_extract("url", "//([^/]*)", 1).alias("host")
+    maps = table(spark, sf, "pages").groupBy(host).agg(locations.alias("l"))
+    xml = F.concat(F.lit("<urlset>"), F.array_join("l", ""), F.lit("</urlset>"))
+    return web.sitemap_urls(maps.select("host", xml.alias("xml")), max_documents=30, order="host")
+
+
 @suite.add("""
 SELECT url, CAST(length(html) AS INT) AS n_chars, md5(html) AS digest FROM pages
 """)

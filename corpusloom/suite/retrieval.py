@@ -86,7 +86,7 @@ SELECT (SELECT count(*) FROM x) AS neighbours,
 def recall_in_cells(spark, sf):
     """Recall of the ten nearest, with the share of pairs that were compared."""
     queries, index = _sides(spark, sf)
-    cells = _label_cells(spark, sf)
+    cells = retrieval.Centroids(_label_cells(spark, sf))
     found = retrieval.knn_cells(queries, index, 10, cells, probe=3, exclude_self=True)
     exact = retrieval.knn(queries, index, 10, exclude_self=True)
     load = retrieval.cell_load(queries, index, cells, 3).agg(F.sum("pairs").alias("pairs"))
@@ -122,6 +122,29 @@ def retrieved_documents(spark, sf):
     )
 
 
+@suite.add(f"""
+WITH {_VECTORS}, {_CELLS.format(ranked=_RANKED, k=5)}
+SELECT query_id, rank, score, id, source, n_chars FROM p LEFT JOIN documents ON id = doc_id
+""")
+def retrieved_in_cells(spark, sf):
+    """Approximate search behind the retriever; hits without a document stay."""
+    queries, index = _sides(spark, sf)
+    cells = retrieval.Centroids(_label_cells(spark, sf))
+    return retrieval.retrieve(
+        queries, index, table(spark, sf, "documents"), 5, ["id", "source", "n_chars"], doc_id="doc_id", how="left",
+        cells=cells, probe=3, exclude_self=True,
+    )
+
+
+@suite.add("SELECT count(*) AS vectors, CAST(count(*) AS DOUBLE) AS probed FROM embeddings")
+def trained_cells(spark, sf):
+    """Cells trained on the table hold every vector once, and so do the nearest cells of all vectors."""
+    queries, index = _sides(spark, sf)
+    cells = retrieval.Centroids(retrieval.train_cells(index, 8))
+    load = retrieval.cell_load(queries, index, cells, 1)
+    return load.agg(F.sum("index_rows").alias("vectors"), F.sum("queries").cast("double").alias("probed"))
+
+
 @suite.add(f"""
 WITH {_VECTORS}, {_exact(3)},
 h AS (SELECT query_id, string_agg(text, chr(10) || chr(10) ORDER BY rank) AS context,

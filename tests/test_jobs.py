@@ -288,3 +288,47 @@ def test_function_catalogue(spark):
     assert "Twice the number" in described
     with pytest.raises(ValueError):
         registry.register_functions(spark, [registry.SqlFunction("a b", "", "INT", "", "1")])
+
+
+@pytest.mark.parametrize("distance", [1, 2, 3])
+def test_nearest_terms_match_all_pairs(spark, distance):
+    import random
+
+    rng = random.Random(distance)
+
+    def word(alphabet, n):
+        return "".join(rng.choice(alphabet) for _ in range(n))
+
+    terms = {word("ab", n) for n in range(1, 13) for _ in range(3)} | {word("中文字", n) for n in (1, 2) for _ in range(4)}
+    terms |= {word("abcdef", n) for n in (9, 10, 20, 60)}
+    found = []
+    for t in sorted(terms):
+        w = list(t)
+        for _ in range(rng.randrange(4)):
+            at = rng.randrange(len(w) + 1)
+            w[at : at + rng.randrange(2)] = rng.choice([[], ["a"], ["x"]])
+        found.append("".join(w))
+    df = spark.createDataFrame([(w,) for w in found], "w string")
+    table = spark.createDataFrame([(t,) for t in terms], "term string")
+    got = {(r["w"], r["nearest"], r["distance"]) for r in rel.nearest_term(df, "w", table, max_distance=distance).collect()}
+    pairs = df.distinct().crossJoin(table).withColumn("d", F.levenshtein("w", "term")).filter(F.col("d") <= distance)
+    best = pairs.groupBy("w").agg(F.min(F.struct("d", "term")).alias("b")).collect()
+    want = {(r["w"], r["b"]["term"], r["b"]["d"]) for r in best}
+    assert {g for g in got if g[1] is not None} == want
+    assert {g[0] for g in got} == set(found)
+
+
+def test_correction_of_long_values_has_few_keys(spark):
+    long = "q" * 2000
+    df = spark.createDataFrame([(long + "x",)], "w string")
+    terms = spark.createDataFrame([(long,)], "term string")
+    assert rel.nearest_term(df, "w", terms).head()["distance"] == 1
+
+
+def test_gazetteer_of_any_size(spark):
+    df = spark.createDataFrame([(1, "Then Ana Lima met Bo, not Ann.")], "id int, t string")
+    names = spark.createDataFrame([("ana lima",), ("BO",)], "term string")
+    many = names.union(spark.range(500).selectExpr("concat('n', id)"))
+    for table in (names, many):
+        got = baselines.mask_terms(df, ["id"], "t", table).head()["translation"]
+        assert got == "Then [MASKED] [MASKED] met [MASKED], not Ann."

@@ -106,6 +106,11 @@ HTML = [
     ("<article>first</article><article>second</article>", "first"),
     ("<article>&amp;lt; &lt;b&gt; &amp;amp;</article>", "&lt; <b> &amp;"),
     ("<ARTICLE class='x'><h1>T</h1><h3 id=a>S</h3><p>a<br/>b</p><ul><li>i</li></ul></ARTICLE>", "# T\n\n### S\na\nb\n\n- i"),
+    ("<article>caf&eacute; &#8217;x&rsquo; &#x1F600; &#xD800;&nosuch; R&D</article>", "café ’x’ \U0001f600 \ufffd&nosuch; R&D"),
+    ("<!-- <article>no</article> --><article>a <!-- a > b -->c</article>", "a c"),
+    ("<article><p>See <a class=x href='/u?a=1'>this</a>, <b>bold</b> and <em>soft</em></p><code>f(x)</code></article>",
+     "See [this](/u?a=1), **bold** and *soft*\n\n`f(x)`"),
+    ("<article>\x02 5 <table><tr><td>1</td><td>2</td></tr><tr><td>3</td></tr></table></article>", "\x02 5 \n1 | 2\n3"),
     ("<article>a<script>if (x<y) {}</script><style>p{}</style>b</article>", "ab"),
 ]
 
