@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.texts import map_texts, raw_texts
+from corpusloom.llm.texts import SLICE_BYTES, map_texts, raw_texts
 from corpusloom.plans.workspace import materialize
 
 # Fixed values of the contract.
@@ -53,10 +53,23 @@ def fingerprint_of(text: bytes | None) -> list[int]:
 
 
 def fingerprint_array(texts: list[bytes | None]) -> np.ndarray:
-    """One signed 64-bit fingerprint per text: the bits set in over half of its hashes; 0 without words."""
-    hashes = [fingerprint_of(t) for t in texts]
+    """One signed 64-bit fingerprint per text: the bits set in over half of its hashes; 0 without words.
+
+    A shingle takes over a hundred bytes while its bits are counted, so texts
+    are taken in runs of about ``SLICE_BYTES``.
+    """
+    out, first, held = np.zeros(len(texts), ">u8"), 0, 0
+    for n, text in enumerate(texts):
+        held += len(text or b"")
+        if held >= SLICE_BYTES or n + 1 == len(texts):
+            out[first : n + 1] = majority_bits([fingerprint_of(t) for t in texts[first : n + 1]])
+            first, held = n + 1, 0
+    return out.astype(np.uint64).view(np.int64)
+
+
+def majority_bits(hashes: list[list[int]]) -> np.ndarray:
     counts = np.array([len(h) for h in hashes], np.int64)
-    out = np.zeros(len(texts), ">u8")
+    out = np.zeros(len(hashes), ">u8")
     full = np.flatnonzero(counts)
     if len(full):
         flat = np.array([h for i in full for h in hashes[i]], ">u8")
@@ -64,7 +77,7 @@ def fingerprint_array(texts: list[bytes | None]) -> np.ndarray:
         starts = np.append(0, np.cumsum(counts[full]))[:-1]
         sums = np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
         out[full] = np.packbits(2 * sums > counts[full, None], axis=1).view(">u8").ravel()
-    return out.astype(np.uint64).view(np.int64)
+    return out
 
 
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
