@@ -188,7 +188,7 @@ def _deletions(word: Column, distance: int) -> Column:
 
 
 # Terms of this length or more are found by their segments, as their deletions would be too many.
-SEGMENTS_FROM = 9
+SEGMENTS_FROM = 16
 
 
 def _segment_keys(word: Column, distance: int, is_term: bool) -> Column:
@@ -208,7 +208,8 @@ def _segment_keys(word: Column, distance: int, is_term: bool) -> Column:
                 segment = F.substr(word, (start + 1).cast("int"), (end - begin).cast("int"))
                 there = (size >= SEGMENTS_FROM) & (start >= 0) & (start + end - begin <= F.length(word))
                 keys.append(F.when(there, F.concat_ws(":", size, F.lit(k), segment)))
-    return F.array_distinct(F.array_compact(F.array(*keys)))
+    far = F.length(word) + (0 if is_term else distance) < SEGMENTS_FROM
+    return F.when(far, F.array().cast("array<string>")).otherwise(F.array_distinct(F.array_compact(F.array(*keys))))
 
 
 def nearest_term(df: DataFrame, col: str, terms: DataFrame, term_col: str = "term", max_distance: int = 2) -> DataFrame:
