@@ -27,7 +27,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 PASSES = 2
 SHARDS = 16
-# Words of a block; None keeps documents whole.
+# Words of a block.
 BLOCK_WORDS = 1024
 SEED = "mix-1"
 
@@ -78,7 +78,7 @@ def mix_documents(
     share: float = SHARE,
     passes: int = PASSES,
     shards: int = SHARDS,
-    block_words: int | None = BLOCK_WORDS,
+    block_words: int = BLOCK_WORDS,
     seed: str = SEED,
 ) -> DataFrame:
     """The blocks of the mix: ``id, copy, size, source_size, target, block, pass, words, shard, order``.
@@ -98,7 +98,7 @@ def mix_documents(
     keyed = materialize(same, "mix-documents")
     sizes = keyed.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"))
     targets = materialize(source_targets(sizes, weights, share, passes), "mix-targets")
-    width = F.lit(block_words) if block_words else F.greatest(F.col("size"), F.lit(1))
+    width = F.lit(block_words)
     blocks = (
         keyed.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("rows").cast("int") - 1)))
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("size") / width) - 1, F.lit(0)))))
@@ -112,9 +112,6 @@ def mix_documents(
     placed = ranked(known.drop("source"), ["place"], F.xxhash64(F.lit("last"), *[k for k in key if k is not key[2]]), n_blocks, weight="length")
     rest = F.round("target").cast("long") - F.col("whole") * F.col("source_size")
     part = F.greatest(F.least(F.col("rest") - F.col("before"), F.col("length")), F.lit(0))
-    if not block_words:
-        # Whole documents: the one that the remainder ends in is taken if most of it fits.
-        part = F.when(F.col("rest") - F.col("before") > F.col("length") / 2, F.col("length")).otherwise(0)
     units = (
         placed.withColumn("whole", whole.cast("long"))
         .withColumn("rest", rest)
@@ -246,35 +243,49 @@ def shard_ends(split: DataFrame, shards: int) -> DataFrame:
 
 
 def mix_rows(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", **options
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    source_column: str = "source",
+    weights: Sequence[float] = WEIGHTS,
+    share: float = SHARE,
+    passes: int = PASSES,
+    seed: str = SEED,
 ) -> DataFrame:
-    """``docs`` as the mix takes them: whole rows, each as often as it is drawn, with the columns of ``docs``.
-
-    Rows that agree in id, source and size are numbered by a hash of their
-    text, so each takes the draws of one copy. Rows without words weigh nothing
-    and are never drawn. The text is shuffled once, to meet the draws of its
-    row.
+    """``docs`` as one shard of the mix: whole rows, each as often as it is taken, with the columns of ``docs``.
+
+    Quotas and the permuted prefix of the last pass are those of
+    :func:`mix_documents` with whole rows for blocks; the row in which a quota
+    ends is taken if most of it fits. With one output the tree has nothing to
+    split. A source's prefix ends at one hash, so every row is decided where it
+    stands and no text is shuffled; rows that agree in id and size share a
+    hash and are taken together. Rows without words weigh nothing and are
+    never taken.
     """
-    units = mix_documents(docs, id_column, text_column, source_column, block_words=None, **options)
-    sources = _sources(docs, source_column)
-    draws = units.filter("pass IS NOT NULL").groupBy(id_column, "place", "size", "copy").agg(F.count(F.lit(1)).alias("n"))
-    draws = draws.join(sources, "place").groupBy(
-        F.col(id_column).alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__words")
+    size = word_count(F.col(text_column))
+
+    def place_of(id: str, words: Column) -> Column:
+        # Flipping the sign bit makes signed order the order of ranks.
+        return F.xxhash64(F.lit(seed), F.lit("last"), F.col(id), words)
+
+    rows = docs.select(F.col(id_column).alias("id"), F.col(source_column).alias("source"), size.alias("size"))
+    same = rows.filter("size > 0").groupBy("id", "source", "size").agg((F.count(F.lit(1)) * F.col("size")).alias("weight"))
+    keyed = materialize(same, "mix-rows")
+    targets = source_targets(keyed.groupBy("source").agg(F.sum("weight").alias("source_size")), weights, share, passes)
+    goal = F.round("target").cast("long")
+    targets = materialize(
+        targets.withColumn("whole", F.floor(goal / F.col("source_size"))).withColumn("rest", goal % F.col("source_size")),
+        "mix-goals",
     )
-    draws = materialize(draws.agg(F.map_from_entries(F.collect_list(F.struct("copy", "n"))).alias("__draws")), "mix-draws")
-    sized = docs.withColumn("__size", word_count(F.col(text_column)))
-    same = (
-        F.col(id_column).eqNullSafe(F.col("__id"))
-        & F.col(source_column).eqNullSafe(F.col("__source"))
-        & (F.col("__size") == F.col("__words"))
-    )
-    copy = Window.partitionBy("__id", "__source", "__words").orderBy(F.xxhash64(text_column))
-    times = F.coalesce(F.element_at("__draws", F.row_number().over(copy) - 1), F.lit(0))
-    met = sized.join(draws, same).withColumn("__times", times.cast("int")).filter("__times > 0")
-    return met.withColumn("__take", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns)
-
-
-def _sources(docs: DataFrame, source_column: str) -> DataFrame:
-    """``source, place``: the sources in code point order, null last."""
-    names = docs.select(F.col(source_column).alias("source")).distinct()
-    return names.select("source", (F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1).alias("place"))
+    known = keyed.join(targets.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
+    placed = ranked(known, ["place"], place_of("id", F.col("size")), keyed.count(), weight="weight")
+    taken = placed.filter(F.col("rest") - F.col("before") > F.col("weight") / 2)
+    ends = taken.groupBy("place").agg(F.max(place_of("id", F.col("size")).bitwiseXOR(F.lit(-(1 << 63)))).alias("__end"))
+    plan = targets.join(ends, "place", "left").select(F.col("source").alias("__source"), F.col("whole").alias("__whole"), "__end")
+    plan = materialize(plan, "mix-plan")
+    sized = docs.withColumn("__size", size).filter("__size > 0")
+    met = sized.join(plan, F.col(source_column).eqNullSafe(F.col("__source")))
+    inside = place_of(id_column, F.col("__size")).bitwiseXOR(F.lit(-(1 << 63))) <= F.col("__end")
+    times = F.col("__whole") + F.coalesce(inside, F.lit(False)).cast("int")
+    drawn = met.withColumn("__times", times.cast("int")).filter("__times > 0")
+    return drawn.withColumn("__take", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns)
