@@ -138,7 +138,8 @@ def near_duplicates(
 
 def keep_first(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
     """``docs`` with one row of each class: that of the smallest id, or one with a null id if there are only those."""
-    found = near_duplicates(docs, id_column, text_column, **options)
+    # Written before it is grouped: rows of one fingerprint could not be split up any more.
+    found = materialize(near_duplicates(docs, id_column, text_column, **options), "simhash-found")
     chosen = found.groupBy("class").agg(
         F.min(F.when(F.col(id_column).eqNullSafe(F.col("component_id")), F.struct(id_column, "fingerprint"))).alias("__first")
     )
