@@ -116,10 +116,19 @@ def fit(sample: DataFrame, training: Training = Training()) -> Model:
         return work
 
     table = map_texts(sample, ["text", "label"], "text", make, "words array<string>, label int").toArrow()
-    rows = sorted(zip(table["words"].to_pylist(), table["label"].to_pylist(), strict=True))
+    rows = sorted(zip(shared_words(table["words"]), table["label"].to_pylist(), strict=True))
     return fit_words([w for w, _ in rows], np.array([y for _, y in rows], float), training)
 
 
+def shared_words(column: pa.ChunkedArray) -> list[list[str]]:
+    """The lists of the column, with one string object per distinct word."""
+    lists = column.combine_chunks()
+    flat = lists.flatten().dictionary_encode()
+    known, at = flat.dictionary.to_pylist(), flat.indices.to_pylist()
+    ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(int).tolist()
+    return [[known[i] for i in at[a:b]] for a, b in zip([0, *ends], ends)]
+
+
 def fit_words(texts: list[list[str]], labels: np.ndarray, training: Training = Training()) -> Model:
     """Without both labels present the model is a constant: the share of label 1, or 0.5 without rows."""
     if not len(labels) or labels.min() == labels.max():
