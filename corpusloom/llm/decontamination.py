@@ -23,7 +23,7 @@ from corpusloom.llm.texts import map_texts
 WORD = r"\w+"
 # Share of an item's characters that may be edited.
 ERROR_RATE = 0.05
-# Items with fewer words say too little to be looked for inside other texts: they match a text that equals them.
+# Items with fewer words match on word borders only: as bare characters they would be found inside longer words.
 FEWEST_WORDS = 8
 # Characters of items that one automaton holds; larger benchmarks are searched for in several passes.
 BLOCK_CHARS = 4 << 20
@@ -48,8 +48,7 @@ def item_blocks(items: DataFrame, item_id: str, item_text: str, rate: float, cha
         clean = normal(text)
         if not clean:
             continue
-        short = clean.count(" ") + 1 < FEWEST_WORDS
-        block.append(Item(key, clean, -1 if short else int(rate * len(clean))))
+        block.append(Item(key, clean, int(rate * len(clean))))
         held += len(clean)
         if held >= chars:
             yield block
@@ -71,7 +70,8 @@ def find_items(
     """``id, item_id, distance, first_word, n_words``: each item that occurs in a whole text, with its closest place.
 
     ``first_word`` and ``n_words`` give the place in words (``\\w+``) of the
-    document; of equally close places the first one counts. Null and empty
+    document; of equally close places the first one counts. Items under
+    ``FEWEST_WORDS`` words begin and end on word borders. Null and empty
     texts and items match nothing. Repeated documents or items each come with
     their own rows; null ids stay null. Documents are read once per block of
     items and never shuffled.
@@ -148,11 +148,12 @@ class Searcher:
         import ahocorasick
 
         self.items = items
-        self.equal: dict[str, list[int]] = {}
+        self.whole = [item.text.count(" ") + 1 < FEWEST_WORDS for item in items]
         pieces: dict[str, list[tuple[int, int]]] = {}
         for n, item in enumerate(items):
-            if item.budget < 0:
-                self.equal.setdefault(item.text, []).append(n)
+            if self.whole[n] and not item.budget:
+                # With its borders an item is met once per occurrence, not in every word that holds it.
+                pieces.setdefault(f" {item.text} ", []).append((n, -1))
                 continue
             parts, size = item.budget + 1, len(item.text)
             for k in range(parts):
@@ -169,29 +170,35 @@ class Searcher:
     def __call__(self, text: str) -> list[tuple[int, int, int, int]]:
         """(item_id, distance, first word, words) per item found."""
         clean = normal(text)
-        out = [(self.items[n].item_id, 0, 0, clean.count(" ") + 1) for n in self.equal.get(clean, ())]
+        out: list[tuple[int, int, int, int]] = []
         if not self.any or not clean:
             return out
         best: dict[int, tuple[int, int, int]] = {}
         tried: dict[int, int] = {}
-        for last, (size, places) in self.automaton.iter(clean):
+        # The text has a border on either side, so its places are one less than those of the hits.
+        for last, (size, places) in self.automaton.iter(f" {clean} "):
             for n, offset in places:
                 item = self.items[n]
-                start = last - size + 1 - offset
+                start = last - size - offset
                 # The window verified last already holds every match that this hit can belong to.
                 if n in tried and abs(start - tried[n]) <= item.budget:
                     continue
                 if n in best and best[n][0] == 0:
                     continue
+                tried[n] = start
+                if self.whole[n]:
+                    found = self.between_borders(n, clean, start)
+                    if found and (n not in best or found[0] < best[n][0]):
+                        best[n] = found
+                    continue
                 low = max(0, start - 2 * item.budget)
                 window = clean[low : start + len(item.text) + 3 * item.budget]
-                tried[n] = start
                 distance, end = self.verify(n, window)
                 if distance <= item.budget and (n not in best or distance < best[n][0]):
                     best[n] = (distance, low, low + end)
         for n, (distance, low, end) in best.items():
             item = self.items[n]
-            begin = self.begin(n, clean[low:end], distance) + low
+            begin = low if self.whole[n] else self.begin(n, clean[low:end], distance) + low
             out.append((item.item_id, distance, clean.count(" ", 0, begin), clean.count(" ", begin, end) + 1))
         return out
 
@@ -200,6 +207,21 @@ class Searcher:
             self.masks[n] = bit_masks(self.items[n].text)
         return myers(self.masks[n], len(self.items[n].text), window)
 
+    def between_borders(self, n: int, clean: str, start: int) -> tuple[int, int, int] | None:
+        """(distance, begin, end) of the closest run of whole words that begins around ``start``."""
+        item, best = self.items[n], None
+        if n not in self.masks:
+            self.masks[n] = bit_masks(item.text)
+        for begin in range(max(0, start - 2 * item.budget), min(len(clean), start + 2 * item.budget + 1)):
+            if begin and clean[begin - 1] != " ":
+                continue
+            # One character more than a match can have shows whether its last one ends a word.
+            stretch = clean[begin : begin + len(item.text) + item.budget + 1]
+            distance, length = myers(self.masks[n], len(item.text), stretch, anchored=True, borders=True)
+            if distance <= item.budget and (best is None or distance < best[0]):
+                best = (distance, begin, begin + length)
+        return best
+
     def begin(self, n: int, stretch: str, distance: int) -> int:
         """Where a match that ends with ``stretch`` begins: the same search, backwards."""
         text = self.items[n].text
@@ -214,11 +236,12 @@ def bit_masks(pattern: str) -> dict[str, int]:
     return masks
 
 
-def myers(masks: dict[str, int], size: int, text: str, anchored: bool = False) -> tuple[int, int]:
+def myers(masks: dict[str, int], size: int, text: str, anchored: bool = False, borders: bool = False) -> tuple[int, int]:
     """Least edit distance of the pattern to a stretch of ``text``, and the end of the first such stretch.
 
     Myers' bit-vector recurrence with the whole pattern in one integer. With
-    ``anchored`` the stretch starts with the text; otherwise anywhere.
+    ``anchored`` the stretch starts with the text; otherwise anywhere. With
+    ``borders`` it ends before a space or with the text.
     """
     full, high = (1 << size) - 1, 1 << (size - 1)
     up, down, score = full, 0, size
@@ -237,6 +260,6 @@ def myers(masks: dict[str, int], size: int, text: str, anchored: bool = False) -
         mh = mh << 1 & full
         up = mh | ~(xv | ph) & full
         down = ph & xv
-        if score < best:
+        if score < best and (not borders or text[i + 1 : i + 2] in ("", " ")):
             best, end = score, i + 1
     return best, end

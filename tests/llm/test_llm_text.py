@@ -157,6 +157,35 @@ def test_edited_items_are_found_within_budget():
             assert item.item_id in got
 
 
+def test_short_items_are_found_inside_texts(spark):
+    items = ["cat", "what is the capital of france", "extraordinarily complicated questions"]
+    texts = [
+        "Concatenate cats, scat!",
+        "a cat",
+        "So: what is THE capital of France? Paris.",
+        "pre what is the capitol of france post",
+        "what is the capitol of frances",
+        "xx extraordinarly complicated questions yy",
+        "cat",
+    ]
+    rows = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    want = {}
+    for d, text in enumerate(texts):
+        w = decontamination.normal(text).split()
+        runs = [(" ".join(w[i:j]), i, j - i) for i in range(len(w)) for j in range(i + 1, len(w) + 1)]
+        for n, item in enumerate(items):
+            whole = lambda t: plain_distance(f"<{item}>", f"<{t}>")  # noqa: B023, E731
+            distance, first, count = min((whole(t), i, k) for t, i, k in runs)
+            if distance <= int(decontamination.ERROR_RATE * len(item)):
+                want[d, n] = (distance, first, count)
+    assert len(want) == 5
+    found = decontamination.find_items(docs, rows).collect()
+    assert {(r["doc_id"], r["item_id"]): (r["distance"], r["first_word"], r["n_words"]) for r in found} == want
+    flagged = decontamination.flag_documents(docs, rows).filter("contaminated").collect()
+    assert {r["doc_id"] for r in flagged} == {d for d, _ in want}
+
+
 def test_place_is_given_in_words():
     text = "one two three four five six seven eight nine ten"
     search = decontamination.Searcher([decontamination.Item(1, text, 2)])
