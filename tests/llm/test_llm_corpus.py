@@ -37,6 +37,29 @@ def test_shards_are_even_and_groups_whole(spark):
     assert sum(n * n for n in where["hot"].values()) > 0.6 * (2 * 171**2 + 58**2)
 
 
+def test_texts_that_all_occur_twice_come_together(spark):
+    rng = random.Random(2)
+    docs = spark.createDataFrame([(i, words(rng, 6)) for i in range(1600)], "doc_id bigint, text string")
+    rows = sharding.shard_documents(docs.union(docs).repartition(4), shards=8).collect()
+    assert Counter(Counter(r["shard"] for r in rows).values()) == {400: 8}
+    where = defaultdict(set)
+    for r in rows:
+        where[r["doc_id"]].add(r["shard"])
+    assert sum(len(s) > 1 for s in where.values()) <= 8
+
+
+def test_exchange_moves_no_more_than_leave_or_fit():
+    rng = random.Random(3)
+    for _ in range(50):
+        asks = [[rng.randrange(30) * (s != t) for t in range(6)] for s in range(6)]
+        rooms = [rng.choice([0, 0, 5]) for _ in range(6)]
+        got = sharding.exchange(asks, rooms)
+        assert all(0 <= got[s][t] <= asks[s][t] for s in range(6) for t in range(6))
+        for t in range(6):
+            assert sum(got[s][t] for s in range(6)) - sum(got[t]) <= rooms[t]
+    assert sharding.exchange([[0, 4, 0], [0, 0, 3], [9, 0, 0]], [0, 0, 0]) == [[0, 3, 0], [0, 0, 3], [3, 0, 0]]
+
+
 def test_more_shards_than_rows(spark):
     docs = spark.createDataFrame([(1, "a"), (2, "a"), (3, None)], "doc_id bigint, text string")
     rows = sharding.shard_documents(docs, shards=16).collect()
