@@ -27,9 +27,11 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 PASSES = 2
 SHARDS = 16
-# Words of a block.
+# Words of a block; None keeps documents whole.
 BLOCK_WORDS = 1024
 SEED = "mix-1"
+# Words of the mix that one task arranges.
+TASK_WORDS = 4 << 20
 
 
 def word_count(text: Column) -> Column:
@@ -78,7 +80,7 @@ def mix_documents(
     share: float = SHARE,
     passes: int = PASSES,
     shards: int = SHARDS,
-    block_words: int = BLOCK_WORDS,
+    block_words: int | None = BLOCK_WORDS,
     seed: str = SEED,
 ) -> DataFrame:
     """The blocks of the mix: ``id, copy, size, source_size, target, block, pass, words, shard, order``.
@@ -98,7 +100,7 @@ def mix_documents(
     keyed = materialize(same, "mix-documents")
     sizes = keyed.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"))
     targets = materialize(source_targets(sizes, weights, share, passes), "mix-targets")
-    width = F.lit(block_words)
+    width = F.lit(block_words) if block_words else F.greatest(F.col("size"), F.lit(1))
     blocks = (
         keyed.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("rows").cast("int") - 1)))
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("size") / width) - 1, F.lit(0)))))
@@ -106,10 +108,9 @@ def mix_documents(
         .drop("rows")
     )
     n_blocks = blocks.count()
-    key = [F.lit(seed), F.col("id"), F.col("source"), F.col("size"), F.col("copy"), F.col("block")]
     known = blocks.join(targets.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
     whole = F.when(F.col("source_size") > 0, F.floor(F.round("target") / F.col("source_size"))).otherwise(0)
-    placed = ranked(known.drop("source"), ["place"], F.xxhash64(F.lit("last"), *[k for k in key if k is not key[2]]), n_blocks, weight="length")
+    placed = ranked(known.drop("source"), ["place"], last_draw(seed, "id", "size", "copy", "block"), n_blocks, weight="length")
     rest = F.round("target").cast("long") - F.col("whole") * F.col("source_size")
     part = F.greatest(F.least(F.col("rest") - F.col("before"), F.col("length")), F.lit(0))
     units = (
@@ -139,14 +140,33 @@ def mix_documents(
     taken, left = units.filter("pass IS NOT NULL"), units.filter("pass IS NULL")
     quotas = taken.groupBy("place").agg(F.count(F.lit(1)).alias("blocks"))
     ends = materialize(shard_ends(split_quotas(quotas, shards, seed), shards), "mix-quotas")
-    order = F.xxhash64(F.lit(seed), F.lit("draw"), "id", "size", "copy", "block", "pass")
+    order = shard_draw(seed, "id", "size", "copy", "block", "pass")
     drawn = ranked(taken, ["place"], order, n_blocks * passes, "drawn").join(ends, "place")
     shard = F.size(F.filter("ends", lambda e: e <= F.col("drawn"))).cast("int")
-    drawn = drawn.withColumn("shard", shard).withColumn("order", F.xxhash64(F.lit(seed), F.lit("local"), "id", "size", "copy", "block", "pass"))
+    drawn = drawn.withColumn("shard", shard).withColumn("order", local_order(seed, "id", "size", "copy", "block", "pass"))
     out = drawn.drop("ends", "drawn").unionByName(left, allowMissingColumns=True)
     return out.withColumnRenamed("id", id_column)
 
 
+def last_draw(seed: str, *unit: str | Column) -> Column:
+    """Where a block stands in the permutation whose prefix the last pass takes."""
+    return F.xxhash64(F.lit("last"), F.lit(seed), *unit)
+
+
+def shard_draw(seed: str, *unit: str | Column) -> Column:
+    """Where a taken block stands among those that the shards draw."""
+    return F.xxhash64(F.lit(seed), F.lit("draw"), *unit)
+
+
+def local_order(seed: str, *unit: str | Column) -> Column:
+    return F.xxhash64(F.lit(seed), F.lit("local"), *unit)
+
+
+def in_rank_order(draw: Column) -> Column:
+    """Ranks take hashes as unsigned; with the sign bit flipped, signed order is theirs."""
+    return draw.bitwiseXOR(F.lit(-(1 << 63)))
+
+
 def split_quotas(quotas: DataFrame, shards: int, seed: str) -> DataFrame:
     """``shard, counts``: the ``place, blocks`` quotas of all sources divided among the shards by the tree.
 
@@ -251,41 +271,73 @@ def mix_rows(
     share: float = SHARE,
     passes: int = PASSES,
     seed: str = SEED,
+    shards: int = SHARDS,
+    task_words: int = TASK_WORDS,
 ) -> DataFrame:
-    """``docs`` as one shard of the mix: whole rows, each as often as it is taken, with the columns of ``docs``.
-
-    Quotas and the permuted prefix of the last pass are those of
-    :func:`mix_documents` with whole rows for blocks; the row in which a quota
-    ends is taken if most of it fits. With one output the tree has nothing to
-    split. A source's prefix ends at one hash, so every row is decided where it
-    stands and no text is shuffled; rows that agree in id and size share a
-    hash and are taken together. Rows without words weigh nothing and are
-    never taken.
+    """``docs`` as the mix takes them, shard by shard in local order: one row per draw, with the columns of ``docs``.
+
+    Quotas, passes, tree and draws are those of :func:`mix_documents` with
+    whole documents for blocks; the document in which a source's quota ends is
+    cut to the exact word. A source's prefix and each shard's stretch of its
+    draws end at a hash, so every row meets a few numbers of its source and
+    decides where it stands; its text is shuffled once, to its place in the mix.
+    Rows that agree in id, source and size are numbered by a hash of their
+    text. Rows without words weigh nothing and are never drawn.
     """
-    size = word_count(F.col(text_column))
+    units = mix_documents(docs, id_column, text_column, source_column, weights, share, passes, shards, None, seed)
+    units = materialize(units.withColumnRenamed(id_column, "id"), "mix-rows")
+    plan = draw_plan(units, seed)
+    sources = docs.select(F.col(source_column).alias("__source")).distinct()
+    places = sources.withColumn("__place", F.row_number().over(Window.orderBy(F.col("__source").asc_nulls_last())) - 1)
+    plan = materialize(places.join(plan, "__place").drop("__place"), "mix-plan")
+    facts = units.filter("block = 0").agg(F.max("copy").alias("copies"), F.sum("words").alias("words")).first()
 
-    def place_of(id: str, words: Column) -> Column:
-        # Flipping the sign bit makes signed order the order of ranks.
-        return F.xxhash64(F.lit(seed), F.lit("last"), F.col(id), words)
-
-    rows = docs.select(F.col(id_column).alias("id"), F.col(source_column).alias("source"), size.alias("size"))
-    same = rows.filter("size > 0").groupBy("id", "source", "size").agg((F.count(F.lit(1)) * F.col("size")).alias("weight"))
-    keyed = materialize(same, "mix-rows")
-    targets = source_targets(keyed.groupBy("source").agg(F.sum("weight").alias("source_size")), weights, share, passes)
-    goal = F.round("target").cast("long")
-    targets = materialize(
-        targets.withColumn("whole", F.floor(goal / F.col("source_size"))).withColumn("rest", goal % F.col("source_size")),
-        "mix-goals",
-    )
-    known = keyed.join(targets.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
-    placed = ranked(known, ["place"], place_of("id", F.col("size")), keyed.count(), weight="weight")
-    taken = placed.filter(F.col("rest") - F.col("before") > F.col("weight") / 2)
-    ends = taken.groupBy("place").agg(F.max(place_of("id", F.col("size")).bitwiseXOR(F.lit(-(1 << 63)))).alias("__end"))
-    plan = targets.join(ends, "place", "left").select(F.col("source").alias("__source"), F.col("whole").alias("__whole"), "__end")
-    plan = materialize(plan, "mix-plan")
+    size = word_count(F.col(text_column))
     sized = docs.withColumn("__size", size).filter("__size > 0")
-    met = sized.join(plan, F.col(source_column).eqNullSafe(F.col("__source")))
-    inside = place_of(id_column, F.col("__size")).bitwiseXOR(F.lit(-(1 << 63))) <= F.col("__end")
-    times = F.col("__whole") + F.coalesce(inside, F.lit(False)).cast("int")
-    drawn = met.withColumn("__times", times.cast("int")).filter("__times > 0")
-    return drawn.withColumn("__take", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns)
+    copy = F.lit(0)
+    if facts["copies"]:
+        same = Window.partitionBy(id_column, source_column, "__size").orderBy(F.xxhash64(text_column))
+        copy = F.row_number().over(same) - 1
+    met = sized.withColumn("__copy", copy).join(plan, F.col(source_column).eqNullSafe(F.col("__source")))
+    # Hashes tell types apart: the types are those of the units.
+    block = F.lit(0).cast("long")
+    met = met.withColumn("__last", in_rank_order(last_draw(seed, id_column, "__size", "__copy", block)))
+    part = F.when(F.col("__last") < F.col("__end.last"), F.col("__size")).when(F.col("__last") == F.col("__end.last"), F.col("__end.words"))
+
+    def take(p: Column) -> Column:
+        words = F.when(p <= F.col("__whole"), F.col("__size")).when(p == F.col("__whole") + 1, part)
+        draw = in_rank_order(shard_draw(seed, id_column, "__size", "__copy", block, p))
+        shard = F.get(F.filter("__stretches", lambda e: e["end"] >= draw), F.lit(0))["shard"]
+        order = local_order(seed, id_column, "__size", "__copy", block, p)
+        return F.struct(F.coalesce(words, F.lit(0)).alias("words"), shard.alias("shard"), order.alias("order"))
+
+    takes = F.filter(F.transform(F.sequence(F.lit(1), F.lit(passes)), take), lambda t: t["words"] > 0)
+    drawn = met.withColumn("__take", F.explode(takes))
+    # A split before each word's end keeps what stands between the words.
+    cut = F.array_join(F.slice(F.split(text_column, r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"), 1, F.col("__take.words").cast("int")), "")
+    text = F.when(F.col("__take.words") < F.col("__size"), cut).otherwise(F.col(text_column))
+    # A shard is dealt over stretches of its local order.
+    pieces = max(1, math.ceil((facts["words"] or 0) / task_words / shards))
+    piece = F.floor((F.shiftrightunsigned(in_rank_order(F.col("__take.order")), 12) / float(1 << 52)) * pieces)
+    at = (F.col("__take.shard") * pieces + F.least(piece, F.lit(pieces - 1))).cast("int")
+    columns = [text.alias(c) if c == text_column else F.col(c) for c in docs.columns]
+    rows = drawn.select(*columns, F.col("__take.order").alias("__order"), at.alias("__at"))
+    return rows.repartitionById(shards * pieces, "__at").sortWithinPartitions("__at", "__order").select(*docs.columns)
+
+
+def draw_plan(units: DataFrame, seed: str) -> DataFrame:
+    """``__place, __whole, __end, __stretches`` per source, from the units of :func:`mix_documents` over whole documents.
+
+    ``__whole`` counts the passes that take everything, ``__end`` is the last
+    hash of the prefix with the words taken there, ``__stretches`` are the last
+    hashes of the shards' draws.
+    """
+    drawn = units.filter("pass IS NOT NULL").withColumn("whole", F.floor(F.round("target") / F.col("source_size")))
+    last = F.struct(in_rank_order(last_draw(seed, "id", "size", "copy", "block")).alias("last"), "words")
+    ends = drawn.groupBy("place").agg(
+        F.max("whole").alias("__whole"), F.max(F.when(F.col("pass") > F.col("whole"), last)).alias("__end")
+    )
+    draw = in_rank_order(shard_draw(seed, "id", "size", "copy", "block", "pass"))
+    stretches = drawn.groupBy("place", "shard").agg(F.max(draw).alias("end"))
+    stretches = stretches.groupBy("place").agg(F.sort_array(F.collect_list(F.struct("end", "shard"))).alias("__stretches"))
+    return ends.join(stretches, "place").withColumnRenamed("place", "__place")

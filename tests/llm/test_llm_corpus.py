@@ -116,6 +116,37 @@ def test_mix_meets_targets_and_repeats(spark):
     assert max(kept.values()) <= 2
 
 
+def test_mix_rows_are_the_draws_of_the_tree(spark):
+    rng = random.Random(5)
+    rows = [(i, rng.choice(["a", "b", "b", "b", None]), " " + words(rng, rng.choice([0, 7, 30, 400])) + "\n") for i in range(200)]
+    rows += [(500, "a", words(rng, 3000)), (501, "b", words(rng, 5000))] + rows[:40]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string").repartition(3)
+    units = mixing.mix_documents(docs, shards=5, block_words=None).filter("pass IS NOT NULL").collect()
+    mixed = mixing.mix_rows(docs, shards=5, task_words=3000)
+    parts = mixed.rdd.glom().collect()
+    pieces = len(parts) // 5
+    assert pieces > 1
+    got, taken = [], Counter()
+    for k, part in enumerate(parts):
+        for r in part:
+            n = len(r["text"].split())
+            got.append((k // pieces, r["doc_id"], n))
+            taken[r["source"]] += n
+    assert sorted(got) == sorted((u["shard"], u["doc_id"], u["words"]) for u in units)
+    order = lambda u: (u["shard"], u["order"])
+    assert [g[1] for g in got] == [u["doc_id"] for u in sorted(units, key=order)]
+    sizes = Counter()
+    for _, source, text in rows:
+        sizes[source] += len(text.split())
+    names = ["a", "b", None]
+    goals = plain_targets([sizes[s] for s in names], mixing.WEIGHTS, mixing.SHARE, mixing.PASSES)
+    assert all(abs(taken[s] - g) <= 0.51 for s, g in zip(names, goals, strict=True))
+    texts = defaultdict(list)
+    for i, _, text in rows:
+        texts[i].append(text)
+    assert all(any(t.startswith(r["text"]) for t in texts[r["doc_id"]]) for part in parts for r in part)
+
+
 def test_tree_splits_exactly_and_without_bias(spark):
     counts = [4000, 900, 100, 0]
     quotas = spark.createDataFrame(list(enumerate(counts)), "place int, blocks bigint")
