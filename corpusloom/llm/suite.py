@@ -4,7 +4,21 @@ from __future__ import annotations
 
 import pyspark.sql.functions as F
 
-from corpusloom.llm import decontamination, mixing, repetition, secrets, sharding, simhash, substrings, templates, token_counts, toxicity
+from corpusloom.llm import (
+    decontamination,
+    mixing,
+    neighbours,
+    prefix_trie,
+    repair,
+    repetition,
+    secrets,
+    sharding,
+    simhash,
+    substrings,
+    templates,
+    token_counts,
+    toxicity,
+)
 from corpusloom.plans.workspace import fresh_path
 from corpusloom.suite import Suite, table
 
@@ -62,6 +76,92 @@ SELECT page_id, url, coalesce(j.text, '') AS text, length(coalesce(j.text, '')):
 FROM pages LEFT JOIN j USING (page_id)
 """
 
+# CRC-32 of an ASCII string, bit by bit.
+CRC32_SQL = """xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split({0}, ''), lambda c: ascii(c)::UBIGINT)),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)::UBIGINT[]),
+    lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END)), 4294967295::UBIGINT)::BIGINT"""
+
+# Prefixes as strings of turn digests; every node adds to all nodes above it.
+TRIE_SQL = rf"""
+WITH t AS (SELECT conv_id, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS m,
+    len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS w, turn FROM conversations WHERE conv_id IS NOT NULL),
+l AS (SELECT conv_id, list(m ORDER BY turn NULLS FIRST, m) AS ms, list(w ORDER BY turn NULLS FIRST, m) AS ws FROM t GROUP BY 1),
+h AS (SELECT *, {CRC32_SQL.format("conv_id::VARCHAR")} % 4 AS h FROM l),
+r AS (SELECT c.conv_id, list_concat(coalesce(a.ms[1:c.h], []), c.ms[c.h + 1:]) AS ms, list_concat(coalesce(a.ws[1:c.h], []), c.ws[c.h + 1:]) AS ws
+      FROM h c LEFT JOIN l a ON a.conv_id = c.conv_id - c.conv_id % 20),
+p AS (SELECT conv_id, d, array_to_string(ms[1:d], ' ') AS k, CASE WHEN d > 0 THEN array_to_string(ms[1:d - 1], ' ') END AS up,
+        CASE WHEN d > 0 THEN ws[d] ELSE 0 END AS w, d = len(ms) AS ends
+      FROM (SELECT *, unnest(range(0, len(ms) + 1)) AS d FROM r)),
+n AS (SELECT k, d AS depth, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(w) AS own,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+      FROM p GROUP BY 1, 2),
+c AS (SELECT up AS k, count(*) AS n_children FROM n WHERE up IS NOT NULL GROUP BY 1),
+v AS (SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN n_children IS NULL THEN 1 ELSE 0 END AS leaf FROM n LEFT JOIN c USING (k)),
+s AS (SELECT array_to_string(string_split(k, ' ')[1:i], ' ') AS k, sum(leaf)::BIGINT AS n_leaves, sum(own)::BIGINT AS saved_tokens
+      FROM (SELECT *, unnest(range(0, depth + 1)) AS i FROM v) GROUP BY 1)
+SELECT v.conv_id, v.depth::BIGINT AS depth, q.conv_id AS parent_conv_id, v.n_convs, v.n_children, s.n_leaves, s.saved_tokens, v.ends_sha256
+FROM v JOIN s USING (k) LEFT JOIN n q ON q.k = v.up
+"""
+
+
+def _repair_sql() -> str:
+    """Cheapest edits from the last row of each conversation to its first: (cost, audit, rest of the repaired text) per state."""
+    step = ({"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2})
+    roles = {"u": "user", "a": "assistant"}
+
+    def way(letter: str, cost: str, rest: str, line: str = "") -> str:
+        text = f"chr(10) || {line} || {rest}.t" if line else f"{rest}.t"
+        return f"struct_pack(c := {rest}.c + {cost}, a := '{letter}' || {rest}.a, t := {text})"
+
+    def edits(state: int) -> str:
+        kept = "".join(f" WHEN '{x}' THEN {way('K', 'more', f'b{s}', 'line')}" for x, s in step[state].items())
+        fit = "a" if state == 2 else "u"
+        renamed = way("R", "3 + more", f"b{step[state][fit]}", f"'{roles[fit]}:' || text")
+        ways = f"[CASE left(role, 1){kept} END, {renamed}]"
+        return f"list_min(list_prepend({way('D', '4', f'b{state}')}, CASE WHEN fault IN (1, 2) THEN [] ELSE {ways} END))"
+
+    def inserted(state: int, rests: str) -> str:
+        fit = "a" if state == 2 else "u"
+        added = way("I", "3", f"{rests}{step[state][fit]}", f"'{roles[fit]}:'")
+        return f"list_min([{rests}{state}, {added}]) AS {{}}{state}"
+
+    def layer(before: str, after: str) -> str:
+        return ", ".join(inserted(s, before).format(after) for s in range(4))
+
+    first = ", ".join(f"struct_pack(c := {0 if s in (0, 3) else 1000000000}::BIGINT, a := '', t := '') AS x{s}" for s in range(4))
+    return rf"""
+WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {CRC32_SQL.format("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS kind FROM conversations),
+m AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy FROM k WHERE kind <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text)) AS i FROM m),
+f AS (SELECT *, role || ':' || text AS line, lead(role) OVER w AS after,
+    CASE WHEN NOT regexp_matches(text, '{WORD}') THEN 1 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+         WHEN NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 3 ELSE 0 END AS fault
+  FROM o WINDOW w AS (PARTITION BY conv_id ORDER BY i)),
+n AS (SELECT conv_id, max(i) AS i, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(fault = 1)::BIGINT AS blank,
+    count_if(fault = 2)::BIGINT AS duplicate, count_if(fault = 3)::BIGINT AS truncated,
+    count_if(after IS NOT NULL AND left(role, 1) || left(after, 1) NOT IN ('su', 'ua', 'au'))::BIGINT AS illegal FROM f GROUP BY 1),
+z AS (SELECT {first}),
+z1 AS (SELECT {layer("x", "y")} FROM z), z2 AS (SELECT {layer("y", "x")} FROM z1), z3 AS (SELECT {layer("x", "b")} FROM z2),
+s AS (
+  SELECT conv_id, i, b0, b1, b2, b3 FROM n, z3
+  UNION ALL
+  SELECT conv_id, i, {layer("v", "b").replace(" AS b", " AS c")} FROM (
+    SELECT conv_id, i, {layer("u", "v")} FROM (
+      SELECT conv_id, i, {layer("x", "u")} FROM (
+        SELECT conv_id, i - 1 AS i, {", ".join(f"{edits(e)} AS x{e}" for e in range(4))}
+        FROM (SELECT s.*, f.role, f.text, f.line, f.fault, CASE f.fault WHEN 3 THEN 3 ELSE 0 END AS more FROM s JOIN f USING (conv_id, i)))))
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(b0.c, 0) AS cost, coalesce(b0.a, '') AS audit, sha256(coalesce(b0.t[2:], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN n USING (conv_id) LEFT JOIN s ON s.conv_id = c.conv_id AND s.i = 0
+"""
+
+
+REPAIR_SQL = _repair_sql()
+
 # Score from which a text counts as toxic.
 TOXIC_FROM = 0.3
 
@@ -160,3 +260,21 @@ def op3_substrings(spark, sf):
 def op5_main_text(spark, sf):
     """Main text of every page."""
     return templates.main_text(table(spark, sf, "pages"))
+
+
+@suite.add(TRIE_SQL)
+def op11_prefix_trie(spark, sf):
+    """Every node of the trie of rebuilt conversations, with members, children, leaves and saved tokens."""
+    return prefix_trie.prefix_trie(table(spark, sf, "conversations"))
+
+
+@suite.add(REPAIR_SQL)
+def op12_repair(spark, sf):
+    """Faults and cheapest repair of every damaged conversation."""
+    return repair.repair(table(spark, sf, "conversations"))
+
+
+@suite.add()
+def op13_neighbours(spark, sf):
+    """The ten nearest vectors of every hundredth."""
+    return neighbours.nearest(table(spark, sf, "embeddings"), is_query=F.col("vec_id") % 100 == 0, k=10)

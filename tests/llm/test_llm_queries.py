@@ -32,7 +32,7 @@ def test_oracle(spark, con, name):
 
 def test_all_are_registered():
     names = {n.split("_")[0] for n in suite.queries}
-    assert names == {f"op{n}" for n in range(1, 11)}
+    assert names == {f"op{n}" for n in range(1, 14)}
     assert set(suite.queries) | {"pipeline"} <= set(entry.queries())
 
 
