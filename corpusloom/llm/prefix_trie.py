@@ -47,7 +47,8 @@ FAMILY = 20
 SHARED = 4
 
 # Members from which a node is a head, unless a table's size asks for more; heads that such nodes can be at most.
-HEAVY = 4096
+# A unit has at most this many conversations, each with fewer than CUT nodes in it.
+HEAVY = 256
 MOST_HEAVY = 65_536
 # Every so many levels all nodes are heads.
 CUT = 256
