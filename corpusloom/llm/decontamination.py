@@ -17,6 +17,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from corpusloom.llm.texts import map_texts
 
@@ -80,8 +81,9 @@ def find_items(
         f"`{id_column}` {docs.schema[id_column].dataType.simpleString()}, "
         f"item_id {items.schema[item_id].dataType.simpleString()}, distance int, first_word bigint, n_words bigint"
     )
+    item_type = to_arrow_type(items.schema[item_id].dataType)
     found = [
-        _search(docs, block, id_column, text_column, schema)
+        _search(docs, block, id_column, text_column, schema, item_type)
         for block in item_blocks(items, item_id, item_text, rate, block_chars)
     ]
     if not found:
@@ -118,7 +120,7 @@ def _occurs(block: list[Item]):
     return check
 
 
-def _search(docs: DataFrame, block: list[Item], id_column: str, text_column: str, schema: str) -> DataFrame:
+def _search(docs: DataFrame, block: list[Item], id_column: str, text_column: str, schema: str, item_type: pa.DataType) -> DataFrame:
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         search = Searcher(block)
 
@@ -130,7 +132,6 @@ def _search(docs: DataFrame, block: list[Item], id_column: str, text_column: str
                     out.append(match)
             ids = batch.column(0).take(pa.array(rows, pa.int64()))
             item, distance, first, count = zip(*out, strict=True) if out else ((), (), (), ())
-            item_type = pa.int64() if all(isinstance(i.item_id, int) or i.item_id is None for i in block) else pa.string()
             return pa.RecordBatch.from_arrays(
                 [ids, pa.array(item, item_type), pa.array(distance, pa.int32()), pa.array(first, pa.int64()), pa.array(count, pa.int64())],
                 [id_column, "item_id", "distance", "first_word", "n_words"],

@@ -31,7 +31,7 @@ KINDS = ("assign", "access", "hex", "random")
 RUN = r"[A-Za-z0-9+/_=-]{20,}"
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 DIGEST = r"[0-9a-f]+|[0-9A-F]+"
-IDENTIFIER = r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}|[0-9+/_=-]+|[A-Za-z+/_=-]+|[A-Za-z]+[0-9]*([-_/=]+[A-Za-z]*[0-9]*)*"
+IDENTIFIER = r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}|[0-9+/_=-]+|[A-Za-z+/_=-]+|[A-Za-z]+[0-9]*(?:[-_/=][A-Za-z]*[0-9]*)*+"
 MOST_CHARS_PER_TOKEN = 2.0
 
 
@@ -79,12 +79,22 @@ def finder(ranks: bytes, most_chars_per_token: float) -> Callable[[str], list[tu
     run, digest, identifier = re.compile(RUN), re.compile(DIGEST), re.compile(IDENTIFIER)
 
     def random_runs(text: str, taken: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int]]:
+        # Both lists are walked in order; spans that meet are joined first, so that ends ascend as well.
+        joined: list[list[int]] = []
+        for a, b, _ in sorted(taken):
+            if joined and a <= joined[-1][1]:
+                joined[-1][1] = max(joined[-1][1], b)
+            else:
+                joined.append([a, b])
+        at = 0
         for m in run.finditer(text):
             start, end = m.span()
+            while at < len(joined) and joined[at][1] <= start:
+                at += 1
             body = m[0].rstrip("=")
             if len(body) in DIGEST_LENGTHS and digest.fullmatch(body) or identifier.fullmatch(body):
                 continue
-            if any(a < end and start < b for a, b, _ in taken):
+            if at < len(joined) and joined[at][0] < end:
                 continue
             if len(m[0]) < most_chars_per_token * len(tokens.encode_ordinary(m[0])):
                 yield start, end, 3

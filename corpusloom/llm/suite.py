@@ -138,7 +138,8 @@ m AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role
 o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text)) AS i FROM m),
 f AS (SELECT *, role || ':' || text AS line, lead(role) OVER w AS after,
     CASE WHEN NOT regexp_matches(text, '{WORD}') THEN 1 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
-         WHEN NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 3 ELSE 0 END AS fault
+         WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 3 ELSE 0 END AS fault
   FROM o WINDOW w AS (PARTITION BY conv_id ORDER BY i)),
 n AS (SELECT conv_id, max(i) AS i, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(fault = 1)::BIGINT AS blank,
     count_if(fault = 2)::BIGINT AS duplicate, count_if(fault = 3)::BIGINT AS truncated,
@@ -236,10 +237,16 @@ def op1_sharding(spark, sf):
 
 @suite.add()
 def op2_mixing(spark, sf):
-    """Words that the mix takes of every document, from its blocks."""
+    """Words that the mix takes of every document: those of its blocks, in all and in each output shard, and their order there."""
     blocks = mixing.mix_documents(table(spark, sf, "documents"))
-    rows = blocks.groupBy("doc_id", "place", "copy", "size", "source_size", "target").agg(F.sum("words").alias("taken"))
-    return rows.select("doc_id", "size", "source_size", "target", "taken")
+    there = [F.coalesce(F.sum(F.when(F.col("shard") == i, F.col("words"))), F.lit(0)) for i in range(mixing.SHARDS)]
+    drawn = F.when(F.col("shard").isNotNull(), F.xxhash64("shard", "order", "block", "pass", "words"))
+    rows = blocks.groupBy("doc_id", "place", "copy", "size", "source_size", "target").agg(
+        F.array(*there).alias("shard_words"), F.coalesce(F.bit_xor(drawn), F.lit(0)).alias("order_digest")
+    )
+    # The mix of a document is what its blocks bring to the shards.
+    taken = F.aggregate("shard_words", F.lit(0).cast("long"), lambda a, b: a + b).alias("taken")
+    return rows.select("doc_id", "size", "source_size", "target", taken, "shard_words", "order_digest")
 
 
 @suite.add()

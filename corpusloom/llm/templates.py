@@ -20,6 +20,7 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 # Pages that a template is deduced from; a host with fewer uses what it has.
 SET_PAGES = 32
@@ -28,8 +29,8 @@ SET_BYTES = 8 << 20
 SHARES = 1024
 
 # Element roles, by tag, by ARIA role and by words in class and id. Fixed word lists.
-RAW_TAGS = ("script", "style", "noscript", "template", "iframe", "svg", "textarea", "title", "math", "object")
-DROPPED_TAGS = frozenset(("nav", "footer", "aside", "form", "head", "button", "select", "menu", "dialog", *RAW_TAGS))
+RAW_TAGS = ("script", "style", "noscript", "template", "iframe", "textarea", "title", "object")
+DROPPED_TAGS = frozenset(("nav", "footer", "aside", "form", "head", "button", "select", "menu", "dialog", "svg", *RAW_TAGS))
 DROPPED_ROLES = frozenset(
     "navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split()
 )
@@ -40,6 +41,13 @@ DROPPED_NAMES = frozenset(
     "subscribe subscription signup login search popup modal overlay footer header masthead topbar toolbar "
     "pagination pager widget widgets skip hidden".split()
 )
+# Of these, words that sections of an article carry too: inside the article they count with the template's evidence only.
+DOUBTFUL_NAMES = frozenset(
+    "side menu nav navigation notice notices alert discussion share sharing social related recommended reply replies respond "
+    "search popup modal overlay footer header hidden skip promotion banner login signup subscription widget widgets".split()
+)
+# Pages of a host from which an element that most of them have is the template's.
+EVIDENCE_PAGES = 4
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK_TAGS = frozenset(
     "address article aside blockquote body caption center dd details dir div dl dt fieldset figcaption figure footer "
@@ -51,12 +59,16 @@ FRAME_TAGS = frozenset("html body article main section div table tbody tr td cen
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>" + "|".join(RAW_TAGS) + r")(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<svg(?=[\s/>])[^>]*(?:/>|(?<!/)>.*?(?:</svg\s*>|\Z))"
     r"|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:\s+[^\s>=\"']+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"']*))?|\s+|/)*)>"
+    # Every branch starts with another character and nothing is given back, so a tag is read in one pass.
+    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<rest>(?:\s++|/|[^\s>=\"'/]++(?:\s*+=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s>\"']*))?)*+)>"
     r"|</?[a-zA-Z][^>]*(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
 ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]*)))?")
+HEADING = re.compile(r"h[1-6]")
+SURE, DOUBTFUL = 1, 2
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
@@ -66,6 +78,8 @@ class Element:
     path: str
     dropped: bool
     parent: Element | None
+    # Why the element itself is left out: SURE, DOUBTFUL (by a name that articles use too) or not at all.
+    own: int
     begin: int
     end: int = -1
     children: list[Element] = field(default_factory=list)
@@ -81,24 +95,26 @@ def attributes(rest: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(rest)}
 
 
-def is_dropped(tag: str, attrs: dict[str, str], inside_article: bool) -> bool:
+def role_of(tag: str, attrs: dict[str, str], inside_article: bool) -> int:
+    """Whether an element is left out: 0, ``SURE`` or ``DOUBTFUL``. Ids of headings and sections name their subject."""
     if tag in DROPPED_TAGS or tag == "header" and not inside_article:
-        return True
+        return SURE
     if tag in ("html", "body", "article", "main"):
-        return False
+        return 0
     if not attrs:
-        return False
+        return 0
     if attrs.get("role", "").lower() in DROPPED_ROLES or "hidden" in attrs:
-        return True
+        return SURE
     if "display:none" in attrs.get("style", "").replace(" ", "").lower():
-        return True
-    names = NAME_PARTS.findall(attrs.get("class", "") + " " + attrs.get("id", ""))
-    return any(n.lower() in DROPPED_NAMES for n in names)
+        return SURE
+    id_words = "" if tag == "section" or HEADING.fullmatch(tag) else attrs.get("id", "")
+    names = {n.lower() for n in NAME_PARTS.findall(attrs.get("class", "") + " " + id_words)} & DROPPED_NAMES
+    return SURE if names - DOUBTFUL_NAMES else DOUBTFUL if names else 0
 
 
 def parse(html: str) -> tuple[Element, list[Element]]:
     """The page's element tree and all elements in page order; unclosed and stray tags are taken as browsers do."""
-    root = Element("", "", False, None, 0)
+    root = Element("", "", False, None, 0, 0)
     here, order, at = root, [root], 0
 
     def leave(tags: tuple[str, ...], stops: frozenset[str] | tuple[str, ...] = ()) -> None:
@@ -134,7 +150,8 @@ def parse(html: str) -> tuple[Element, list[Element]]:
         attrs = attributes(m["rest"])
         name = tag + "".join(f".{attrs[k]}" for k in ("id", "class") if attrs.get(k))
         inside = "/article" in here.path or "/main" in here.path
-        element = Element(tag, f"{here.path}/{name}", here.dropped or is_dropped(tag, attrs, inside), here, m.start())
+        own = role_of(tag, attrs, inside)
+        element = Element(tag, f"{here.path}/{name}", here.dropped or own > 0, here, own, m.start())
         here.content.append(element)
         here.children.append(element)
         order.append(element)
@@ -206,13 +223,33 @@ def article_path(pages: list[list[Element]], paths: dict[str, int]) -> str:
     return here
 
 
-def blocks(element: Element) -> list[str]:
-    """The texts of the element's blocks in page order."""
+def in_links(element: Element) -> tuple[int, int]:
+    """Characters of text in links, and in all, below an element."""
+    links, whole, pending = 0, 0, [(element, element.tag == "a")]
+    while pending:
+        node, linked = pending.pop()
+        own = sum(len(x) - x.count(" ") for x in node.content if isinstance(x, str))
+        whole += own
+        links += own if linked else 0
+        pending += [(c, linked or c.tag == "a") for c in node.children]
+    return links, whole
+
+
+def is_template(element: Element, found: Counter[str], pages: int) -> bool:
+    """Evidence that a doubtful element is the template's: most pages of the host have it, or it is mostly links."""
+    if pages >= EVIDENCE_PAGES and 2 * found[element.path] >= pages:
+        return True
+    links, whole = in_links(element)
+    return 2 * links >= whole
+
+
+def blocks(element: Element, found: Counter[str], pages: int) -> list[str]:
+    """The texts of the element's blocks in page order; ``found``: pages of the set that have each path."""
     out: list[str] = []
     parts: list[str] = []
 
     def end_block() -> None:
-        text = " ".join(unescape("".join(parts)).split())
+        text = " ".join("".join(parts).split())
         if text:
             out.append(text)
         parts.clear()
@@ -226,8 +263,9 @@ def blocks(element: Element) -> list[str]:
             if ends.pop():
                 end_block()
         elif isinstance(item, str):
-            parts.append(item)
-        elif item.dropped:
+            # References are decoded piece by piece: markup ends them.
+            parts.append(unescape(item))
+        elif item.own == SURE or item.own == DOUBTFUL and is_template(item, found, pages):
             if item.tag in BLOCK_TAGS:
                 end_block()
         elif item.tag == "br":
@@ -247,6 +285,7 @@ def extract(htmls: list[str]) -> list[str]:
     orders = [order for _, order in trees]
     paths = frame(orders) if orders else {}
     article = article_path(orders, paths) if orders else ""
+    found = Counter(path for order in orders for path in {e.path for e in order if e.own == DOUBTFUL})
     out = []
     for root, order in trees:
         # A page that lacks the template's article is read on its own.
@@ -254,7 +293,7 @@ def extract(htmls: list[str]) -> list[str]:
         if not any(e.path == own for e in order):
             own = article_path([order], frame([order]))
         element = next((e for e in order if e.path == own), root)
-        out.append("\n\n".join(blocks(element)))
+        out.append("\n\n".join(blocks(element, found, len(orders))))
     return out
 
 
@@ -295,7 +334,7 @@ def main_text(
         .withColumn("place", place)
     )
     sorted_rows = dealt.repartition("host", "salt").sortWithinPartitions("host", "salt", "place")
-    id_kind = pages.schema[id_column].dataType.simpleString()
+    id_kind, id_type = pages.schema[id_column].dataType.simpleString(), to_arrow_type(pages.schema[id_column].dataType)
     url_kind = pages.schema[url_column].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,7 +359,7 @@ def main_text(
             texts = extract([r[2] or "" for r in part])
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([r[0] for r in part], pa.int64() if id_kind != "string" else pa.string()),
+                    pa.array([r[0] for r in part], id_type),
                     pa.array([r[1] for r in part], pa.string()),
                     pa.array(texts, pa.string()),
                     pa.array([len(t) for t in texts], pa.int64()),

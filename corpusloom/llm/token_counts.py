@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from corpusloom.llm.texts import byte_slices
 from corpusloom.llm.vocabulary import DEFAULT_PATH, encoding, read_ranks
@@ -45,6 +46,7 @@ def write_token_files(
     rows, as a partition's content and order come from its input split.
     """
     ranks = read_ranks(vocabulary)
+    id_kind, id_type = docs.schema[id_column].dataType.simpleString(), to_arrow_type(docs.schema[id_column].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -59,14 +61,14 @@ def write_token_files(
                     pa.array([file], pa.int64()),
                     pa.array([block], pa.int64()),
                     pa.array([data], pa.binary()),
-                    pa.array([None if ids is None else ids.to_pylist()], pa.list_(pa.int64())),
+                    pa.array([None if ids is None else ids.to_pylist()], pa.list_(id_type)),
                 ],
                 ["kind", "file", "block", "data", "ids"],
             )
 
         for batch in batches:
             for part in byte_slices(batch, text_column):
-                yield row("ids", ordinal, None, part.column(0).cast(pa.int64()))
+                yield row("ids", ordinal, None, part.column(0))
                 ordinal += part.num_rows
                 for text in part.column(1).to_pylist():
                     ids = tokens.encode_ordinary(text or "")
@@ -84,7 +86,7 @@ def write_token_files(
             yield row("tokens", block, np.concatenate(held).tobytes(), None)
 
     streams = docs.select(id_column, text_column).mapInArrow(
-        run, "kind string, file bigint, block bigint, data binary, ids array<bigint>"
+        run, f"kind string, file bigint, block bigint, data binary, ids array<{id_kind}>"
     )
     streams.write.mode("errorifexists").parquet(path)
 
