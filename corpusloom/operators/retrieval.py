@@ -164,14 +164,19 @@ def search_text(
 ) -> DataFrame:
     """Nearest neighbours of texts: embed, then search; ``dim`` is the length of the vectors.
 
-    With ``cells`` and ``probe`` the search is approximate (:func:`knn_cells`), else exact.
+    With ``cells`` and ``probe`` the search is approximate (:func:`knn_cells`), with ``quantiser`` it goes
+    through codes (:func:`corpusloom.operators.quantised.search_quantised`), else it is exact.
     """
-    if "cells" not in options:
+    if "cells" not in options and "quantiser" not in options:
         options["dim"] = dim
     return _search(embed(queries, text, backend, dim), index, k, **options)
 
 
 def _search(queries: DataFrame, index: DataFrame, k: int, **options) -> DataFrame:
+    if "quantiser" in options:
+        from corpusloom.operators.quantised import search_quantised
+
+        return search_quantised(queries, index, k, **options)
     return (knn_cells if "cells" in options else knn)(queries, index, k, **options)
 
 
@@ -317,7 +322,7 @@ def retrieve(
 ) -> DataFrame:
     """Nearest neighbours with chosen columns of the documents they stand for.
 
-    With ``cells`` and ``probe`` the search is approximate (:func:`knn_cells`).
+    With ``cells`` and ``probe`` the search is approximate (:func:`knn_cells`), with ``quantiser`` through codes.
     Hits without a document are left out, or kept with nulls with
     ``how="left"``. Spark broadcasts the hits when they turn out small; else a
     document near to many queries has its partition split.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusloom.operators import embedding, index_sync, retrieval
+from corpusloom.operators import embedding, index_sync, quantised, retrieval
 from corpusloom.plans.parallelism import spread
 from corpusloom.plans.workspace import fresh_path, materialize
 from corpusloom.suite import Suite, table
@@ -136,6 +136,37 @@ def retrieved_in_cells(spark, sf):
     )
 
 
+@suite.add(f"""
+WITH {_VECTORS}, {_exact(5)}
+SELECT query_id, rank, score, id, source, n_chars FROM x LEFT JOIN documents ON id = doc_id
+""")
+def retrieved_by_codes(spark, sf):
+    """The retriever over quantised cells: codes leave out what their bounds exclude, so that the hits are exact."""
+    queries, index = _sides(spark, sf)
+    quantiser = quantised.fit_quantiser(index, 8, 64)
+    codes = materialize(quantised.encode_index(index, quantiser), "codes")
+    return retrieval.retrieve(
+        queries, index, table(spark, sf, "documents"), 5, ["id", "source", "n_chars"], doc_id="doc_id", how="left",
+        quantiser=quantiser, codes=codes, probe=2, exclude_self=True,
+    )
+
+
+@suite.add(f"WITH {_VECTORS}, {_exact(10)} SELECT count(*) AS neighbours, 0.9::DOUBLE AS recall_from, 0.15::DOUBLE AS share_to FROM x")
+def recall_by_codes(spark, sf):
+    """Recall of the ten nearest among 60 re-ranked codes (0.9, if no less) and the share of full vectors compared (0.15, if no more)."""
+    queries, index = _sides(spark, sf)
+    quantiser = quantised.fit_quantiser(index, 16, 16)
+    codes = materialize(quantised.encode_index(index, quantiser), "codes")
+    found = quantised.search_quantised(queries, index, 10, quantiser, codes, probe=12, rerank=60, exclude_self=True)
+    exact = retrieval.knn(queries, index, 10, exclude_self=True)
+    size = index.count()
+    return retrieval.recall_report(found, exact).select(
+        "neighbours",
+        F.least(F.lit(0.9), F.round("recall", 3)).alias("recall_from"),
+        F.greatest(F.lit(0.15), F.lit(60 / size)).alias("share_to"),
+    )
+
+
 @suite.add("SELECT count(*) AS vectors, CAST(count(*) AS DOUBLE) AS probed FROM embeddings")
 def trained_cells(spark, sf):
     """Cells trained on the table hold every vector once, and so do the nearest cells of all vectors."""
