@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.operators.term_trie import nearest_terms
 from corpusloom.plans.skew import first_per_key, skew_join
 
 
@@ -165,97 +166,20 @@ def flatten_payload(payload: Column) -> list[Column]:
     ]
 
 
-def _deletions(word: Column, distance: int) -> Column:
-    """The word and all it becomes by deleting up to ``distance`` characters."""
-    variants = F.array(word)
-    layer = variants
-    for _ in range(distance):
-        layer = F.array_distinct(
-            F.flatten(
-                F.transform(
-                    layer,
-                    lambda w: F.when(F.length(w) == 0, F.array().cast("array<string>")).otherwise(
-                        F.transform(
-                            F.sequence(F.lit(1), F.greatest(F.length(w), F.lit(1))),
-                            lambda i: F.concat(F.substr(w, F.lit(1), i - 1), F.substr(w, i + 1)),
-                        )
-                    ),
-                )
-            )
-        )
-        variants = F.concat(variants, layer)
-    return F.array_distinct(variants)
-
-
-# Terms of this length or more are found by their segments, as their deletions would be too many.
-SEGMENTS_FROM = 16
-
-
-def _segment_keys(word: Column, distance: int, is_term: bool) -> Column:
-    """Keys that share one for any word and term within ``distance`` edits, the term being long.
-
-    A term is cut into distance + 1 segments, of which one is untouched and
-    moved by ``distance`` places at most; a word lists what could be that
-    segment for each length a term near to it can have.
-    """
-    parts, keys = distance + 1, []
-    shifts = range(1) if is_term else range(-distance, distance + 1)
-    for size in [F.length(word)] if is_term else [F.length(word) + d for d in range(-distance, distance + 1)]:
-        for k in range(parts):
-            begin, end = F.floor(size * k / parts), F.floor(size * (k + 1) / parts)
-            for shift in shifts:
-                start = begin + shift
-                segment = F.substr(word, (start + 1).cast("int"), (end - begin).cast("int"))
-                there = (size >= SEGMENTS_FROM) & (start >= 0) & (start + end - begin <= F.length(word))
-                keys.append(F.when(there, F.concat_ws(":", size, F.lit(k), segment)))
-    far = F.length(word) + (0 if is_term else distance) < SEGMENTS_FROM
-    return F.when(far, F.array().cast("array<string>")).otherwise(F.array_distinct(F.array_compact(F.array(*keys))))
-
-
 def nearest_term(df: DataFrame, col: str, terms: DataFrame, term_col: str = "term", max_distance: int = 2) -> DataFrame:
     """Dictionary correction: the nearest term within ``max_distance`` edits, as ``nearest``.
 
-    Two short words within d edits share a string reached by deleting at most d
-    characters from each, and a long term has a segment in common with a word
-    near to it, so equi-joins find every candidate without comparing all pairs
-    and with a bounded number of keys per value. Works on distinct words; ties
-    go to the smaller term; null when no term is near enough.
+    Works on distinct words. Most words are right and found by an equi-join;
+    the others walk tries of the terms (:mod:`corpusloom.operators.term_trie`).
+    Ties go to the smaller term; null when no term is near enough.
     """
     lowered = F.lower(F.col(col))
     words = df.filter(F.col(col).isNotNull()).select(lowered.alias("__word")).distinct()
-    term = terms.groupBy(F.lower(F.col(term_col)).alias("__term")).agg(F.min(term_col).alias("nearest"))
-    # Most words are right: only those not found as they stand are varied.
-    looked_up = words.join(term, F.col("__word") == F.col("__term"), "left")
-    right = looked_up.filter("__term is not null").select("__word", "nearest", F.lit(0).alias("distance"))
-    wrong = looked_up.filter("__term is null").select("__word")
-
-    def keyed(side: DataFrame, word: str, is_term: bool) -> DataFrame:
-        longest = SEGMENTS_FROM - 1 + (0 if is_term else max_distance)
-        short = F.when(F.length(word) <= longest, _deletions(F.col(word), max_distance))
-        keys = F.concat(
-            F.transform(F.coalesce(short, F.array().cast("array<string>")), lambda v: F.concat(F.lit("-"), v)),
-            _segment_keys(F.col(word), max_distance, is_term),
-        )
-        return side.select(*side.columns, F.explode(keys).alias("__v"))
-
-    keyed_words, keyed_terms = keyed(wrong, "__word", False), keyed(term, "__term", True)
-    # Very short words and terms all share the empty string. Those that share nothing longer are as far apart as
-    # they are long, so of each length only the smallest term can be the answer.
-    shared = F.when(F.col("__v") == "-", F.length("__term"))
-    empty = keyed_terms.filter(shared.isNotNull()).groupBy(shared.alias("__n")).agg(
-        F.min(F.struct("nearest", "__term")).alias("__first")
-    )
-    keyed_terms = keyed_terms.filter(shared.isNull()).unionByName(
-        empty.select("__first.__term", "__first.nearest", F.lit("-").alias("__v"))
-    )
-    corrected = (
-        keyed_words.join(keyed_terms, "__v")
-        .withColumn("distance", F.levenshtein(F.col("__word"), F.col("__term")))
-        .filter(F.col("distance") <= max_distance)
-        .groupBy("__word")
-        .agg(F.min(F.struct("distance", "nearest")).alias("__best"))
-        .select("__word", "__best.nearest", "__best.distance")
-    )
+    term = terms.filter(F.col(term_col).isNotNull()).groupBy(F.lower(F.col(term_col)).alias("term")).agg(F.min(term_col).alias("nearest"))
+    looked_up = words.join(term, F.col("__word") == F.col("term"), "left")
+    right = looked_up.filter("term is not null").select("__word", "nearest", F.lit(0).alias("distance"))
+    wrong = looked_up.filter("term is null").select(F.col("__word").alias("word"))
+    corrected = nearest_terms(wrong, term, max_distance).withColumnRenamed("word", "__word")
     best = right.unionByName(corrected)
     return skew_join(df.withColumn("__word", lowered), best, ["__word"], "left").drop("__word")
 

@@ -332,3 +332,23 @@ def test_gazetteer_of_any_size(spark):
     for table in (names, many):
         got = baselines.mask_terms(df, ["id"], "t", table).head()["translation"]
         assert got == "Then [MASKED] [MASKED] met [MASKED], not Ann."
+
+
+def test_tries_and_word_blocks_of_any_number(spark):
+    """Several tries for one length and several blocks of words give what one of each gives."""
+    from corpusloom.operators.term_trie import nearest_terms
+
+    rng = random.Random(6)
+    terms = sorted({"".join(rng.choices("abcde", k=rng.randrange(1, 7))) for _ in range(120)})
+    words = sorted({"".join(rng.choices("abcde", k=rng.randrange(0, 8))) for _ in range(150)} | {"é" * 300, "中文", "\U0001f600"})
+    term_rows = spark.createDataFrame([(t, t.upper()) for t in [*terms, "é" * 299 + "x", "中", "\U0001f601"]], "term string, nearest string")
+    word_rows = spark.createDataFrame([(w,) for w in words], "word string")
+    want = {}
+    for w in words:
+        best = min((edit_distance(w, r["term"]), r["nearest"]) for r in term_rows.collect() if abs(len(w) - len(r["term"])) <= 2)
+        if best[0] <= 2:
+            want[w] = best
+    for trie_terms, block_words in ((65_536, 16_384), (7, 5)):
+        rows = nearest_terms(word_rows, term_rows, 2, trie_terms, block_words).collect()
+        assert {r["word"]: (r["distance"], r["nearest"]) for r in rows} == want
+    assert nearest_terms(word_rows, term_rows.limit(0), 2).collect() == [] == nearest_terms(word_rows.limit(0), term_rows, 2).collect()
