@@ -267,6 +267,20 @@ def index_syncs(spark, sf):
     return out
 
 
+@suite.add("""
+SELECT doc_id, md5(CASE lang WHEN 'fr' THEN text || ' (revised)' ELSE text END) AS digest
+FROM documents WHERE lang IS DISTINCT FROM 'es'
+""")
+def merged_index(spark, sf):
+    """An index of a base and its deltas, one by language, read as they stand after the last of four syncs."""
+    old, new = _snapshots(spark, sf)
+    root, french = fresh_path(spark, "index"), F.col("text").endswith(" (revised)")
+    gone = old.join(new.select("doc_id"), "doc_id", "left_semi")
+    for source in (old, gone, gone.unionByName(new.filter(french)).dropDuplicates(["doc_id"]), new):
+        index_sync.sync_index(source, root, "doc_id", ["text"], _with_hash)
+    return index_sync.current_version(spark, root, "doc_id").select("doc_id", F.md5("text").alias("digest"))
+
+
 def _with_hash(rows):
     return rows.withColumn(index_sync.HASH_COLUMN, index_sync.content_hash(["text"]))
 
