@@ -30,6 +30,21 @@ def stream_files(spark: SparkSession, folder: str, glob: str = "*", max_files: i
     return bounded(reader, max_files).load(folder)
 
 
+def stream_lines(
+    spark: SparkSession, folder: str, glob: str = "*", separator: str = "\n", max_files: int | None = None, max_bytes: int | None = None
+) -> DataFrame:
+    """Lines of new text files of a folder as a stream of (path, start, line).
+
+    Files are cut into ranges of ``spark.sql.files.maxPartitionBytes``, each
+    read by a task of its own from the line that begins in it, so a file may
+    have any size; no task and no row holds a whole one. ``start`` is where
+    the range begins.
+    """
+    reader = spark.readStream.format("text").option("pathGlobFilter", glob).option("lineSep", separator)
+    lines = bounded(reader, max_files, max_bytes).load(folder)
+    return lines.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.col("value").alias("line"))
+
+
 def read_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
 

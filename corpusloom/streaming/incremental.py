@@ -4,6 +4,7 @@ All transformations are stateless, so no state grows with the stream. A file
 sink keeps one log of committed batches, which two queries cannot share: each
 source of a common table therefore has its own subfolder (``source=name``) and
 its own checkpoint, and :func:`read_sources` puts the committed parts together.
+:mod:`corpusloom.streaming.shared_table` feeds one folder from several streams.
 """
 
 from __future__ import annotations
@@ -65,7 +66,7 @@ def _table_location(spark: SparkSession, name: str) -> str | None:
 
 
 @contextmanager
-def _counted(spark: SparkSession) -> Iterator[Callable[[StreamingQuery], dict]]:
+def counted(spark: SparkSession) -> Iterator[Callable[[StreamingQuery], dict]]:
     """Counts of a finished query from all its progress events; a query itself keeps only the last ones."""
     batches: dict[str, dict[int, int]] = defaultdict(dict)
     ended: dict[str, Event] = defaultdict(Event)
@@ -117,7 +118,7 @@ def run_incremental(df: DataFrame, target: str, checkpoint: str, is_path: bool =
         .option("checkpointLocation", checkpoint)
         .format("parquet")
     )
-    with _counted(spark) as counts:
+    with counted(spark) as counts:
         query = writer.start(target) if is_path else writer.toTable(target)
         query.awaitTermination()
         return counts(query)

@@ -10,7 +10,7 @@ from corpusloom.operators import chunking, embedding
 from corpusloom.plans.workspace import fresh_path
 from corpusloom.sources import files
 from corpusloom.sources.tables import with_chunk_id
-from corpusloom.streaming import incremental
+from corpusloom.streaming import incremental, shared_table
 from corpusloom.suite import Suite, table
 from corpusloom.suite.corpus import EMBED_DIM, windows_sql
 
@@ -34,7 +34,8 @@ def streamed_index(spark, sf):
 
     for _ in range(2):
         stream = files.stream_parquet(spark, f"{sf}/documents.parquet", schema, max_bytes=1 << 30)
-        incremental.run_incremental_corpus(stream, target, checkpoint, chunk, embed, True)
+        # The one file is one split: its rows are dealt over the cores before they are cut and embedded.
+        incremental.run_incremental_corpus(stream, target, checkpoint, chunk, embed, True, spark.sparkContext.defaultParallelism)
     written = spark.read.parquet(target)
     return written.select("id", "doc_id", F.size("embedding").alias("dimensions"))
 
@@ -43,27 +44,29 @@ def streamed_index(spark, sf):
     f"SELECT doc_id, pos, n_tokens, md5(content) AS digest FROM ({windows_sql('SELECT doc_id, text FROM documents', 'doc_id')})"
 )
 def two_sources(spark, sf):
-    """English and other documents as two streams, each with its own checkpoint, into one table."""
+    """English and other documents as two feeds of one table, read once; the second run and a replayed batch add nothing."""
     schema = table(spark, sf, "documents").schema
-    target = fresh_path(spark, "appended")
-    for name, rule in (("english", "lang <=> 'en'"), ("other", "NOT lang <=> 'en'")):
-        stream = files.stream_parquet(spark, f"{sf}/documents.parquet", schema, max_bytes=1 << 30).filter(rule)
-        chunks = chunking.chunk_windows(stream, "text", ["doc_id"])
-        path = incremental.source_path(target, name)
-        incremental.run_incremental(chunks, path, fresh_path(spark, "checkpoint"), is_path=True)
-    written = incremental.read_sources(spark, target)
+    target, checkpoint = fresh_path(spark, "appended"), fresh_path(spark, "checkpoint")
+
+    def chunks_of(rule):
+        return lambda batch: chunking.chunk_windows(batch.filter(rule), "text", ["doc_id"])
+
+    feeds = {"english": chunks_of("lang <=> 'en'"), "other": chunks_of("NOT lang <=> 'en'")}
+    for start in (checkpoint, checkpoint, fresh_path(spark, "replayed")):
+        stream = files.stream_parquet(spark, f"{sf}/documents.parquet", schema, max_bytes=1 << 30)
+        shared_table.feed_table(stream, target, start, feeds)
+    written = shared_table.read_table(spark, target)
     return written.select("doc_id", "pos", "n_tokens", F.md5("content").alias("digest"))
 
 
 @suite.add("SELECT doc_id, md5(coalesce(text, '')) AS digest FROM documents")
 def streamed_files(spark, sf):
-    """The documents as lines of text files, which are streamed as binary files, decoded and cut again."""
+    """The documents as lines of text files, which are streamed by ranges of bytes and decoded."""
     folder, target, checkpoint = (fresh_path(spark, x) for x in ("lines", "files", "checkpoint"))
     # Hexadecimal keeps line breaks within a text out of the lines.
     line = F.concat_ws(" ", "doc_id", F.hex(F.coalesce("text", F.lit("")).cast("binary")))
     table(spark, sf, "documents").select(line).write.text(folder)
-    bodies = files.decode_text(files.stream_files(spark, folder, "part-*", max_files=64))
-    rows = bodies.select(F.explode(F.split("text", "\n")).alias("line")).filter("line <> ''").select(F.split("line", " ").alias("parts"))
+    rows = files.stream_lines(spark, folder, "part-*", max_bytes=1 << 30).filter("line <> ''").select(F.split("line", " ").alias("parts"))
     found = rows.select(
         F.get("parts", F.lit(0)).cast("long").alias("doc_id"),
         F.md5(F.unhex(F.coalesce(F.get("parts", F.lit(1)), F.lit("")))).alias("digest"),

@@ -45,7 +45,7 @@ def test_python_is_left_to_backends(spark, sf):
         name
         for name in QUERIES
         if name not in ("streamed_index", "two_sources", "streamed_files", "overwrite_sink", "csv_round_trip", "accepted_and_rejected",
-                        "streamed_table", "retried_replies", "index_syncs")
+                        "streamed_table", "retried_replies", "index_syncs", "merged_index")
         and any(mark in plan_of(QUERIES[name](spark, sf)) for mark in ("EvalPython", "InPandas", "InArrow"))
     }
     assert with_python == {

@@ -9,7 +9,7 @@ from corpusloom.plans.corpus import chunk_table, index_table
 from corpusloom.plans.workspace import fresh_path
 from corpusloom.sources import files
 from corpusloom.sources.tables import with_chunk_id
-from corpusloom.streaming import incremental
+from corpusloom.streaming import incremental, shared_table
 
 SCHEMA = "doc_id long, text string, lang string"
 
@@ -127,3 +127,60 @@ def test_streams_read_folders_and_files(spark, tmp_path):
         stream = files.stream_parquet(spark, str(path), "id bigint", max_bytes=1 << 20)
         got = incremental.run_incremental(stream, str(tmp_path / f"out{n}"), str(tmp_path / f"check{n}"), is_path=True)
         assert got["input_rows"] == rows
+
+
+def test_streams_feed_one_table_once(spark, tmp_path):
+    root = str(tmp_path / "table")
+    docs = spark.createDataFrame([(n, " ".join("abc" * 10), "en") for n in range(6)], SCHEMA)
+    checks = {}
+
+    def run_feed(name, rule):
+        folder = fresh_path(spark, "in")
+        arrived(docs.filter(rule), folder)
+        checks[name] = (folder, fresh_path(spark, "ckpt"))
+        return feed(name)
+
+    def feed(name, checkpoint=None):
+        folder, own = checks[name]
+        stream = files.stream_parquet(spark, folder, SCHEMA)
+        return shared_table.feed_table(stream, root, checkpoint or own, {name: lambda b: b.select("doc_id", "text")})
+
+    def ids():
+        return sorted(r["doc_id"] for r in shared_table.read_table(spark, root).collect())
+
+    assert run_feed("even", "doc_id % 2 = 0")["input_rows"] == 3
+    assert ids() == [0, 2, 4]
+    assert run_feed("odd", "doc_id % 2 = 1")["input_rows"] == 3
+    assert ids() == [0, 1, 2, 3, 4, 5]
+    # Nothing new; then the first batch again, as after a loss of the checkpoint: it is not even read.
+    assert feed("even")["input_rows"] == 0 and feed("even", fresh_path(spark, "ckpt")) == {"batches": 1, "input_rows": 0}
+    assert ids() == [0, 1, 2, 3, 4, 5]
+    with pytest.raises(ValueError):
+        shared_table.append_batch(docs, root, "../x", 0)
+
+
+def test_batches_without_commit_are_not_read(spark, tmp_path):
+    root = str(tmp_path / "table")
+    docs = spark.createDataFrame([(1, "a", "en")], SCHEMA)
+    docs.write.parquet(f"{root}/data/feed-0-broken")
+    with pytest.raises(ValueError, match="nothing committed"):
+        shared_table.read_table(spark, root)
+    assert shared_table.append_batch(docs, root, "feed", 0) and not shared_table.append_batch(docs, root, "feed", 0)
+    assert shared_table.read_table(spark, root).count() == 1
+
+
+def test_one_large_file_is_read_by_several_tasks(spark, tmp_path):
+    lines = [f"{n} " + "x" * (n % 97) for n in range(5000)]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "one.txt").write_text("\n".join(lines))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        stream = files.stream_lines(spark, str(tmp_path / "in"), "*.txt")
+        told = stream.withColumn("task", F.spark_partition_id())
+        incremental.run_incremental(told, str(tmp_path / "out"), str(tmp_path / "check"), is_path=True)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert Counter(r["line"] for r in rows) == Counter(lines)
+    tasks = Counter(r["task"] for r in rows)
+    assert len(tasks) > 5 and max(tasks.values()) < len(lines) / 2
