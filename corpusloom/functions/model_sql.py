@@ -9,6 +9,8 @@ form (``infer``), which asks each distinct prompt once over the whole table.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Callable, Sequence
 
 import pandas as pd
@@ -56,6 +58,29 @@ def _ask(backends: dict[str, Backend], batch_size: int):
     return one_batch
 
 
+# Fixed value: words that a summary has at most unless told otherwise.
+SUMMARY_WORDS = 50
+_SENTENCE = re.compile(r"[^.!?\n]+[.!?]*|[.!?]+")
+_WORD = re.compile(r"[^\W_]+")
+
+
+def summary(text: str | None, most_words: int | None) -> str | None:
+    """Sentences with the highest mean frequency of their words, in text order, up to a number of words; one at least."""
+    if text is None:
+        return None
+    sentences = [s for s in (s.strip(" \t\r\n") for s in _SENTENCE.findall(text)) if s]
+    words = [_WORD.findall(s.lower()) for s in sentences]
+    counts = Counter(w for ws in words for w in ws)
+    ranked = sorted((-round(sum(counts[w] for w in ws) / len(ws), 6), i) for i, ws in enumerate(words) if ws)
+    chosen, held = [], 0
+    for _, i in ranked:
+        held += len(words[i])
+        if chosen and held > (SUMMARY_WORDS if most_words is None else most_words):
+            break
+        chosen.append(i)
+    return " ".join(sentences[i] for i in sorted(chosen))
+
+
 def register_model_functions(
     spark: SparkSession,
     backends: dict[str, Backend] | None = None,
@@ -93,6 +118,14 @@ def register_model_functions(
             spark.udf.register("ai_gen", ai_gen.asNondeterministic())
             names.append("ai_gen")
 
+    @F.pandas_udf("string")
+    def ai_summarize(content: pd.Series, max_words: pd.Series = None) -> pd.Series:
+        limits = [None] * len(content) if max_words is None else [None if pd.isna(m) else int(m) for m in max_words]
+        return pd.Series([summary(t, m) for t, m in zip(content, limits)], index=content.index, dtype=object)
+
+    spark.udf.register("ai_summarize", ai_summarize)
+    names.append("ai_summarize")
+
     known = {**PATTERNS, **(patterns or {})}
     # An unknown kind fails the query: a null pattern would make the whole text null.
     pattern_of = f"coalesce(try_element_at({_sql_map(known, _quoted)}, l), raise_error(concat('no pattern for ', l)))"

@@ -104,12 +104,92 @@ def mask_entities(col: Column, labels: Sequence[str] | dict[str, str]) -> Column
 
 
 def mask_terms(df: DataFrame, id_cols: Sequence[str], col: str, terms: DataFrame, term: str = "term") -> DataFrame:
-    """``id_cols, translation``: the words of a gazetteer table of any size (names, places) replaced by ``[MASKED]``.
+    """``id_cols, translation``: the terms of a gazetteer table of any size (names, places) replaced by ``[MASKED]``.
 
-    Terms of several words are masked word by word; letter case does not count.
+    A term of several words is masked where all of them stand together; letter case does not count.
     """
-    single = terms.select(F.explode(words(F.lower(F.col(term)))).alias("source")).distinct()
-    return translate(df, id_cols, col, single.withColumn("target", F.lit(MASK)))
+    return replace_phrases(df, id_cols, col, terms.select(F.col(term).alias("source"), F.lit(MASK).alias("target")))
+
+
+def _phrase(text: Column) -> Column:
+    """A phrase as it is compared: lower case, one blank for any white space."""
+    return F.regexp_replace(F.lower(text), r"\s+", " ")
+
+
+def replace_phrases(df: DataFrame, id_cols: Sequence[str], col: str, phrases: DataFrame) -> DataFrame:
+    """``id_cols, translation``: phrases of a table of ``source, target`` replaced; of those that meet, the leftmost, then longest.
+
+    A phrase begins and ends at word borders; case and kind of white space do
+    not count. Only words that begin a phrase are taken from a text, with as
+    many words after them as such phrases have; these short pieces meet the
+    table, whatever its size, and never the text. Spans come back as one list
+    per text; rows with equal ids (nulls too) share it, so ids name texts.
+    """
+    ids = list(id_cols)
+    pieces_of = F.regexp_extract_all(F.col(col), F.lit(r"[\p{L}\p{N}]+|[^\p{L}\p{N}]+"), F.lit(0))
+    bare = F.regexp_extract(F.col("source"), r"[\p{L}\p{N}](?:.*[\p{L}\p{N}])?", 0)
+    known = (
+        phrases.select(_phrase(bare).alias("phrase"), "target")
+        .filter("phrase <> ''")
+        .groupBy("phrase")
+        .agg(F.min("target").alias("target"))
+        .withColumn("pieces", F.size(F.regexp_extract_all("phrase", F.lit(r"[\p{L}\p{N}]+|[^\p{L}\p{N}]+"), F.lit(0))))
+    )
+    # How many pieces the phrases that begin with a word have; a few numbers for each word.
+    begins = known.groupBy(F.regexp_extract("phrase", r"^[\p{L}\p{N}]+", 0).alias("word")).agg(F.collect_set("pieces").alias("sizes"))
+    vocabulary = df.select(*ids, F.explode(F.array_distinct(words(F.col(col)))).alias("word"))
+    starts = (
+        skew_join(vocabulary, begins, ["word"], "inner")
+        .groupBy(*[F.col(c).alias(f"__id{n}") for n, c in enumerate(ids)])
+        .agg(F.map_from_entries(F.array_distinct(F.collect_list(F.struct("word", "sizes")))).alias("__starts"))
+    )
+    same = F.lit(True)
+    for n, c in enumerate(ids):
+        same = same & F.col(c).eqNullSafe(F.col(f"__id{n}"))
+    held = df.join(starts, same, "left").select(*ids, F.col(col).alias("__text"), pieces_of.alias("__pieces"), "__starts")
+    # (place, pieces, phrase) of whatever a text may hold, computed within its row.
+    tried = F.flatten(
+        F.transform(
+            "__pieces",
+            lambda p, i: F.transform(
+                F.coalesce(F.try_element_at("__starts", F.lower(p)), F.array().cast("array<int>")),
+                lambda n: F.struct(i.alias("at"), n.alias("pieces"), _phrase(F.array_join(F.slice("__pieces", i + 1, n), "")).alias("phrase")),
+            ),
+        )
+    )
+    candidates = held.filter("__starts is not null").select(*ids, F.inline(tried))
+    met = skew_join(candidates, known.select("phrase", "target"), ["phrase"], "inner")
+    spans = (
+        met.groupBy(*[F.col(c).alias(f"__id{n}") for n, c in enumerate(ids)])
+        .agg(F.sort_array(F.collect_set(F.struct("at", (-F.col("pieces")).alias("less"), "target"))).alias("__met"))
+    )
+    # Leftmost first, longest of those: a span is kept if it begins behind the last one that was.
+    empty = F.struct(F.lit(-1).alias("end"), F.array().cast("array<struct<at:int,pieces:int,target:string>>").alias("kept"))
+    kept = F.aggregate(
+        "__met",
+        empty,
+        lambda s, m: F.when(
+            m["at"] > s["end"],
+            F.struct(
+                (m["at"] - m["less"] - 1).alias("end"),
+                F.concat(s["kept"], F.array(F.struct(m["at"].alias("at"), (-m["less"]).alias("pieces"), m["target"].alias("target")))).alias("kept"),
+            ),
+        ).otherwise(s),
+        lambda s: s["kept"],
+    )
+    chosen = spans.withColumn("__kept", kept)
+    covers = F.flatten(F.transform("__kept", lambda k: F.sequence(k["at"], k["at"] + k["pieces"] - 1)))
+    chosen = chosen.select(
+        *[f"__id{n}" for n in range(len(ids))],
+        F.map_from_entries(F.transform("__kept", lambda k: F.struct(k["at"], k["target"]))).alias("__put"),
+        F.map_from_entries(F.transform(covers, lambda i: F.struct(i, F.lit("")))).alias("__gone"),
+    )
+    replaced = F.array_join(
+        F.transform(pieces_of, lambda p, i: F.coalesce(F.try_element_at("__put", i), F.try_element_at("__gone", i), p)), ""
+    )
+    return df.join(chosen, same, "left").select(
+        *ids, F.when(F.col("__put").isNull(), F.col(col)).otherwise(replaced).alias("translation")
+    )
 
 
 def fix_grammar(col: Column) -> Column:

@@ -10,7 +10,7 @@ from corpusloom.functions import model_sql
 from corpusloom.operators import inference, prompts, relational as rel, structured
 from corpusloom.plans.parallelism import spread
 from corpusloom.plans.workspace import fresh_path, materialize
-from corpusloom.suite import Suite, table
+from corpusloom.suite import Suite, table, textual
 
 suite = Suite()
 
@@ -296,3 +296,36 @@ def sql_text_functions(spark, sf):
         FROM conversations_t
         """
     )
+
+
+# Tokens that every document is compared with.
+_COMMON = "the and of is"
+_TOKENS = r"list_distinct(regexp_extract_all(lower(text), '[\p{L}\p{N}]+|[^\s\p{L}\p{N}]'))"
+
+
+@suite.add(rf"""
+WITH {textual.SUMMARY_SQL},
+c AS (SELECT k.*, sum(len(regexp_extract_all(lower(sentence), '{textual.WORD_SQL}'))) OVER (PARTITION BY doc_id ORDER BY n) AS held
+      FROM k JOIN u USING (doc_id, pos)),
+y AS (SELECT doc_id, string_agg(sentence, ' ' ORDER BY pos) AS summary FROM c JOIN u USING (doc_id, pos) WHERE n = 1 OR held <= 20 GROUP BY 1),
+g AS (SELECT doc_id, digest AS fixed FROM ({textual.suite.oracles["grammar_rules"]})),
+t AS (SELECT doc_id, digest AS translated FROM ({textual.suite.oracles["glossary_translation"]})),
+e AS (SELECT doc_id, email AS emails FROM ({textual.suite.oracles["extracted_entities"]})),
+l AS (SELECT doc_id, {_TOKENS} AS own, string_split('{_COMMON}', ' ') AS common FROM documents)
+SELECT d.doc_id, md5(coalesce(summary, '')) AS summary, fixed, translated, emails,
+       round(len(list_intersect(own, common)) / (len(own) + len(common) - len(list_intersect(own, common))), 6) AS likeness,
+       CASE WHEN length(text) % 5 = 0 THEN 'hard to say' ELSE CAST(length(text) % 3 AS VARCHAR) END AS generated
+FROM documents d JOIN g USING (doc_id) JOIN t USING (doc_id) JOIN e USING (doc_id) JOIN l USING (doc_id) LEFT JOIN y USING (doc_id)
+""")
+def sql_more_functions(spark, sf):
+    """Summaries, grammar, translation, extraction, likeness and free generation in SQL over all documents."""
+    model_sql.register_model_functions(spark, {"rater": sql_backend}, "rater", glossaries={"es": dict(textual.GLOSSARY)})
+    spread(table(spark, sf, "documents").select("doc_id", "text")).createOrReplaceTempView("documents_m")
+    return spark.sql(
+        f"""
+        SELECT doc_id, md5(ai_summarize(text, 20)) AS summary, md5(ai_fix_grammar(text)) AS fixed, md5(ai_translate(text, 'es')) AS translated,
+               array_join(ai_extract(text, array('email'))['email'], '|') AS emails,
+               round(ai_similarity(text, '{_COMMON}'), 6) AS likeness, ai_gen(text) AS generated
+        FROM documents_m
+        """
+    )

@@ -163,6 +163,28 @@ def glossary_translation(spark, sf):
     return translated.select("doc_id", F.md5("translation").alias("digest"))
 
 
+# Longest alternatives come first. What stands between words is put between two marks, so that words have borders in any script.
+@suite.add(r"""
+WITH p AS (SELECT DISTINCT lower(regexp_extract(text, '^([A-Za-z]+ [A-Za-z]+)')) AS phrase FROM benchmark
+           UNION SELECT DISTINCT lower(regexp_extract(text, '^([A-Za-z]+ [A-Za-z]+ [A-Za-z]+)')) FROM benchmark),
+a AS (SELECT '(?i)(^|\x01)(?:' || string_agg(replace(phrase, ' ', '\x02\s+\x01'), '|' ORDER BY length(phrase) DESC, phrase) || ')(\x02|$)' AS pattern
+      FROM p WHERE phrase <> ''),
+m AS (SELECT doc_id, text, regexp_replace(regexp_replace(text, '([^\p{L}\p{N}]+)', chr(2) || '\1' || chr(1), 'g'), pattern, '\1[MASKED]\2', 'g') AS marked
+      FROM documents, a WHERE lang = 'en'),
+r AS (SELECT doc_id, text, replace(replace(marked, chr(1), ''), chr(2), '') AS masked FROM m)
+SELECT doc_id, md5(masked) AS digest, text <> masked AS changed FROM r
+""")
+def masked_phrases(spark, sf):
+    """Phrases of two and three words, from the beginnings of the benchmark's passages, masked in English documents."""
+    start = F.col("text")
+    phrases = [F.regexp_extract(start, rf"^[A-Za-z]+(?: [A-Za-z]+){{{n}}}", 0) for n in (1, 2)]
+    terms = table(spark, sf, "benchmark").select(F.explode(F.array(*phrases)).alias("term"))
+    docs = spread(table(spark, sf, "documents").filter("lang = 'en'").select("doc_id", "text"))
+    masked = baselines.mask_terms(docs, ["doc_id"], "text", terms).withColumnRenamed("doc_id", "id")
+    joined = docs.join(masked, F.col("doc_id") == F.col("id"))
+    return joined.select("doc_id", F.md5("translation").alias("digest"), (F.col("text") != F.col("translation")).alias("changed"))
+
+
 @suite.add("""
 SELECT doc_id, round(206.835::DOUBLE - 1.015::DOUBLE * (w::DOUBLE / greatest(s, 1)::DOUBLE)
                      - 84.6::DOUBLE * (y::DOUBLE / nullif(w, 0)::DOUBLE), 4) AS ease FROM (

@@ -331,7 +331,7 @@ def test_gazetteer_of_any_size(spark):
     many = names.union(spark.range(500).selectExpr("concat('n', id)"))
     for table in (names, many):
         got = baselines.mask_terms(df, ["id"], "t", table).head()["translation"]
-        assert got == "Then [MASKED] [MASKED] met [MASKED], not Ann."
+        assert got == "Then [MASKED] met [MASKED], not Ann."
 
 
 def test_tries_and_word_blocks_of_any_number(spark):
@@ -352,3 +352,22 @@ def test_tries_and_word_blocks_of_any_number(spark):
         rows = nearest_terms(word_rows, term_rows, 2, trie_terms, block_words).collect()
         assert {r["word"]: (r["distance"], r["nearest"]) for r in rows} == want
     assert nearest_terms(word_rows, term_rows.limit(0), 2).collect() == [] == nearest_terms(word_rows.limit(0), term_rows, 2).collect()
+
+
+def test_phrases_are_replaced_leftmost_and_longest(spark):
+    phrases = [("New York", "NY"), ("new york city", "NYC"), ("York", "Y"), ("city of", "c"), ("Saint-Denis", "SD"), ("", "x"), (None, "y"), ("!", "z")]
+    table = spark.createDataFrame(phrases, "source string, target string")
+    texts = {
+        1: ("In New  York City of lights, new york; York.", "In NYC of lights, NY; Y."),
+        2: ("new, York newyork New\nYork's", "new, Y newyork NY's"),
+        3: ("Saint-Denis saint denis", "SD saint denis"),
+        4: ("", ""),
+        5: (None, None),
+        6: ("nothing here", "nothing here"),
+        None: ("York " * 3000, "Y " * 3000),
+    }
+    df = spark.createDataFrame([(k, v[0]) for k, v in texts.items()], "id int, t string").repartition(3)
+    got = {r["id"]: r["translation"] for r in baselines.replace_phrases(df, ["id"], "t", table).collect()}
+    assert got == {k: v[1] for k, v in texts.items()}
+    unchanged = {r["id"]: r["translation"] for r in baselines.replace_phrases(df, ["id"], "t", table.limit(0)).collect()}
+    assert unchanged == {k: v[0] for k, v in texts.items()}

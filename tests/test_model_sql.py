@@ -19,7 +19,7 @@ def functions(spark):
 
 
 def test_all_are_registered(spark, functions):
-    assert len(functions) == 9
+    assert len(functions) == 10
     assert all(spark.catalog.functionExists(name) for name in functions)
 
 
@@ -67,3 +67,12 @@ def test_long_lists_and_unknown_labels(spark):
     for call in ("ai_mask('a b', array('no_such'))", "ai_extract('a b', array('no_such'))"):
         with pytest.raises(Exception, match="no pattern for no_such"):
             spark.sql(f"SELECT {call} FROM range(1)").collect()
+
+
+def test_summaries_in_sql(spark):
+    model_sql.register_model_functions(spark)
+    text = "Cats like fish. Dogs like cats and cats like dogs! Rain fell.\nNothing else."
+    got = spark.sql(f"SELECT ai_summarize('{text}', 3) AS a, ai_summarize('{text}') AS b, ai_summarize(NULL) AS c, ai_summarize('') AS d, ai_summarize('?!', 5) AS e").head()
+    assert got["a"] == "Dogs like cats and cats like dogs!"
+    assert got["b"] == "Cats like fish. Dogs like cats and cats like dogs! Rain fell. Nothing else."
+    assert (got["c"], got["d"], got["e"]) == (None, "", "")

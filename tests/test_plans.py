@@ -52,7 +52,7 @@ def test_python_is_left_to_backends(spark, sf):
         "nearest_exact", "nearest_in_cells", "recall_in_cells", "nearest_class", "retrieved_documents", "context_prompts",
         "trained_cells", "retrieved_in_cells", "retrieved_by_codes", "recall_by_codes",
         "text_search", "text_embeddings", "checked_replies", "reply_numbers", "model_scores",
-        "model_compliance", "generated_answers", "sql_inference",
+        "model_compliance", "generated_answers", "sql_inference", "sql_more_functions", "corrected_names",
     }
 
 
