@@ -146,18 +146,21 @@ def replace_phrases(df: DataFrame, id_cols: Sequence[str], col: str, phrases: Da
     same = F.lit(True)
     for n, c in enumerate(ids):
         same = same & F.col(c).eqNullSafe(F.col(f"__id{n}"))
-    held = df.join(starts, same, "left").select(*ids, F.col(col).alias("__text"), pieces_of.alias("__pieces"), "__starts")
-    # (place, pieces, phrase) of whatever a text may hold, computed within its row.
-    tried = F.flatten(
-        F.transform(
-            "__pieces",
+    held = df.join(starts, same, "inner").select(*ids, F.col(col).alias("__text"), "__starts")
+
+    def tried(pieces: Column) -> Column:
+        """(place, pieces, phrase) of whatever a text may hold, computed within its row."""
+        found = F.transform(
+            pieces,
             lambda p, i: F.transform(
                 F.coalesce(F.try_element_at("__starts", F.lower(p)), F.array().cast("array<int>")),
-                lambda n: F.struct(i.alias("at"), n.alias("pieces"), _phrase(F.array_join(F.slice("__pieces", i + 1, n), "")).alias("phrase")),
+                lambda n: F.struct(i.alias("at"), n.alias("pieces"), _phrase(F.array_join(F.slice(pieces, i + 1, n), "")).alias("phrase")),
             ),
         )
-    )
-    candidates = held.filter("__starts is not null").select(*ids, F.inline(tried))
+        return F.flatten(found)
+
+    text_pieces = F.regexp_extract_all("__text", F.lit(r"[\p{L}\p{N}]+|[^\p{L}\p{N}]+"), F.lit(0))
+    candidates = held.select(*ids, F.inline(let(text_pieces, tried)))
     met = skew_join(candidates, known.select("phrase", "target"), ["phrase"], "inner")
     spans = (
         met.groupBy(*[F.col(c).alias(f"__id{n}") for n, c in enumerate(ids)])
@@ -177,18 +180,20 @@ def replace_phrases(df: DataFrame, id_cols: Sequence[str], col: str, phrases: Da
         ).otherwise(s),
         lambda s: s["kept"],
     )
-    chosen = spans.withColumn("__kept", kept)
-    covers = F.flatten(F.transform("__kept", lambda k: F.sequence(k["at"], k["at"] + k["pieces"] - 1)))
-    chosen = chosen.select(
-        *[f"__id{n}" for n in range(len(ids))],
-        F.map_from_entries(F.transform("__kept", lambda k: F.struct(k["at"], k["target"]))).alias("__put"),
-        F.map_from_entries(F.transform(covers, lambda i: F.struct(i, F.lit("")))).alias("__gone"),
-    )
-    replaced = F.array_join(
-        F.transform(pieces_of, lambda p, i: F.coalesce(F.try_element_at("__put", i), F.try_element_at("__gone", i), p)), ""
-    )
+    chosen = spans.withColumn("__kept", kept).drop("__met")
+
+    def rewritten(pieces: Column) -> Column:
+        """What stands before each kept span and what replaces it, then the rest: every piece is touched once."""
+        spans = F.col("__kept")
+        begin = lambda i: F.when(i == 0, 0).otherwise(F.get(spans, i - 1)["at"] + F.get(spans, i - 1)["pieces"])
+        parts = F.transform(
+            spans, lambda k, i: F.concat(F.array_join(F.slice(pieces, begin(i) + 1, k["at"] - begin(i)), ""), k["target"])
+        )
+        rest = F.array_join(F.slice(pieces, begin(F.size(spans)) + 1, F.size(pieces)), "")
+        return F.concat(F.array_join(parts, ""), rest)
+
     return df.join(chosen, same, "left").select(
-        *ids, F.when(F.col("__put").isNull(), F.col(col)).otherwise(replaced).alias("translation")
+        *ids, F.when(F.col("__kept").isNull(), F.col(col)).otherwise(let(pieces_of, rewritten)).alias("translation")
     )
 
 
