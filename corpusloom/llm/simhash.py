@@ -136,10 +136,15 @@ def near_duplicates(
     return prints.join(named, "fingerprint").select(id_column, "fingerprint", "class", "component_id")
 
 
-def keep_first(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
-    """``docs`` with one row of each class: that of the smallest id, or one with a null id if there are only those."""
+def keep_first(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", among: DataFrame | None = None, **options
+) -> DataFrame:
+    """``docs`` with one row of each class: that of the smallest id, or one with a null id if there are only those.
+
+    With ``among`` (ids and texts of some rows of ``docs``) classes are those of these rows, and no others stay.
+    """
     # Written before it is grouped: rows of one fingerprint could not be split up any more.
-    found = materialize(near_duplicates(docs, id_column, text_column, **options), "simhash-found")
+    found = materialize(near_duplicates(docs if among is None else among, id_column, text_column, **options), "simhash-found")
     chosen = found.groupBy("class").agg(
         F.min(F.when(F.col(id_column).eqNullSafe(F.col("component_id")), F.struct(id_column, "fingerprint"))).alias("__first")
     )
@@ -149,10 +154,11 @@ def keep_first(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     kept = materialize(rows.join(kept.withColumnsRenamed({"__id": "__i", "__print": "__p"}), same, "left_semi"), "simhash-kept")
     marked = docs.withColumn("__fp", fingerprint_column(F.col(text_column)))
     joined = marked.join(kept, (F.col("__fp") == F.col("__print")) & F.col(id_column).eqNullSafe(F.col("__id")))
-    single = joined.filter("__rows = 1").select(*docs.columns)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    single = joined.filter("__rows = 1").select(*columns)
     # Several rows of one id and fingerprint: one of them stays.
     several = joined.filter("__rows > 1")
-    one = several.dropDuplicates(["__id", "__print"]).select(*docs.columns)
+    one = several.dropDuplicates(["__id", "__print"]).select(*columns)
     return single.unionByName(one)
 
 
