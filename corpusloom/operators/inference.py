@@ -9,13 +9,13 @@ from hashlib import md5
 from uuid import uuid4
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.operators.prompts import render_prompt
 from corpusloom.operators.structured import parse_reply
 from corpusloom.plans.skew import skew_join
-from corpusloom.plans.workspace import materialize
+from corpusloom.plans.workspace import complete_folders, materialize
 
 # Fixed value: prompts per backend call unless told otherwise.
 BATCH_SIZE = 150
@@ -115,7 +115,7 @@ def _stored_answers(asked: DataFrame, backend: Backend, batch_size: int, on_erro
     path in a query for the same, even if files were added in between.
     """
     spark = asked.sparkSession
-    schema, fresh_keys, known = "__key string, __reply string", asked, _complete_folders(spark, folder)
+    schema, fresh_keys, known = "__key string, __reply string", asked, complete_folders(spark, folder)
     if known:
         fresh_keys = asked.join(spark.read.schema(schema).parquet(*known).select("__key"), "__key", "left_anti")
     # Failed calls are not stored, so that a later run asks them again.
@@ -127,15 +127,6 @@ def _stored_answers(asked: DataFrame, backend: Backend, batch_size: int, on_erro
     return answers.groupBy("__key").agg(F.min("__reply").alias("__reply"))
 
 
-def _complete_folders(spark: SparkSession, folder: str) -> list[str]:
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path(folder)):
-        return []
-    found = sorted(s.getPath().toString() for s in fs.listStatus(path(folder)))
-    return [f for f in found if fs.exists(path(f"{f}/_SUCCESS"))]
-
-
 def generate(df: DataFrame, template: str, backend: Backend, out_col: str = "answer", **options) -> DataFrame:
     """Fill the template from the row's columns and ask the backend."""
     names = re.findall(r"\{(\w+)\}", template)

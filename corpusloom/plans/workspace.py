@@ -41,3 +41,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(spark, label)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def complete_folders(spark: SparkSession, folder: str) -> list[str]:
+    """Subfolders of ``folder`` whose writing has ended, in order of their names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path(folder)):
+        return []
+    found = sorted(s.getPath().toString() for s in fs.listStatus(path(folder)))
+    return [f for f in found if fs.exists(path(f"{f}/_SUCCESS"))]

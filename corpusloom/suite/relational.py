@@ -10,7 +10,7 @@ from corpusloom.functions.registry import SqlFunction, register_functions
 from corpusloom.operators import feedback, relational as rel
 from corpusloom.operators.structured import json_number
 from corpusloom.plans.workspace import fresh_path
-from corpusloom.sources import tables, web
+from corpusloom.sources import frontier, tables, web
 from corpusloom.suite import Suite, table
 
 suite = Suite()
@@ -182,6 +182,28 @@ def fetch_offline(spark, sf):
     return fetched.select("url", F.length("html").alias("n_chars"), F.md5("html").alias("digest"))
 
 
+def page_server(url: str) -> str | None:
+    """Stand-in server: a page that names its address, nothing for every fifth length of an address."""
+    return None if len(url) % 5 == 0 else f"<p>{url}</p>"
+
+
+@suite.add("""
+WITH u AS (SELECT page_id, url FROM pages UNION ALL SELECT -page_id - 1, url || '?print' FROM pages WHERE page_id % 3 = 0)
+SELECT page_id, CASE WHEN length(url) % 5 > 0 THEN md5('<p>' || url || '</p>') END AS digest,
+       (SELECT count(DISTINCT url) FROM u WHERE length(url) % 5 = 0) AS asked_again
+FROM u
+""")
+def fetched_pages(spark, sf):
+    """Pages fetched into a store, then pages and print versions: only new and failed addresses are asked, then failed ones."""
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    printed = pages.filter("page_id % 3 = 0").select((-F.col("page_id") - 1).alias("page_id"), F.concat("url", F.lit("?print")).alias("url"))
+    every, store = pages.unionByName(printed), fresh_path(spark, "fetched")
+    frontier.fetch_missing(pages, page_server, store, partitions=8)
+    fetched = frontier.fetch_stored(every, page_server, store, partitions=8)
+    again = frontier.missing_urls(every, store).count()
+    return fetched.select("page_id", F.md5("html").alias("digest"), F.lit(again).cast("bigint").alias("asked_again"))
+
+
 @suite.add("""
 SELECT page_id, string_split(url, '/')[-1] AS file_name, replace(url, 'http://', 'https://') AS address
 FROM pages WHERE NOT contains(string_split(url, '/')[-1], 'ref')
