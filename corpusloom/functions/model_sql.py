@@ -3,8 +3,8 @@
 ``ai_query`` and ``ai_gen`` hand distinct prompts of each Arrow batch to a
 backend. The others are the deterministic baselines of
 :mod:`corpusloom.operators.baselines` in SQL form: rules and short word lists,
-no replacement for a language model. For large tables prefer the DataFrame
-form (``infer``), which asks each distinct prompt once over the whole table.
+no replacement for a language model. For large tables prefer ``infer`` or, in
+SQL, ``ai_request``, which ask each distinct prompt once over the whole table.
 """
 
 from __future__ import annotations
@@ -35,7 +35,9 @@ def _sql_map(pairs: dict, value: Callable[[object], str]) -> str:
     return "map(" + ", ".join(f"{_quoted(k)}, {value(v)}" for k, v in pairs.items()) + ")"
 
 
-def _ask(backends: dict[str, Backend], batch_size: int):
+def batch_asker(backends: dict[str, Backend], batch_size: int):
+    """Replies to a batch of prompts by endpoint and response format, each distinct prompt of it asked once."""
+
     def one_batch(endpoints: pd.Series, prompts: pd.Series, formats: pd.Series | None) -> pd.Series:
         frame = pd.DataFrame({"endpoint": endpoints, "prompt": prompts})
         frame["format"] = None if formats is None else formats
@@ -100,7 +102,7 @@ def register_model_functions(
     """
     names: list[str] = []
     if backends:
-        ask = _ask(backends, batch_size)
+        ask = batch_asker(backends, batch_size)
 
         @F.pandas_udf("string")
         def ai_query(endpoint: pd.Series, request: pd.Series, responseFormat: pd.Series = None) -> pd.Series:

@@ -7,7 +7,7 @@ import json
 from pyspark.sql import functions as F
 
 from corpusloom.functions import model_sql
-from corpusloom.operators import inference, prompts, relational as rel, structured
+from corpusloom.operators import inference, prompts, relational as rel, requests, structured
 from corpusloom.plans.parallelism import spread
 from corpusloom.plans.workspace import fresh_path, materialize
 from corpusloom.suite import Suite, table, textual
@@ -274,6 +274,28 @@ def sql_inference(spark, sf):
     )
 
 
+@suite.add(f"""
+WITH p AS (SELECT o_orderkey, length('{INSTRUCTION}' || o_orderpriority || ' ' || o_orderstatus) AS n,
+                  length('{INSTRUCTION}' || o_orderstatus) AS m FROM orders)
+SELECT o_orderkey, CASE WHEN n % 5 <> 0 THEN CAST(n % 3 AS INT) END AS digit, CAST(m % 3 AS BIGINT) AS formality, m % 5 = 0 AS doubt
+FROM p
+""")
+def sql_requests(spark, sf):
+    """Every order rated twice by requests in SQL; the orders share a few prompts, each of which is asked once."""
+    requests.register_requests(spark)
+    spread(table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")).createOrReplaceTempView("orders_r")
+    asked = spark.sql(
+        f"""
+        SELECT o_orderkey, ai_request('rater', concat('{INSTRUCTION}', o_orderpriority, ' ', o_orderstatus)) AS digit,
+               ai_request('rater', concat('{INSTRUCTION}', o_orderstatus), responseFormat => '{RESPONSE_FORMAT}') AS rating
+        FROM orders_r
+        """
+    )
+    rated = requests.answer_requests(asked, {"rater": sql_backend})
+    rating = F.from_json("rating", "formality BIGINT, doubt BOOLEAN")
+    return rated.select("o_orderkey", F.col("digit").try_cast("int").alias("digit"), rating.alias("r")).select("o_orderkey", "digit", "r.*")
+
+
 @suite.add(r"""
 SELECT conv_id, turn, md5(regexp_replace(regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}', '[MASKED]', 'g'),
          '\b[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\b', '[MASKED]', 'g')) AS masked,
