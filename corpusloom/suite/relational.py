@@ -154,21 +154,27 @@ def sitemap_addresses(spark, sf):
     return web.sitemap_urls(table(spark, sf, "pages").select(xml.alias("xml")))
 
 
+# Fixed value: addresses that one sitemap document may hold.
+SITEMAP_URLS = 50_000
+
+
 @suite.add("""
 SELECT url FROM (SELECT url, dense_rank() OVER (ORDER BY regexp_extract(url, '//([^/]*)', 1)) AS doc, page_id FROM pages)
 ORDER BY doc, page_id LIMIT 30
 """)
 def sitemap_cap(spark, sf):
-    """One sitemap per host with all its addresses; the first thirty by host and place are kept."""
+    """Sitemaps of bounded length with all addresses of a host; the first thirty by host and place are kept."""
     escaped = F.replace(F.col("url"), F.lit("&"), F.lit("&amp;"))
     locations = F.transform(
         F.sort_array(F.collect_list(F.struct("page_id", escaped.alias("url")))),
         lambda p: F.concat(F.lit("<url><loc>"), p["url"], F.lit("</loc></url>")),
     )
-    host = F.regexp_extract("url", "//([^/]*)", 1).alias("host")
-    maps = table(spark, sf, "pages").groupBy(host).agg(locations.alias("l"))
+    # Ids are unique, so a range of them holds at most as many addresses; ranges keep the order of a host's pages.
+    part = F.floor(F.col("page_id") / SITEMAP_URLS)
+    place = F.struct(F.regexp_extract("url", "//([^/]*)", 1).alias("host"), part.alias("part"))
+    maps = table(spark, sf, "pages").groupBy(place.alias("place")).agg(locations.alias("l"))
     xml = F.concat(F.lit("<urlset>"), F.array_join("l", ""), F.lit("</urlset>"))
-    return web.sitemap_urls(maps.select("host", xml.alias("xml")), max_documents=30, order="host")
+    return web.sitemap_urls(maps.select("place", xml.alias("xml")), max_documents=30, order="place")
 
 
 @suite.add("""
