@@ -15,9 +15,18 @@ from corpusloom.llm.suite import TOXIC_FROM
 from corpusloom.plans.workspace import fresh_path
 from corpusloom.suite import table
 
+# Texts go to Python tasks in Arrow batches; both sides hold a batch beside Spark's own memory, so batches are bounded in bytes.
+ARROW_BATCHES = {"maxRecordsPerBatch": "1000", "maxBytesPerBatch": str(4 << 20)}
+
+
+def small_batches(spark: SparkSession) -> None:
+    for name, value in ARROW_BATCHES.items():
+        spark.conf.set(f"spark.sql.execution.arrow.{name}", value)
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score stays under the bound."""
+    small_batches(spark)
     training = toxicity.Training()
     labels = table(spark, sf_dir, "labels")
     model = toxicity.fit(toxicity.training_rows(docs, labels, "doc_id", "text", "toxic", training.sample_rows), training)
@@ -26,11 +35,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of texts alike in five-word shingles or in fingerprint."""
+    small_batches(spark)
     return similar_texts.keep_first_similar(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item occurs."""
+    small_batches(spark)
     flagged = decontamination.flag_documents(docs, table(spark, sf_dir, "benchmark"), flag="__contaminated")
     return flagged.filter(~F.col("__contaminated")).select(*docs.columns)
 

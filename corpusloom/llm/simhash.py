@@ -124,6 +124,13 @@ def near_duplicates(
     smallest id, before anything is compared.
     """
     prints = materialize(fingerprints(docs, id_column, text_column), "simhash")
+    return linked_prints(prints, id_column, most_bits, sample, shard_size)
+
+
+def linked_prints(
+    prints: DataFrame, id_column: str, most_bits: int = MOST_BITS, sample: int = SAMPLE, shard_size: int = SHARD_SIZE
+) -> DataFrame:
+    """:func:`near_duplicates` of rows whose fingerprints (``id, fingerprint``) are written already."""
     distinct = materialize(prints.groupBy("fingerprint").agg(F.min(id_column).alias("least")), "simhash-distinct")
     stars = linked_stars(distinct.select("fingerprint"), most_bits, sample, shard_size)
     roots = components(stars)
@@ -141,10 +148,14 @@ def keep_first(
 ) -> DataFrame:
     """``docs`` with one row of each class: that of the smallest id, or one with a null id if there are only those.
 
-    With ``among`` (ids and texts of some rows of ``docs``) classes are those of these rows, and no others stay.
+    With ``among`` (``id, fingerprint`` of some rows of ``docs``) classes are those of these rows, and no others stay.
     """
     # Written before it is grouped: rows of one fingerprint could not be split up any more.
-    found = materialize(near_duplicates(docs if among is None else among, id_column, text_column, **options), "simhash-found")
+    if among is None:
+        classed = near_duplicates(docs, id_column, text_column, **options)
+    else:
+        classed = linked_prints(materialize(among, "simhash"), id_column, **options)
+    found = materialize(classed, "simhash-found")
     chosen = found.groupBy("class").agg(
         F.min(F.when(F.col(id_column).eqNullSafe(F.col("component_id")), F.struct(id_column, "fingerprint"))).alias("__first")
     )

@@ -128,3 +128,51 @@ def test_minima_estimate_similarity():
     pool = rng.integers(1 << 62, size=1200, dtype=np.uint64)
     a, b = similar_texts.minima(pool[:1000], odd, shift), similar_texts.minima(pool[200:], odd, shift)
     assert abs((a == b).mean() - 800 / 1200) < 0.15
+
+
+def banded_similar(texts):
+    """Smallest id of each component over the links whose texts agree in a band."""
+    odd, shift = similar_texts._multipliers()
+    rows = {k: similar_texts.minima(similar_texts.shingle_hashes(t.encode())[1], odd, shift).reshape(similar_texts.BANDS, -1) for k, t in texts.items()}
+    root = {k: k for k in texts}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a, b in plain_links(texts):
+        if (rows[a] == rows[b]).all(axis=1).any():
+            a, b = sorted((find(a), find(b)))
+            root[b] = a
+    return {k for k in texts if root[k] == k}
+
+
+@pytest.mark.parametrize("most,paired", [(8, 0), (8, 16), (1024, 16)])
+def test_no_link_is_lost_to_cut_buckets_or_estimates(spark, most, paired):
+    """Chains: only neighbours are alike, so a class falls apart with any link that is not met."""
+    rng, texts = random.Random(3), {}
+    for g in range(6):
+        words = [f"g{g}w{n}" for n in range(150)]
+        for n in range(40):
+            at = rng.randrange(150)
+            words[at : at + 6] = [f"g{g}n{n}x{i}" for i in range(len(words[at : at + 6]))]
+            texts[len(texts)] = " ".join(words)
+    assert kept(spark, texts, most=most, paired=paired) == banded_similar(texts)
+
+
+def test_linked_labels_against_all_pairs():
+    rng = np.random.default_rng(2)
+    base = rng.permutation(60).reshape(4, 15)
+    sets = [np.sort(np.r_[rng.choice(b, 13, replace=False), rng.integers(100, 102)]) for b in base for _ in range(6)]
+    labels = np.arange(len(sets)) // 2
+    want = {(labels[i], labels[j]) for i, a in enumerate(sets) for j, b in enumerate(sets) if len(np.intersect1d(a, b)) / len(np.union1d(a, b)) >= 0.8}
+    near = {x: {y for a, y in want if a == x} for x in labels}
+    sizes = np.array([len(s) for s in sets])
+    got = similar_texts.linked_labels(np.concatenate(sets), sizes, labels, np.arange(12), np.arange(len(sets)))
+    assert set(zip(*got)) <= want
+    root = {x: x for x in labels}
+    for a, b in zip(*got):
+        old, new = root[a], root[b]
+        root = {x: new if r == old else r for x, r in root.items()}
+    assert all(root[a] == root[b] for a in labels[:12] for b in near[a])
