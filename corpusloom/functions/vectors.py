@@ -41,3 +41,10 @@ def as_matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 def unit_rows(matrix: np.ndarray) -> np.ndarray:
     lengths = np.linalg.norm(matrix, axis=1, keepdims=True) if matrix.size else np.ones((len(matrix), 1))
     return matrix / np.where(lengths == 0, 1.0, lengths)
+
+
+def scale_rows(matrix: np.ndarray, rows: int = 4096) -> np.ndarray:
+    """:func:`unit_rows` in place, without a second matrix."""
+    for start in range(0, len(matrix), rows):
+        matrix[start : start + rows] = unit_rows(matrix[start : start + rows])
+    return matrix

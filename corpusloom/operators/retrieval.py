@@ -17,13 +17,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from corpusloom.functions.vectors import as_matrix, unit_rows
+from corpusloom.functions.vectors import as_matrix, scale_rows
 from corpusloom.operators.embedding import Backend, embed
 from corpusloom.operators.prompts import render_prompt
 from corpusloom.plans.skew import first_per_key, skew_join
 
-# Bytes of one block of vectors in double precision.
-BLOCK_BYTES = 64 * 1024 * 1024
+# Bytes of one block of vectors in double precision. A task holds some eight times that: both sides as they came,
+# sorted and as matrices.
+BLOCK_BYTES = 16 * 1024 * 1024
+# Bytes of the similarities that a task holds at once, some four times over.
+SCORE_BYTES = 8 * 1024 * 1024
+# Bytes of the best rows that a block of queries gives back: ids, places and scores, before and after they are put together.
+RESULT_BYTES = 16 * 1024 * 1024
+RESULT_ROW = 64
 # Similarities are compared after rounding to this many decimals; ties go to the smaller id.
 DECIMALS = 6
 
@@ -37,6 +43,11 @@ def _blocks(rows: int, dim: int, block_bytes: int) -> int:
     return max(1, -(-rows * dim * 8 // block_bytes))
 
 
+def _query_blocks(rows: int, dim: int, k: int, block_bytes: int) -> int:
+    """Blocks of queries, bounded by their vectors and by the k rows that each of them gives back."""
+    return max(_blocks(rows, dim, block_bytes), -(-rows * k * RESULT_ROW // RESULT_BYTES))
+
+
 def _block_of(id: str, blocks: Column | int) -> Column:
     return F.pmod(F.xxhash64(F.col(id)), F.lit(blocks) if isinstance(blocks, int) else blocks).cast("int")
 
@@ -51,22 +62,24 @@ def _best_of_block(k: int, metric: str, exclude_self: bool, schema: pa.Schema):
         index = index.sort_by("id")
         q, x = as_matrix(queries.column("q_vector")), as_matrix(index.column("i_vector"))
         if metric == "cosine":
-            q, x = unit_rows(q), unit_rows(x)
-        q_ids = np.array(queries.column("query_id").to_pylist(), dtype=object)
-        x_ids = np.array(index.column("id").to_pylist(), dtype=object)
+            q, x = scale_rows(q), scale_rows(x)
         if exclude_self:
-            column_of = {v: n for n, v in enumerate(x_ids)}
-            own = np.array([column_of.get(v, -1) for v in q_ids])
-        step = max(1, BLOCK_BYTES // (8 * len(x)))
+            column_of = {v: n for n, v in enumerate(index.column("id").to_pylist())}
+            own = np.array([column_of.get(v, -1) for v in queries.column("query_id").to_pylist()])
+            del column_of
+        step = max(1, SCORE_BYTES // (8 * len(x)))
         rows, cols, scores = [], [], []
         for start in range(0, len(q), step):
             # Adding zero turns -0.0 into 0.0.
-            sims = np.round(q[start : start + step] @ x.T, DECIMALS) + 0.0
+            sims = q[start : start + step] @ x.T
+            np.round(sims, DECIMALS, out=sims)
+            sims += 0.0
             if exclude_self:
                 here = own[start : start + step]
                 sims[np.flatnonzero(here >= 0), here[here >= 0]] = -np.inf
             kth = min(k, sims.shape[1])
-            edge = np.partition(sims, sims.shape[1] - kth, axis=1)[:, [sims.shape[1] - kth]]
+            # A copy: the slice would keep the whole sorted array.
+            edge = np.partition(sims, sims.shape[1] - kth, axis=1)[:, [sims.shape[1] - kth]].copy()
             chosen = sims >= edge
             # Copies of one vector tie in any number: of those at the edge only the first ids are kept.
             crowded = np.flatnonzero(chosen.sum(axis=1) > kth)
@@ -83,8 +96,8 @@ def _best_of_block(k: int, metric: str, exclude_self: bool, schema: pa.Schema):
         r, c = np.concatenate(rows), np.concatenate(cols)
         return pa.table(
             [
-                pa.array(q_ids[r].tolist(), type=schema.field("query_id").type),
-                pa.array(x_ids[c].tolist(), type=schema.field("id").type),
+                queries.column("query_id").take(pa.array(r)).cast(schema.field("query_id").type),
+                index.column("id").take(pa.array(c)).cast(schema.field("id").type),
                 pa.array(np.concatenate(scores), type=pa.float64()),
             ],
             schema=schema,
@@ -142,7 +155,7 @@ def knn(
     n_q, n_i, dim = queries.count(), index.count(), dim or _dimensions(i, "i_vector")
     # At least one block per core, so that a small index is still searched in parallel.
     cores = index.sparkSession.sparkContext.defaultParallelism
-    q_blocks = _blocks(n_q, dim, block_bytes)
+    q_blocks = _query_blocks(n_q, dim, k, block_bytes)
     i_blocks = max(_blocks(n_i, dim, block_bytes), min(cores, max(1, n_i // 256)))
 
     def every(blocks: int) -> Column:
@@ -219,7 +232,7 @@ def _nearest_cells(cells: DataFrame | Centroids, probe: int):
         if len(x) == 0:
             return pa.array([], type=pa.list_(pa.int32()))
         best = np.empty((len(x), take), dtype=np.int32)
-        step = max(1, BLOCK_BYTES // (8 * len(ids)))
+        step = max(1, SCORE_BYTES // (8 * len(ids)))
         for start in range(0, len(x), step):
             # Squared distance without the query's own length, which does not change the order.
             gaps = np.round(lengths[None, :] - 2 * (x[start : start + step] @ centers.T), DECIMALS)
@@ -268,10 +281,11 @@ def knn_cells(
         i = i.withColumn("cell", _nearest_cells(cells, 1)(F.col("i_vector"))[0])
 
     # One row per cell, as many as there are centroids in every task: small by construction.
-    def parts(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_block)).cast("int").alias(name))
+    def parts(df: DataFrame, name: str, held: int) -> DataFrame:
+        return df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(held)).cast("int").alias(name))
 
-    sizes = F.broadcast(parts(q, "q_parts").join(parts(i, "i_parts"), "cell"))
+    queries_per_block = max(1, min(rows_per_block, RESULT_BYTES // (RESULT_ROW * k)))
+    sizes = F.broadcast(parts(q, "q_parts", queries_per_block).join(parts(i, "i_parts", rows_per_block), "cell"))
     q = (
         q.join(sizes, "cell")
         .withColumn("qb", _block_of("query_id", F.col("q_parts")))

@@ -1,4 +1,7 @@
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
@@ -216,3 +219,31 @@ def test_retrieval_in_cells_keeps_hits_without_a_document(spark):
     assert len(every) == 10 and sum(r["content"] is None for r in every) == 6
     assert retrieval.retrieve(queries, index, docs, **options).count() == 4
     assert all(r["id"] % 2 == r["query_id"] for r in every)
+
+
+def test_a_block_is_compared_in_bounded_pieces():
+    """Beside the vectors a task holds a few similarities at a time, whatever the size of the index."""
+    rng = np.random.default_rng(4)
+    sides = [(rng.normal(size=(n, 16)).astype(np.float32), start) for n, start in ((1500, 0), (20_000, 1000))]
+    tables = [
+        pa.table({i: np.arange(start, start + len(x)), v: pa.FixedSizeListArray.from_arrays(x.ravel(), 16).cast(pa.list_(pa.float32()))})
+        for (x, start), (i, v) in zip(sides, (("query_id", "q_vector"), ("id", "i_vector")))
+    ]
+    schema = pa.schema([("query_id", pa.int64()), ("id", pa.int64()), ("score", pa.float64())])
+    tracemalloc.start()
+    got = retrieval._best_of_block(2, "cosine", True, schema)(*tables).to_pandas()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20
+    unit = [x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True) for x, _ in sides]
+    sims = np.round(unit[0][1200:1210] @ unit[1].T, 6)
+    sims[np.arange(10), np.arange(200, 210)] = -1
+    for query, row in zip(range(1200, 1210), sims):
+        want = np.argsort(-row, kind="stable")[:2] + 1000
+        assert set(got[got.query_id == query].id) == set(want)
+
+
+def test_query_blocks_are_bounded_by_what_they_give_back():
+    most = retrieval.RESULT_BYTES // retrieval.RESULT_ROW
+    assert retrieval._query_blocks(most, 2, 1, retrieval.BLOCK_BYTES) == 1
+    assert retrieval._query_blocks(most, 2, 50, retrieval.BLOCK_BYTES) == 50
