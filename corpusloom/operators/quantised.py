@@ -25,8 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from corpusloom.functions.vectors import as_matrix, unit_rows
-from corpusloom.operators.retrieval import BLOCK_BYTES, DECIMALS
+from corpusloom.functions.vectors import as_matrix, scale_rows, unit_rows
+from corpusloom.operators.retrieval import BLOCK_BYTES, DECIMALS, RESULT_BYTES, RESULT_ROW
 from corpusloom.plans.skew import first_per_key, skew_join
 from corpusloom.plans.workspace import materialize
 
@@ -34,7 +34,7 @@ from corpusloom.plans.workspace import materialize
 SAMPLE_ROWS = 16_384
 LEVELS = 256
 # Bytes of the distances that a task holds at once.
-SCAN_BYTES = 16 * 1024 * 1024
+SCAN_BYTES = 8 * 1024 * 1024
 # Distances are sums of rounded numbers: bounds are this much wider.
 SLACK = 1e-6
 
@@ -176,7 +176,8 @@ def _scan(quantiser: Quantiser, k: int, rerank: int | None, exclude_self: bool,
         error = codes.column("error").to_numpy()
         known = quantiser.decode(codes.column("cell")[0].as_py(), x)
         lengths = np.square(known).sum(axis=1)
-        q = quantiser.scaled(as_matrix(queries.column("q_vector")))
+        q = as_matrix(queries.column("q_vector"))
+        q = scale_rows(q) if quantiser.unit else q
         bound = queries.column("bound").to_numpy()
         q_ids, x_ids = queries.column("query_id"), codes.column("id")
         column_of = {v: n for n, v in enumerate(x_ids.to_pylist())} if exclude_self else {}
@@ -212,12 +213,14 @@ def _candidates(queries: DataFrame, codes: DataFrame, quantiser: Quantiser, k: i
     q_type, i_type = queries.schema["query_id"].dataType, codes.schema["id"].dataType
     schema = pa.schema([("query_id", to_arrow_type(q_type)), ("id", to_arrow_type(i_type)), ("low", pa.float64()), ("high", pa.float64())])
     held = max(1, block_bytes // (8 * quantiser.centers.shape[1]))
+    # A block of queries is bounded by what it gives back as well.
+    asked = max(1, min(held, RESULT_BYTES // (RESULT_ROW * (rerank or k))))
 
     # One row per cell, as many as the quantiser has centers. Cells that hold much are cut into blocks on both sides.
-    def parts(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(held)).cast("int").alias(name))
+    def parts(df: DataFrame, name: str, most: int) -> DataFrame:
+        return df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(most)).cast("int").alias(name))
 
-    sizes = F.broadcast(parts(queries, "q_parts").join(parts(codes, "i_parts"), "cell"))
+    sizes = F.broadcast(parts(queries, "q_parts", asked).join(parts(codes, "i_parts", held), "cell"))
 
     def block(id: str, count: str) -> Column:
         return F.pmod(F.xxhash64(id), F.col(count)).cast("int")
