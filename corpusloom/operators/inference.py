@@ -90,12 +90,8 @@ def infer(
     if store is not None and not model:
         raise ValueError("a store needs the name of the model")
     keyed = df.withColumn("__key", F.md5(F.col(prompt_col)))
-    asked = (
-        keyed.filter("__key is not null")
-        .groupBy("__key")
-        .agg(F.first(prompt_col).alias("__prompt"))
-        .select("__prompt", "__key")
-    )
+    # Prompts are the grouping key: a hash table holds them, where the first of each hash would have all rows sorted.
+    asked = keyed.filter("__key is not null").select(F.col(prompt_col).alias("__prompt"), "__key").distinct()
     if store is None:
         replies = _answer(asked, backend, batch_size, on_error)
     else:

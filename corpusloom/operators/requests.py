@@ -45,6 +45,17 @@ def _key(request: Column) -> Column:
     return F.when(request["model_request"].isNotNull(), F.sha2(F.to_json(request), 256))
 
 
+def distinct_requests(df: DataFrame, columns: list[Column]) -> DataFrame:
+    """``__key, __request``: each request of the columns once.
+
+    The fields are grouping keys, so that a task holds distinct requests in a
+    hash table; keeping the first of a key's would sort all of its rows.
+    """
+    fields = df.select(F.explode(F.array(*columns)).alias("__request")).select("__request.*").filter("model_request is not null")
+    request = F.struct(*FIELDS)
+    return fields.distinct().select(_key(request).alias("__key"), request.alias("__request"))
+
+
 def answer_requests(df: DataFrame, backends: dict[str, Backend], batch_size: int = BATCH_SIZE) -> DataFrame:
     """``df`` with the reply (a string) in place of each request, names and order of columns unchanged.
 
@@ -62,9 +73,7 @@ def answer_requests(df: DataFrame, backends: dict[str, Backend], batch_size: int
     quoted = {name: F.col(f"`{name.replace('`', '``')}`") for name in df.columns}
     if len(quoted) < len(df.columns):
         raise ValueError("column names are not distinct")
-    requests = F.explode(F.array(*[quoted[name] for name in names]))
-    found = df.select(requests.alias("__request")).withColumn("__key", _key(F.col("__request"))).filter("__key is not null")
-    distinct = found.groupBy("__key").agg(F.first("__request").alias("__request"))
+    distinct = distinct_requests(df, [quoted[name] for name in names])
     ask = batch_asker(backends, batch_size)
 
     @F.pandas_udf("string")

@@ -85,3 +85,10 @@ def test_no_exchange_of_the_result_carries_prompts(spark, asks, sf):
     assert exchanges and all("text#" not in below[i] and "model_request" not in below[i] for i in exchanges)
     # What is exchanged is the projection right below: the id and the hash of the request.
     assert any("Project [doc_id#" in line and "__key_0" in line for line in below)
+
+
+def test_distinct_requests_sort_nothing(spark, asks):
+    rows = spark.range(100).selectExpr("id", "ai_request('m', concat('p', id % 3)) AS a", "ai_request('m', if(id % 2 = 0, 'p1', NULL)) AS b")
+    found = requests.distinct_requests(rows, [rows["a"], rows["b"]])
+    assert found.count() == 3
+    assert "Sort" not in plan_of(found)
